@@ -152,7 +152,7 @@ def parse_quote_messages(spark, sf):
 @book.add(
     "quarantined_messages",
     "SELECT event_type AS topic, count(*) AS rejected FROM events"
-    " WHERE value < 10 OR (value >= 10 AND value < 20) GROUP BY 1",
+    " WHERE value < 20 GROUP BY 1",
 )
 def quarantined_messages(spark, sf):
     """Cheap trades arrive broken (no symbol, or cut-off JSON) and are set aside."""
