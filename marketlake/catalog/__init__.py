@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["market"]
+AREAS = ["market", "events"]
 
 
 def all_queries():
