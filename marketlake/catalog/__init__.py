@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["market", "events", "graphs"]
+AREAS = ["market", "events", "graphs", "texts"]
 
 
 def all_queries():
