@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["market", "events", "graphs", "texts"]
+AREAS = ["market", "events", "graphs", "texts", "patterns", "statistics"]
 
 
 def all_queries():

@@ -57,7 +57,7 @@ def asof_backward(spark, sf):
     ),
 )
 def asof_backward_within_hour(spark, sf):
-    return _asof(spark, sf, exact=False, tolerance_seconds=3600)
+    return _asof(spark, sf, exact=False, tolerance=3600)
 
 
 @book.add("asof_forward", _asof_sql("<=", "forward"))

@@ -16,6 +16,13 @@ from marketlake.operators.ordered import fill_forward, number_rows
 _TIME, _SIDE, _TIE, _LEFT, _MATCH = "_time", "_side", "_tie", "_left", "_match"
 
 
+def _instant(df: DataFrame, on: str) -> Column:
+    """Timestamps as microseconds; whole numbers order themselves."""
+    if df.schema[on].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(on).cast("timestamp"))
+    return F.col(on).cast("bigint")
+
+
 def _one_way(
     left: DataFrame,
     right: DataFrame,
@@ -28,15 +35,17 @@ def _one_way(
 ) -> DataFrame:
     """``left`` plus ``_match``, the struct of the right row found in one direction."""
     sign = -1 if forward else 1
-    time = (F.unix_micros(on) * sign).alias(_TIME)
+    left_time, right_time = (
+        (_instant(side, on) * sign).alias(_TIME) for side in (left, right)
+    )
     # at equal times the right row has to pass first, unless it must not count
     left_rank, right_rank = (1, 0) if exact else (0, 1)
     left_rows = left.select(
-        *keys, time, F.lit(left_rank).alias(_SIDE), ties[0].alias(_TIE),
+        *keys, left_time, F.lit(left_rank).alias(_SIDE), ties[0].alias(_TIE),
         F.struct(*left.columns).alias(_LEFT),
     )
     right_rows = right.select(
-        *keys, time, F.lit(right_rank).alias(_SIDE), (ties[1] * sign).alias(_TIE),
+        *keys, right_time, F.lit(right_rank).alias(_SIDE), (ties[1] * sign).alias(_TIE),
         F.struct(*right.columns).alias(_MATCH),
     )
     stacked = left_rows.unionByName(right_rows, allowMissingColumns=True)
@@ -56,7 +65,7 @@ def asof_join(
     left_tie: Column,
     right_tie: Column,
     direction: str = "backward",
-    tolerance_seconds: float | None = None,
+    tolerance: float | None = None,
     exact: bool = True,
     prefix: str = "right_",
     chunk: int | None = None,
@@ -66,7 +75,7 @@ def asof_join(
     ``direction``: backward (latest right row not after), forward (earliest not
     before) or nearest (the closer one; backward wins a draw).  ``exact=False``
     ignores right rows at the very same time.  A match farther away than the
-    tolerance is dropped.  The numeric tie columns make repeated times orderly:
+    tolerance (seconds, or units of a numeric ``on``) is dropped.  The numeric tie columns make repeated times orderly:
     of several right rows at one time the highest tie is taken going backward and
     the lowest going forward."""
     ties = (left_tie, right_tie)
@@ -78,8 +87,12 @@ def asof_join(
         found = found.withColumnRenamed(_MATCH, name)
         names.append(name)
 
+    timed = left.schema[on].dataType.typeName().startswith("timestamp")
+
     def distance(name: str) -> Column:
-        return F.abs(F.unix_micros(F.col(name)[on]) - F.unix_micros(on))
+        if timed:
+            return F.abs(F.unix_micros(F.col(name)[on]) - F.unix_micros(on))
+        return F.abs(F.col(name)[on] - F.col(on))
 
     if len(names) == 2:
         before, after = names
@@ -89,8 +102,8 @@ def asof_join(
     else:
         match = F.col(names[0])
     found = found.withColumn(_MATCH, match)
-    if tolerance_seconds is not None:
-        near = distance(_MATCH) <= int(tolerance_seconds * 1_000_000)
+    if tolerance is not None:
+        near = distance(_MATCH) <= int(tolerance * (1_000_000 if timed else 1))
         found = found.withColumn(_MATCH, F.when(near, F.col(_MATCH)))
     added = [c for c in right.columns if c not in keys]
     return found.select(

@@ -126,3 +126,42 @@ def fill_forward(
 
     kept = [c for c in numbered.rows.columns if c not in columns]
     return filled.select(*kept, *[resolved(c) for c in columns])
+
+
+def running_totals(
+    numbered: Numbered, columns: Sequence[str], size: int | None = None
+) -> DataFrame:
+    """Add ``cum_<column>``: the sum of a column over all rows up to this one, in
+    the total order and across keys."""
+    size = numbered.chunk_size() if size is None else size
+    rows = numbered.rows.withColumn(CHUNK, F.expr(f"{POS} div {size}"))
+    sums = rows.groupBy(CHUNK).agg(*[F.sum(c).alias(c) for c in columns])
+    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(
+        CHUNK, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_carry_{c}") for c in columns]
+    )
+    local = Window.partitionBy(CHUNK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        rows.withColumns({f"_local_{c}": F.sum(c).over(local) for c in columns})
+        .join(carry, CHUNK)
+        .select(
+            *numbered.rows.columns,
+            *[(F.col(f"_local_{c}") + F.col(f"_carry_{c}")).alias(f"cum_{c}") for c in columns],
+        )
+    )
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Quantiles with linear interpolation, read off the sorted positions; only the
+    two rows around each share reach the driver."""
+    numbered = number_rows(df.filter(F.col(column).isNotNull()).select(column), [], [column])
+    if numbered.count == 0:
+        return [None] * len(shares)
+    places = [share * (numbered.count - 1) for share in shares]
+    wanted = sorted({int(p) for p in places} | {min(int(p) + 1, numbered.count - 1) for p in places})
+    found = numbered.rows.filter(F.col(POS).isin(wanted)).select(POS, column).collect()
+    at = {row[POS]: float(row[column]) for row in found}
+    return [
+        at[int(p)] + (p - int(p)) * (at[min(int(p) + 1, numbered.count - 1)] - at[int(p)])
+        for p in places
+    ]
