@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["market", "events", "graphs", "texts", "patterns", "statistics"]
+AREAS = [
+    "market",
+    "events",
+    "graphs",
+    "texts",
+    "patterns",
+    "statistics",
+    "functions",
+    "learning",
+]
 
 
 def all_queries():

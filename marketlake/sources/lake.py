@@ -12,7 +12,6 @@ import importlib.util
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +37,11 @@ def hash_bucket(*keys: str, buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def delta_available(spark: SparkSession) -> bool:
     return (
         importlib.util.find_spec("delta") is not None
@@ -59,12 +63,9 @@ class LakeTable:
     # --- reading ---------------------------------------------------------------
 
     def history(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(HISTORY_SCHEMA).parquet(f"{self.path}/_history")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        if not path_exists(spark, f"{self.path}/_history"):
+            return None
+        return spark.read.schema(HISTORY_SCHEMA).parquet(f"{self.path}/_history")
 
     def last_operation(self, spark: SparkSession):
         log = self.history(spark)
