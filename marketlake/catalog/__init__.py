@@ -12,6 +12,7 @@ AREAS = [
     "patterns",
     "statistics",
     "functions",
+    "streams",
     "learning",
 ]
 

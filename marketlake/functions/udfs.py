@@ -62,19 +62,32 @@ def aggregate_by_buffers(
 ) -> DataFrame:
     """A user-defined aggregate with a mergeable buffer.
 
-    ``reduce`` turns a batch of one key's values into a buffer before the shuffle;
-    only buffers travel, at most one per key and batch, and ``merge`` folds them."""
+    ``reduce`` turns a batch of one key's values into a buffer and ``merge`` folds
+    several buffers into one.  A task folds its own buffers before the shuffle, so
+    a key sends one buffer per task, however many rows it has."""
     names = [c.split()[0] for c in buffer.split(",")]
     keys = list(keys)
 
+    def folded(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        groups = pd.concat(frames).groupby(keys, dropna=False)
+        rows = [{**dict(zip(keys, key)), **merge(group[names])} for key, group in groups]
+        return pd.DataFrame(rows)[[*keys, *names]]
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []
         for batch in batches:
             rows = [
                 {**dict(zip(keys, key)), **reduce(group[value])}
                 for key, group in batch.groupby(keys, dropna=False)
             ]
             if rows:
-                yield pd.DataFrame(rows)[[*keys, *names]]
+                held.append(pd.DataFrame(rows)[[*keys, *names]])
+            if len(held) >= 16:
+                held = [folded(held)]
+                if len(held[0]) > 100_000:
+                    yield held.pop()
+        if held:
+            yield folded(held)
 
     def final(key: tuple, buffers: pd.DataFrame) -> pd.DataFrame:
         result = finish(merge(buffers[names]))
