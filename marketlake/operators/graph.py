@@ -121,17 +121,15 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
         degrees.select(F.col("id").alias("b"), F.col("degree").alias("db")), "b"
     )
     low_first = F.struct("da", "a") < F.struct("db", "b")
-    pointed = cut_lineage(
-        ranked.select(
-            F.when(low_first, F.col("a")).otherwise(F.col("b")).alias("low"),
-            F.when(low_first, F.col("b")).otherwise(F.col("a")).alias("high"),
-        )
-    )
-    one = pointed.withColumnRenamed("high", "v")
-    other = pointed.withColumnRenamed("high", "w")
+    low = F.struct(F.col("a").alias("low"), F.col("b").alias("high"), F.col("db").alias("degree"))
+    high = F.struct(F.col("b").alias("low"), F.col("a").alias("high"), F.col("da").alias("degree"))
+    pointed = cut_lineage(ranked.select(F.when(low_first, low).otherwise(high).alias("e")).select("e.*"))
+    one = pointed.withColumnsRenamed({"high": "v", "degree": "dv"})
+    other = pointed.withColumnsRenamed({"high": "w", "degree": "dw"})
     closing = pointed.select(F.col("low").alias("v"), F.col("high").alias("w"))
-    # the closing edge fixes which of the two ends is v, so each triangle comes once
-    triangles = one.join(other, "low").join(closing, ["v", "w"])
+    # the order of the two ends is that of the closing edge: each triangle comes once
+    paths = one.join(other, "low").filter(F.struct("dv", "v") < F.struct("dw", "w"))
+    triangles = paths.select("low", "v", "w").join(closing, ["v", "w"])
     counted = (
         triangles.select(F.explode(F.array("low", "v", "w")).alias("id"))
         .groupBy("id")

@@ -103,7 +103,11 @@ def term_weights(tokens: DataFrame) -> DataFrame:
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = (
+        tokens.select(F.explode(F.array_distinct("tokens")).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+    )
     weight = F.col("tf") * F.log((F.lit(float(total)) + 1) / (F.col("df") + 1))
     return tf.join(df, "term").select("doc_id", "term", "tf", weight.alias("tfidf"))
 

@@ -77,6 +77,21 @@ def serving(spark: SparkSession, root: str, at: dt.datetime) -> None:
     tables.serving_table(root).create(front_end(recent, F.lit(at)))
 
 
+def store_forecasts(root: str, scored: DataFrame, at: dt.datetime) -> None:
+    """Predicted closes (symbol, timestamp, prediction) of the hour that follows."""
+    rows = scored.select(
+        "symbol",
+        (F.col("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("timestamp"),
+        F.col("prediction").alias("close"),
+    )
+    tables.forecast_table(root).merge(stamped(rows, at))
+
+
+def forecasts_of(spark: SparkSession, root: str, symbol: str) -> DataFrame:
+    rows = _need(spark, tables.forecast_table(root)).filter(F.col("symbol") == symbol)
+    return rows.select("timestamp", "close").orderBy("timestamp")
+
+
 def run_layers(
     spark: SparkSession,
     root: str,

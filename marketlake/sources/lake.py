@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib.util
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.plans.serving import latest_version
@@ -110,16 +110,18 @@ class LakeTable:
             f"{self.path}/_history"
         )
 
+    # Row counts come from parquet footers, read back after the write.  (Observation
+    # objects would count on the way, but a session that has used one can no longer
+    # serialise some ML models.)
+
     def create(self, df: DataFrame, batch_id: int | None = None) -> None:
         """First write, or full refresh of an existing table."""
         spark = df.sparkSession
-        seen = Observation()
         out = self._partitioned(df)
         names = list(self.partitions)
-        counted = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = (counted.hint("rebalance", *names) if names else counted).write.mode("overwrite")
+        writer = (out.hint("rebalance", *names) if names else out).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "static").partitionBy(*names).parquet(self.path)
-        rows = seen.get["rows"]
+        rows = spark.read.schema(out.schema).parquet(self.path).count()
         self._log(spark, "CREATE", out.schema, rows, inserted=rows, batch_id=batch_id)
 
     def merge(self, source: DataFrame, batch_id: int | None = None) -> None:
@@ -136,50 +138,51 @@ class LakeTable:
         target = self.read(spark)
         if target is None:
             return self.create(newest, batch_id)
-        # used three times below: compute it once, durably
+        # used several times below: compute it once, durably
         newest = cut_lineage(self._partitioned(newest))
         names = list(self.partitions)
-        if names:
-            target = self._touched(target, newest, names)
-        old = target.count()  # needs the partition columns and file footers only
-        after = Observation()
+        touched = self._touched(newest, names)
+        target = touched(target)
+        old, incoming = target.count(), newest.count()
         kept = target.join(newest.select(*self.keys), list(self.keys), "left_anti")
-        merged = (
-            kept.withColumn("_new", F.lit(0))
-            .unionByName(newest.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-            .observe(
-                after,
-                F.count(F.lit(1)).alias("rows"),
-                F.coalesce(F.sum("_new"), F.lit(0)).alias("new"),
-            )
-            .drop("_new")
-        )
+        merged = kept.unionByName(newest, allowMissingColumns=True)
         if names:
             self._write(merged, "overwrite")
         else:
             # without partitions the whole table is rewritten from a copy
             self._write(cut_lineage(merged), "overwrite", evenly=False)
-        new = after.get
-        updated = old - (new["rows"] - new["new"])
+        written = touched(spark.read.schema(merged.schema).parquet(self.path)).count()
+        inserted = written - old
         self._log(
             spark,
             "MERGE",
             merged.schema,
-            new["rows"],
-            updated=updated,
-            inserted=new["new"] - updated,
+            written,
+            updated=incoming - inserted,
+            inserted=inserted,
             batch_id=batch_id,
             keys=",".join(self.keys),
         )
 
-    def _touched(self, target: DataFrame, source: DataFrame, names: Sequence[str]) -> DataFrame:
-        """Target rows in the partitions the source writes to."""
+    def _touched(self, source: DataFrame, names: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+        """Restriction of the table to the partitions the source writes to."""
+        if not names:
+            return lambda table: table
+        parts = source.select(*names).distinct()
         first = names[0]
         # days or hash buckets: a short list; a longer one is not worth pruning by
-        values = [r[0] for r in source.select(first).distinct().limit(PRUNE_LIMIT + 1).collect()]
-        if len(values) <= PRUNE_LIMIT:
-            target = target.filter(F.col(first).isin(values))
-        return target.join(source.select(*names).distinct(), list(names), "left_semi")
+        values = [r[0] for r in parts.select(first).distinct().limit(PRUNE_LIMIT + 1).collect()]
+        if None in values:
+            raise ValueError(f"{self.path}: a row without {first} (are its keys null?)")
+
+        def restrict(table: DataFrame) -> DataFrame:
+            if len(values) <= PRUNE_LIMIT:
+                table = table.filter(F.col(first).isin(values))
+                if len(names) == 1:
+                    return table
+            return table.join(parts, list(names), "left_semi")
+
+        return restrict
 
     def _merge_delta(self, source: DataFrame) -> None:
         from delta.tables import DeltaTable
@@ -213,15 +216,13 @@ class LakeTable:
             rows = rows.filter(where)
         order = [*self.partitions, *(self.cluster_by or self.keys)]
         order = list(dict.fromkeys(order))
-        seen = Observation()
-        sorted_rows = (
-            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .repartitionByRange(files or slice_count(spark), *order)
-            .sortWithinPartitions(*order)
+        count = rows.count()
+        sorted_rows = rows.repartitionByRange(files or slice_count(spark), *order).sortWithinPartitions(
+            *order
         )
         schema = sorted_rows.schema
         if self.partitions:
             self._write(sorted_rows, "overwrite", evenly=False)
         else:
             self._write(cut_lineage(sorted_rows), "overwrite", evenly=False)
-        self._log(spark, "COMPACT", schema, seen.get["rows"], cluster_by=",".join(order))
+        self._log(spark, "COMPACT", schema, count, cluster_by=",".join(order))

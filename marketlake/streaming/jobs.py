@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -101,22 +101,15 @@ def without_excluded(path: str, excluded: DataFrame, word: str = "word"):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         marked = batch.join(excluded.select(word).distinct().withColumn("_out", F.lit(True)), word, "left")
-        counters = Observation()
-        kept = (
-            marked.observe(
-                counters,
-                F.count("_out").alias("dropped"),
-                F.count(F.lit(1)).alias("seen"),
-            )
-            .filter("_out IS NULL")
-            .groupBy(word)
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        kept.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
-        numbers = counters.get
-        batch.sparkSession.createDataFrame(
-            [(numbers["seen"], numbers["dropped"])], "seen long, dropped long"
-        ).write.mode("overwrite").parquet(f"{path}/counters/batch={batch_id}")
+        marked = marked.persist()
+        try:
+            kept = marked.filter("_out IS NULL").groupBy(word).agg(F.count(F.lit(1)).alias("n"))
+            kept.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
+            marked.agg(F.count(F.lit(1)).alias("seen"), F.count("_out").alias("dropped")).write.mode(
+                "overwrite"
+            ).parquet(f"{path}/counters/batch={batch_id}")
+        finally:
+            marked.unpersist()
 
     return write
 
