@@ -89,23 +89,23 @@ def indicator_rsi(spark, sf):
 
 
 def _price_pages(spark, sf):
-    """One landed page per symbol and day.  A day without 20 bars answers with an
-    error body, whose ``results`` is not a list."""
+    """One landed page per symbol and day.  A day that starts below 10 answers with
+    an error body, whose ``results`` is not a list."""
     bars = adapters.price_rows(spark, sf)
     fields = [F.col(n).alias(w) for w, n in messages.PRICE_NAMES.items()]
     pages = bars.groupBy("symbol", F.to_date(F.timestamp_millis("timestamp")).alias("day")).agg(
-        F.collect_list(F.struct(*fields)).alias("results"), F.count(F.lit(1)).alias("n")
+        F.collect_list(F.struct(*fields)).alias("results"), F.min_by("close", "timestamp").alias("first")
     )
     good = F.to_json(F.struct(F.lit("OK").alias("status"), "results"))
     failed = F.lit('{"status":"ERROR","error":"no data"}')
-    return pages.select("symbol", F.when(F.col("n") >= 20, good).otherwise(failed).alias("body"))
+    return pages.select("symbol", F.when(F.col("first") >= 10, good).otherwise(failed).alias("body"))
 
 
 @book.add(
     "landed_price_pages",
     V.with_views(V.TICKS, V.bars())
     + f"""SELECT symbol, epoch_ms(ts) AS timestamp, {BAR_SQL} FROM (
-  SELECT *, count(*) OVER (PARTITION BY symbol, CAST(ts AS DATE)) AS n FROM bars) WHERE n >= 20""",
+  SELECT *, first_value(close) OVER (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY ts) AS f FROM bars) WHERE f >= 10""",
 )
 def landed_price_pages(spark, sf):
     return rounded(messages.unpack_price_pages(_price_pages(spark, sf)), "volume_weighted")
@@ -253,11 +253,11 @@ def news_for_symbol(spark, sf):
     "news_newest_on_day",
     V.with_views(V.NEWS)
     + """SELECT id, epoch_ms(published_utc) AS published_ms FROM news
-WHERE list_contains(tickers, 'view') AND CAST(published_utc AS DATE) = DATE '2024-01-20'
+WHERE list_contains(tickers, 'view') AND CAST(published_utc AS DATE) = DATE '2024-01-05'
 ORDER BY published_utc DESC, id DESC LIMIT 5""",
 )
 def news_newest_on_day(spark, sf):
-    rows = news.newest_on_day(adapters.news_articles(spark, sf), "view", dt.date(2024, 1, 20))
+    rows = news.newest_on_day(adapters.news_articles(spark, sf), "view", dt.date(2024, 1, 5))
     return rows.select("id", F.unix_millis("published_utc").alias("published_ms"))
 
 

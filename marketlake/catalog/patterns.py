@@ -12,7 +12,7 @@ book = Book()
 
 _BASKETS = """pairs AS MATERIALIZED (
   SELECT DISTINCT l_orderkey AS basket, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey),
-least AS (SELECT ceil(0.01 * count(DISTINCT basket)) AS n FROM pairs),
+least AS (SELECT ceil(0.02 * count(DISTINCT basket)) AS n FROM pairs),
 sets AS (
   SELECT item AS items, 1 AS length, count(*) AS freq FROM pairs GROUP BY item HAVING count(*) >= (SELECT n FROM least)
   UNION ALL
@@ -30,7 +30,7 @@ def _baskets(spark, sf):
 
 @book.add("frequent_item_sets", f"WITH {_BASKETS} SELECT items, length, freq FROM sets")
 def frequent_item_sets(spark, sf):
-    sets, _ = mining.frequent_sets(_baskets(spark, sf), 0.01)
+    sets, _ = mining.frequent_sets(_baskets(spark, sf), 0.02)
     return sets.select(
         F.array_join(F.array_sort("items"), "|").alias("items"), F.size("items").alias("length"), "freq"
     )
@@ -45,7 +45,7 @@ SELECT antecedent, consequent, {sql6("rules.freq / s.freq")} AS confidence
 FROM rules JOIN sets s ON s.items = antecedent WHERE rules.freq / s.freq >= 0.1""",
 )
 def association_rules(spark, sf):
-    _, rules = mining.frequent_sets(_baskets(spark, sf), 0.01)
+    _, rules = mining.frequent_sets(_baskets(spark, sf), 0.02)
     named = rules.select(
         F.array_join("antecedent", "|").alias("antecedent"),
         F.array_join("consequent", "|").alias("consequent"),
