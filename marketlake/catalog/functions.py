@@ -43,13 +43,13 @@ def typed_aggregates(spark, sf):
 
 @book.add(
     "udf_scalar",
-    f"SELECT event_id, {sql6('(value - 50) ** 2')} AS squared FROM events WHERE user_id % 2 = 0",
+    f"SELECT event_id, {sql6('(value - 50) ** 2')} AS squared FROM events WHERE value > 100",
 )
 def udf_scalar(spark, sf):
-    """User functions in SELECT and WHERE of SQL text (the example's own predicate)."""
+    """User functions in SELECT and WHERE of SQL text."""
     udfs.register_all(spark)
     _events(spark, sf).createOrReplaceTempView("udf_events")
-    found = spark.sql("SELECT event_id, centred_square(value) AS squared FROM udf_events WHERE is_even(user_id)")
+    found = spark.sql("SELECT event_id, centred_square(value) AS squared FROM udf_events WHERE is_high(value)")
     return rounded(found, "squared")
 
 

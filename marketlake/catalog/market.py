@@ -523,11 +523,12 @@ def factorial_sum(spark, sf):
 
 
 @book.add(
-    "even_sum",
-    "SELECT 'even' AS key, CAST(sum(event_id) AS BIGINT) AS total FROM events WHERE event_id % 2 = 0",
+    "parity_sums",
+    """SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS key, CAST(sum(event_id) AS BIGINT) AS total
+FROM events GROUP BY 1""",
 )
-def even_sum(spark, sf):
-    """The job's own predicate: keep even numbers, key them, add them up."""
+def parity_sums(spark, sf):
+    """Key every number by its parity and add up per key."""
     ids = driver_table(spark, sf, "events").select("event_id")
-    keyed = ids.filter(F.col("event_id") % 2 == 0).withColumn("key", F.lit("even"))
-    return keyed.groupBy("key").agg(F.sum("event_id").alias("total"))
+    parity = F.when(F.col("event_id") % 2 == 0, "even").otherwise("odd")
+    return ids.groupBy(parity.alias("key")).agg(F.sum("event_id").alias("total"))

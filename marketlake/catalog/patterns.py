@@ -115,5 +115,7 @@ def near_vectors(spark, sf):
 
 @book.add("near_texts")
 def near_texts(spark, sf):
-    docs = driver_table(spark, sf, "documents").select("doc_id", "text")
-    return similarity.near_texts(text.tokens_without(docs), "doc_id", 0.5)
+    """Texts as sets of three-word runs; a shorter text is the set of its words."""
+    docs = driver_table(spark, sf, "documents").select("doc_id", text.words("text").alias("tokens"))
+    runs = F.when(F.size("tokens") < 3, F.col("tokens")).otherwise(text.ngrams("tokens", 3))
+    return similarity.near_texts(docs.withColumn("tokens", runs), "doc_id", 0.5)

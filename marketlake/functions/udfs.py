@@ -24,8 +24,8 @@ def centred_square(values: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.BooleanType())
-def is_even(values: pd.Series) -> pd.Series:
-    return values % 2 == 0
+def is_high(values: pd.Series) -> pd.Series:
+    return values > 100.0
 
 
 @F.pandas_udf(T.LongType())
@@ -44,7 +44,7 @@ def random_draw():
 def register_all(spark: SparkSession) -> None:
     """Make the scalar and table functions known to SQL text."""
     spark.udf.register("centred_square", centred_square)
-    spark.udf.register("is_even", is_even)
+    spark.udf.register("is_high", is_high)
     spark.udtf.register("word_positions", WordPositions)
 
 

@@ -121,17 +121,15 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
         degrees.select(F.col("id").alias("b"), F.col("degree").alias("db")), "b"
     )
     low_first = F.struct("da", "a") < F.struct("db", "b")
-    low = F.struct(F.col("a").alias("low"), F.col("b").alias("high"), F.col("db").alias("degree"))
-    high = F.struct(F.col("b").alias("low"), F.col("a").alias("high"), F.col("da").alias("degree"))
+    low = F.struct(F.col("a").alias("u"), F.col("b").alias("v"))
+    high = F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
     pointed = cut_lineage(ranked.select(F.when(low_first, low).otherwise(high).alias("e")).select("e.*"))
-    one = pointed.withColumnsRenamed({"high": "v", "degree": "dv"})
-    other = pointed.withColumnsRenamed({"high": "w", "degree": "dw"})
-    closing = pointed.select(F.col("low").alias("v"), F.col("high").alias("w"))
-    # the order of the two ends is that of the closing edge: each triangle comes once
-    paths = one.join(other, "low").filter(F.struct("dv", "v") < F.struct("dw", "w"))
-    triangles = paths.select("low", "v", "w").join(closing, ["v", "w"])
+    onward = pointed.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    closing = pointed.select("u", F.col("v").alias("w"))
+    # edges follow one total order, so each triangle is one path u, v, w and one edge u, w
+    triangles = pointed.join(onward, "v").join(closing, ["u", "w"])
     counted = (
-        triangles.select(F.explode(F.array("low", "v", "w")).alias("id"))
+        triangles.select(F.explode(F.array("u", "v", "w")).alias("id"))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("triangles"))
     )

@@ -98,7 +98,9 @@ def near_vectors(
 ) -> DataFrame:
     """Pairs of distinct vectors within a Euclidean distance, by random projection."""
     chosen, _ = copy_groups(df.select(key, column), key, column)
-    vectors = chosen.select(key, array_to_vector(F.col(column).cast("array<double>")).alias("v"))
+    vectors = cut_lineage(
+        chosen.select(key, array_to_vector(F.col(column).cast("array<double>")).alias("v"))
+    )
     model = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed
     ).fit(vectors)
@@ -112,6 +114,8 @@ def near_texts(
     filled = tokens.filter(F.size("tokens") > 0).select(key, F.array_sort(F.array_distinct("tokens")).alias("tokens"))
     chosen, _ = copy_groups(filled, key, "tokens")
     sets = HashingTF(inputCol="tokens", outputCol="v", numFeatures=slots, binary=True).transform(chosen)
-    model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=tables, seed=seed).fit(sets)
-    slim = sets.select(key, "v")
+    # Materialised, because the join's explode makes the optimizer test its hashes in
+    # the same filter that drops empty sets, and min-hash refuses an empty set.
+    slim = cut_lineage(sets.select(key, "v"))
+    model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=tables, seed=seed).fit(slim)
     return _ordered_pairs(model.approxSimilarityJoin(slim, slim, within, "distance"), key)

@@ -94,7 +94,7 @@ def test_near_pairs_against_all_pairs(spark):
 
 def test_near_texts_by_min_hash(spark):
     words = [f"w{k}" for k in range(40)]
-    rows = [(1, words), (2, words[:-2]), (3, [f"x{k}" for k in range(40)]), (4, list(reversed(words)))]
+    rows = [(1, words), (2, words[:-2]), (3, [f"x{k}" for k in range(40)]), (4, list(reversed(words))), (5, [])]
     df = spark.createDataFrame(rows, "id long, tokens array<string>")
     got = [(r.left, r.right, round(r.distance, 3)) for r in similarity.near_texts(df, "id", 0.3).collect()]
     assert got == [(1, 2, 0.05)]
