@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators import indicators as ind
 from marketlake.operators.bars import build_bars
 from marketlake.schemas import PRICE_NAMES
 from marketlake.sources.tables import driver_table
@@ -42,6 +43,16 @@ def price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def indicator_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON message per indicator value; the topic is the indicator."""
+    bars = ind.number_bars(minute_bars(spark, sf_dir))
+    values = ind.long_form(ind.all_indicators(bars))
+    body = F.struct(F.unix_millis("timestamp").alias("timestamp"), "value", "symbol")
+    return values.select(
+        F.col("indicator").alias("topic"), F.to_json(body).cast("binary").alias("value")
+    )
+
+
 def quote_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Websocket-style aggregates: each message is a JSON array with one entry
     per symbol that traded in that minute."""

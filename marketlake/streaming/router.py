@@ -59,9 +59,12 @@ class Router:
                 wanted = [t for t in topics if t in present]
                 if not wanted or table.applied(batch.sparkSession, batch_id):
                     continue
-                split = messages.split_valid(parse(messages.of_topics(batch, wanted)), table.keys)
+                # parsed once for both outputs
+                parsed = parse(messages.of_topics(batch, wanted)).persist()
+                split = messages.split_valid(parsed, table.keys)
                 self._reject(split.rejected, table.path, batch_id)
                 table.merge(stamped(split.valid, self.at), batch_id)
+                parsed.unpersist()
         finally:
             batch.unpersist()
 
