@@ -90,11 +90,21 @@ class LakeTable:
 
     def _write(self, df: DataFrame, mode: str, evenly: bool = True) -> None:
         names = list(self.partitions)
-        if evenly and names:
-            # AQE splits a partition value that is too big and joins small ones
-            df = df.hint("rebalance", *names)
+        if evenly:
+            df = self._spread(df)
         df.write.mode(mode).partitionBy(*names).parquet(self.path)
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Few files per partition, and several writers for a very large one.  AQE
+        does that; inside a stateful stream it is off, and ranges of the keys do."""
+        names = list(self.partitions)
+        if not names:
+            return df
+        spark = df.sparkSession
+        if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+            return df.hint("rebalance", *names)
+        return df.repartitionByRange(slice_count(spark), *names, *self.keys)
+
     def _log(self, spark, operation, schema, written, updated=0, inserted=0, batch_id=None, **params):
         row = (
             operation,
@@ -119,7 +129,7 @@ class LakeTable:
         spark = df.sparkSession
         out = self._partitioned(df)
         names = list(self.partitions)
-        writer = (out.hint("rebalance", *names) if names else out).write.mode("overwrite")
+        writer = self._spread(out).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "static").partitionBy(*names).parquet(self.path)
         rows = spark.read.schema(out.schema).parquet(self.path).count()
         self._log(spark, "CREATE", out.schema, rows, inserted=rows, batch_id=batch_id)
