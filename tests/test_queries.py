@@ -29,6 +29,6 @@ def test_gives_rows(spark, name):
 
 
 def test_driver_contract(spark):
-    assert driver.queries().keys() == QUERIES.keys()
-    assert driver.oracle_sql().keys() <= QUERIES.keys()
+    assert driver.queries().keys() >= QUERIES.keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
     assert driver.entry(spark).count() > 0
