@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import (
     embedding_dup,
+    line_dup,
     mixing,
     near_dup,
     packing,
+    quality_model,
     quality_rules,
     token_files,
+    warc,
 )
 from marketlake.llm.common import keep, table
 from marketlake.session import pin_runtime
@@ -108,6 +111,29 @@ def op3(spark, sf_dir):
     return mixing.mix(_documents(spark, sf_dir)).drop("times", "part")
 
 
+OP4_SQL = """WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
+         sha256(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE n >= 100 GROUP BY digest)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON p.digest = f.digest AND p.n >= 100"""
+
+
+@query("op4_warc", OP4_SQL)
+def op4(spark, sf_dir):
+    folder, manifest = warc.write_warc(table(pin_runtime(spark), sf_dir, "pages"))
+    return warc.read_warc(folder, manifest).drop("url")
+
+
+@query("op6_quality_classifier")
+def op6(spark, sf_dir):
+    return quality_model.score_documents(
+        _documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    )
+
+
 @query("op7_embedding_near_dedup")
 def op7(spark, sf_dir):
     return embedding_dup.near_vectors(table(pin_runtime(spark), sf_dir, "embeddings"))
@@ -132,3 +158,40 @@ def op9(spark, sf_dir):
     return quality_rules.judge(stats, quality_rules.fit(stats)).select(
         "doc_id", *quality_rules.STATISTICS, "base_failed", "kept", "quality"
     )
+
+
+OP10_SQL = """WITH RECURSIVE texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+lines AS MATERIALIZED (
+  SELECT doc_id, i, parts[i + 1] AS line,
+         len(list_filter(regexp_split_to_array(parts[i + 1], '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS words
+  FROM (SELECT doc_id, parts, unnest(range(len(parts))) AS i FROM texts)),
+upto AS MATERIALIZED (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM lines),
+windows AS MATERIALIZED (
+  SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM upto a JOIN upto b
+    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 8 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM upto a JOIN upto b
+    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 8 GROUP BY b.doc_id, b.i),
+contents AS MATERIALIZED (
+  SELECT w.doc_id, w.s, w.e, string_agg(l.line, chr(10) ORDER BY l.i) AS content
+  FROM windows w JOIN lines l ON l.doc_id = w.doc_id AND l.i BETWEEN w.s AND w.e GROUP BY ALL),
+firsts AS (SELECT content, e - s AS n, min(doc_id) AS doc, arg_min(s, doc_id * 100000 + s) AS s FROM contents GROUP BY ALL),
+gone AS (
+  SELECT DISTINCT c.doc_id, unnest(range(c.s, c.e + 1)) AS i
+  FROM contents c JOIN firsts f ON c.content = f.content AND c.e - c.s = f.n
+  WHERE c.doc_id <> f.doc OR c.s > f.s + f.n)
+SELECT t.doc_id, len(t.parts) AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = t.doc_id) AS n_removed,
+       CASE WHEN EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = t.doc_id)
+            THEN coalesce((SELECT string_agg(l.line, chr(10) ORDER BY l.i) FROM lines l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i WHERE l.doc_id = t.doc_id), '')
+            ELSE t.text END AS text
+FROM texts t
+UNION ALL SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL"""
+
+
+@query("op10_line_dedup", OP10_SQL)
+def op10(spark, sf_dir):
+    rows = line_dup.without_repeated_lines(
+        _documents(spark, sf_dir).select("doc_id", "text")
+    )
+    return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
