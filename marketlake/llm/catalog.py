@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import (
     embedding_dup,
+    html_text,
     line_dup,
     mixing,
     near_dup,
@@ -127,6 +128,11 @@ def op4(spark, sf_dir):
     return warc.read_warc(folder, manifest).drop("url")
 
 
+@query("op5_html_extraction")
+def op5(spark, sf_dir):
+    return html_text.extract(table(pin_runtime(spark), sf_dir, "pages"))
+
+
 @query("op6_quality_classifier")
 def op6(spark, sf_dir):
     return quality_model.score_documents(

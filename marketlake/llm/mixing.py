@@ -27,6 +27,7 @@ from marketlake.operators.ordered import POS, number_rows
 DIGITS, LEVELS = 4, 3  # hex digits per level, levels
 MOST_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
+_READ = ("doc_id", "source", "text")
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -57,12 +58,17 @@ def water_fill(sources: DataFrame, budget: int, most_epochs: int = MOST_EPOCHS)
     )
 
 
-def document_sizes(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, source, size (words) and the seeded hash as hex digits."""
-    size = F.size(words_of(F.col("text"))).cast("long")
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """Add _size (words) and _hash, the seeded hash as hex digits."""
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return docs.select("doc_id", "source", size.alias("size")).withColumn(
-        "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), named, F.col("size").cast("string")))
+    return docs.withColumn("_size", F.size(words_of(F.col("text"))).cast("long")).withColumn(
+        "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), named, F.col("_size").cast("string")))
+    )
+
+
+def document_sizes(docs: DataFrame, seed: int) -> DataFrame:
+    return _sized(docs.select("doc_id", "source", "text"), seed).select(
+        "doc_id", "source", F.col("_size").alias("size"), "_hash"
     )
 
 
@@ -137,60 +143,66 @@ def _ends(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return last.select("source", "_end", (F.col("_need") / F.col("_n")).alias("_share"))
 
 
-def mix(
-    docs: DataFrame,
-    seed: int = 1,
-    weights: tuple[int, ...] = WEIGHTS,
-    most_epochs: int = MOST_EPOCHS,
+def plan_mix(
+    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document; ``times``, how often
-    the mix takes it whole, and ``part``, the words it takes besides."""
-    sizes = keep(document_sizes(docs, seed), "mix-sizes")
+    """One row per source: source, source_size, target, _end, _share."""
     targets = source_targets(sizes, weights, most_epochs)
     ends = _ends(sizes, targets)
-    plan = keep(
+    end = F.coalesce("_end", F.lit("")).alias("_end")
+    return keep(
         targets.alias("t")
         .join(ends.alias("e"), _same(F.col("t.source"), F.col("e.source")), "left")
-        .select("t.source", "source_size", "target", F.coalesce("_end", F.lit("")).alias("_end"), "_share"),
+        .select("t.source", "source_size", "target", end, "_share"),
         "mix-plan",
     )
+
+
+def _decided(rows: DataFrame, plan: DataFrame, size: str) -> DataFrame:
+    """Join rows (source, _hash, a size) with the plan and add ``_times``, how often the
+    mix takes a document whole, and ``_part``, the words it takes besides."""
     epochs = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
     ).otherwise(F.lit(0))
     digits = F.substring("_hash", 1, LEVELS * DIGITS)
-    part = F.when(digits == F.col("_end"), F.floor(F.col("size") * F.col("_share")))
+    part = F.when(digits == F.col("_end"), F.floor(F.col(size) * F.col("_share")))
+    named = plan.withColumnRenamed("source", "_source")
     return (
-        sizes.alias("s")
-        .join(plan.alias("p"), _same(F.col("s.source"), F.col("p.source")))
-        .withColumn("times", (epochs + (digits < F.col("_end")).cast("long")).cast("long"))
-        .withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            (F.col("size") * F.col("times") + F.col("part")).alias("taken"),
-            "times",
-            "part",
-        )
+        rows.join(named, _same(F.col("source"), F.col("_source")))
+        .withColumn("_times", (epochs + (digits < F.col("_end")).cast("long")).cast("long"))
+        .withColumn("_part", F.coalesce(part, F.lit(0)).cast("long"))
+    )
+
+
+def mix(docs: DataFrame, seed: int = 1, **settings) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document, with ``times``, how
+    often it is taken whole, and ``part``, the words taken besides."""
+    sizes = keep(document_sizes(docs, seed), "mix-sizes")
+    return _decided(sizes, plan_mix(sizes, **settings), "size").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("_times") + F.col("_part")).alias("taken"),
+        F.col("_times").alias("times"),
+        F.col("_part").alias("part"),
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = 1, **settings) -> DataFrame:
     """The documents as the mix takes them: a row for each whole repetition, and one
     with the first words of the text for a fraction.  Columns stay as they are."""
-    plan = mix(docs, seed, **settings).select("doc_id", "size", "times", "part").distinct()
-    sized = docs.withColumn("_size", F.size(words_of(F.col("text"))).cast("long"))
-    joined = sized.alias("d").join(
-        plan.alias("p"),
-        _same(F.col("d.doc_id"), F.col("p.doc_id")) & (F.col("d._size") == F.col("p.size")),
-    )
-    cut = F.array_join(F.slice(words_of(F.col("d.text")), 1, F.col("part").cast("int")), " ")
+    plan = plan_mix(keep(document_sizes(docs, seed), "mix-sizes"), **settings)
+    inner = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in _READ}
+    rows = _decided(_sized(docs.withColumnsRenamed(inner), seed), plan, "_size")
+    cut = F.array_join(F.slice(words_of(F.col("text")), 1, F.col("_part").cast("int")), " ")
     copies = F.concat(
-        F.array_repeat(F.col("d.text"), F.col("times").cast("int")),
-        F.when(F.col("part") > 0, F.array(cut)).otherwise(F.array().cast("array<string>")),
+        F.array_repeat("text", F.col("_times").cast("int")),
+        F.when(F.col("_part") > 0, F.array(cut)).otherwise(F.array().cast("array<string>")),
+    )
+    others = [inner.get(c, c) for c in docs.columns if c != "text"]
+    return (
+        rows.select(*others, F.explode(copies).alias("text"))
+        .withColumnsRenamed({v: k for k, v in inner.items()})
+        .select(*docs.columns)
     )
-    others = [c for c in docs.columns if c != "text"]
-    return joined.select(
-        *[F.col(f"d.{c}") for c in others], F.explode(copies).alias("text")
-    ).select(*docs.columns)
