@@ -12,7 +12,7 @@ from marketlake.catalog.entry import Book, millis, r6, rounded, sql6
 from marketlake.functions import udfs
 from marketlake.operators.bars import build_bars
 from marketlake.plans import tables
-from marketlake.session import scratch_path
+from marketlake.session import cut_lineage, scratch_path
 from marketlake.sources import adapters, files
 from marketlake.sources.lake import LakeTable, day_of
 from marketlake.sources.tables import driver_table
@@ -29,7 +29,17 @@ def _events(spark, sf):
 
 @book.add("udaf_mean", f"SELECT event_type, {sql6('avg(value)')} AS result FROM events GROUP BY 1")
 def udaf_mean(spark, sf):
-    return rounded(udfs.mean_by_buffers(_events(spark, sf), "event_type", "value"), "result")
+    found = udfs.moments(_events(spark, sf), "event_type", "value")
+    return rounded(found.select("event_type", F.col("mean").alias("result")), "result")
+
+
+@book.add(
+    "udaf_moments",
+    f"""SELECT event_type, count(value) AS n, {sql6("avg(value)")} AS mean, {sql6("stddev_pop(value)")} AS deviation
+FROM events GROUP BY 1""",
+)
+def udaf_moments(spark, sf):
+    return rounded(udfs.moments(_events(spark, sf), "event_type", "value"), "mean", "deviation")
 
 
 @book.add(
@@ -53,9 +63,17 @@ def udf_scalar(spark, sf):
     return rounded(found, "squared")
 
 
-@book.add("udf_nondeterministic")
+@book.add(
+    "udf_nondeterministic",
+    "SELECT event_id, TRUE AS in_range, (SELECT count(*) FROM events) > 1 AS vary FROM events",
+)
 def udf_nondeterministic(spark, sf):
-    return _events(spark, sf).select("event_id", udfs.random_draw().alias("draw"))
+    """Draws differ from run to run; what can be said of them is that they lie in [0, 1)
+    and are not all the same."""
+    drawn = cut_lineage(_events(spark, sf).select("event_id", udfs.random_draw().alias("draw")))
+    low, high = drawn.agg(F.min("draw"), F.max("draw")).first()
+    within = (F.col("draw") >= 0) & (F.col("draw") < 1)
+    return drawn.select("event_id", within.alias("in_range"), F.lit(low < high).alias("vary"))
 
 
 @book.add("udf_iterator", "SELECT doc_id, length(trim(text, ' ' || chr(9) || chr(10) || chr(13))) AS n FROM documents")
@@ -99,30 +117,43 @@ def udf_window(spark, sf):
 @book.add(
     "udf_grouped_map",
     _HOURS
-    + f"""SELECT symbol, day, timestamp, {sql6("close - avg(close) OVER (PARTITION BY symbol, day)")} AS close FROM hours""",
+    + f""", scaled AS (
+  SELECT *, (close - median(close) OVER w) / coalesce(nullif(max(close) OVER w - min(close) OVER w, 0), 1) AS s
+  FROM hours WINDOW w AS (PARTITION BY symbol, day))
+SELECT symbol, day, timestamp, close, {sql6("s")} AS close_standing,
+  rank() OVER (PARTITION BY symbol, day ORDER BY round(s, 9)) AS place FROM scaled""",
 )
 def udf_grouped_map(spark, sf):
-    return rounded(udfs.subtract_group_mean(_hours(spark, sf), ["symbol", "day"], "close"), "close")
+    placed = udfs.standing_in_group(_hours(spark, sf), ["symbol", "day"], ["close"])
+    return rounded(placed, "close_standing")
 
 
 @book.add(
     "udf_cogrouped_map",
     _HOURS
-    + """, half AS (SELECT symbol, day, timestamp + 1800000 AS timestamp, close FROM hours)
-SELECT h.symbol, h.day, h.timestamp, h.close AS close_now, p.close AS close_before
-FROM half h ASOF LEFT JOIN hours p ON h.symbol = p.symbol AND h.day = p.day AND h.timestamp >= p.timestamp""",
+    + f""", clock AS (SELECT *, timestamp % 86400000 AS hour FROM hours),
+before AS (SELECT symbol, strftime(CAST(day AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS day, hour, close FROM clock)
+SELECT symbol, day, count(a.close) AS n_today, count(b.close) AS n_before, count(a.close - b.close) AS n_both,
+  {sql6("avg(a.close - b.close)")} AS mean_change
+FROM clock a FULL JOIN before b USING (symbol, day, hour) GROUP BY ALL""",
 )
 def udf_cogrouped_map(spark, sf):
-    hours = _hours(spark, sf)
-    later = hours.select("symbol", "day", (F.col("timestamp") + 1_800_000).alias("timestamp"), F.col("close").alias("close_now"))
-    before = hours.withColumnRenamed("close", "close_before")
-    schema = "symbol string, day string, timestamp long, close_now double, close_before double"
-    return udfs.merged_groups(later, before, ["symbol", "day"], "timestamp", schema)
+    """Each day's hours against the same hours of the day before."""
+    clock = _hours(spark, sf).select(
+        "symbol", "day", (F.col("timestamp") % 86_400_000).alias("hour"), "close"
+    )
+    next_day = F.date_format(F.date_add(F.to_date("day"), 1), "yyyy-MM-dd")
+    before = clock.withColumn("day", next_day)
+    return rounded(udfs.day_on_day(clock, before, ["symbol", "day"], "hour", "close"), "mean_change")
 
 
-@book.add("udf_map_batches", "SELECT event_id, value FROM events WHERE value > 100")
+@book.add(
+    "udf_map_batches",
+    """SELECT event_id, unnest(range(1, CAST(ceil(value / 50) AS BIGINT) + 1)) AS step
+FROM events WHERE value > 0""",
+)
 def udf_map_batches(spark, sf):
-    return udfs.rows_above(_events(spark, sf).select("event_id", "value"), "value", 100.0)
+    return udfs.started_steps(_events(spark, sf), "event_id", "value", 50.0)
 
 
 @book.add(

@@ -41,40 +41,29 @@ def _trade_edges(spark, sf):
     return graph.both_ways(pairs)
 
 
-_NATIONS = """flows AS (
-  SELECT c_nationkey AS src, s_nationkey AS dst, sum(l_quantity) AS q
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
-nations AS MATERIALIZED (SELECT src, dst FROM (
-  SELECT *, row_number() OVER (PARTITION BY src ORDER BY q DESC, dst) AS r FROM flows) WHERE r <= 2)"""
+_STEPS = """steps AS MATERIALIZED (SELECT src, dst FROM (
+  SELECT event_id AS src, lead(event_id) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS dst
+  FROM events) WHERE dst IS NOT NULL)"""
 
 
-def _nation_edges(spark, sf):
-    """Nations linked to the two nations they buy most from."""
-    lines = driver_table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    orders = driver_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    buyers = driver_table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("src"))
-    sellers = driver_table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("dst"))
-    flows = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("src", "dst")
-        .agg(F.sum("l_quantity").alias("q"))
-    )
-    best = Window.partitionBy("src").orderBy(F.desc("q"), "dst")
-    return flows.withColumn("r", F.row_number().over(best)).filter("r <= 2").select("src", "dst")
+def _steps(spark, sf):
+    """Each event of a user's day leads to the next one: many chains, each bounded by what
+    a user does in a day."""
+    events = driver_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    later = F.lead("event_id").over(Window.partitionBy("user_id", "day").orderBy("ts", "event_id"))
+    return events.select(F.col("event_id").alias("src"), later.alias("dst")).filter("dst IS NOT NULL")
 
 
 @book.add(
     "graph_transitive_closure",
-    f"""WITH RECURSIVE {_NATIONS},
-closure AS (SELECT src, dst FROM nations UNION
-  SELECT c.src, e.dst FROM closure c JOIN nations e ON c.dst = e.src)
+    f"""WITH RECURSIVE {_STEPS},
+closure AS (SELECT src, dst FROM steps UNION
+  SELECT c.src, e.dst FROM closure c JOIN steps e ON c.dst = e.src)
 SELECT src, dst FROM closure""",
 )
 def graph_transitive_closure(spark, sf):
-    return graph.transitive_closure(_nation_edges(spark, sf))
+    """All later events of the same day, for every event."""
+    return graph.transitive_closure(_steps(spark, sf))
 
 
 def _rank_sql(rounds, edges="edges"):
@@ -101,30 +90,37 @@ def graph_pagerank(spark, sf):
 
 @book.add(
     "graph_pagerank_converged",
-    f"WITH {_NATIONS}, {_rank_sql(60, 'nations')} SELECT id, round(rank, 4) AS rank FROM r60",
+    f"WITH {_STEPS}, {_rank_sql(30, 'steps')} SELECT id, round(rank, 4) AS rank FROM r30",
 )
 def graph_pagerank_converged(spark, sf):
-    ranks = graph.pagerank(_nation_edges(spark, sf), 100, tolerance=1e-7)
+    ranks = graph.pagerank(_steps(spark, sf), 200, tolerance=1e-7)
     return ranks.select("id", F.round("rank", 4).alias("rank"))
 
 
-def _bulk_edges(spark, sf):
-    """Customers and the parts they buy fifty at a time: a sparse graph."""
-    bulk = _trades(spark, sf).filter("quantity >= 50")
-    return bulk.select(F.col("customer").alias("src"), F.col("part").alias("dst")).distinct()
+def _label_sql(rounds):
+    """Labels after so many rounds, each with a jump to the label's own label."""
+    steps = ["""links AS MATERIALIZED (SELECT DISTINCT customer AS src, part AS dst FROM trades
+  UNION SELECT DISTINCT part, customer FROM trades),
+l0 AS MATERIALIZED (SELECT DISTINCT src AS id, src AS label FROM links)"""]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"""m{k} AS MATERIALIZED (SELECT id, min(label) AS label FROM (
+  SELECT * FROM l{k - 1} UNION ALL SELECT dst, label FROM l{k - 1} JOIN links ON id = src) GROUP BY id),
+l{k} AS MATERIALIZED (SELECT m.id, j.label FROM m{k} m JOIN m{k} j ON m.label = j.id)"""
+        )
+    return ",\n".join(steps)
 
 
 @book.add(
     "graph_components",
-    f"""WITH RECURSIVE {_TRADES},
-links AS MATERIALIZED (SELECT DISTINCT customer AS src, part AS dst FROM trades WHERE quantity >= 50
-  UNION SELECT DISTINCT part, customer FROM trades WHERE quantity >= 50),
-reach AS (SELECT DISTINCT src AS id, src AS label FROM links
-  UNION SELECT l.dst, r.label FROM reach r JOIN links l ON r.id = l.src)
-SELECT id, min(label) AS component FROM reach GROUP BY id""",
+    f"WITH {_TRADES}, {_label_sql(12)} SELECT id, label AS component FROM l12",
 )
 def graph_components(spark, sf):
-    return graph.connected_components(_bulk_edges(spark, sf))
+    """Customers and the parts they buy."""
+    trades = _trades(spark, sf)
+    return graph.connected_components(
+        trades.select(F.col("customer").alias("src"), F.col("part").alias("dst"))
+    )
 
 
 @book.add(

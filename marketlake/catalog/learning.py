@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from marketlake.catalog.entry import Book, r6, rounded, sql6
 from marketlake.operators import models, scaling
 from marketlake.operators.text import words
 from marketlake.plans import gold
+from marketlake.session import cut_lineage
 from marketlake.sources import adapters
 from marketlake.sources.tables import driver_table
 
@@ -209,7 +211,12 @@ def _documents(spark, sf):
         (F.regexp_count("text", F.lit("[0-9]")) / (F.length("text") + 1)).alias("digits"),
     )
     labels = driver_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return models.assembled(numbers.join(labels, "doc_id"), _TEXT_FEATURES)
+    return models.assembled(cut_lineage(numbers.join(labels, "doc_id", "left")), _TEXT_FEATURES)
+
+
+def _labelled(rows):
+    """Training and held-out rows of those that have a label."""
+    return models.split_by_hash(rows.filter("label IS NOT NULL"), "doc_id")
 
 
 def _metrics_frame(spark, algorithm, metrics):
@@ -219,8 +226,8 @@ def _metrics_frame(spark, algorithm, metrics):
 
 def _classification(algorithm, **params):
     def run(spark, sf):
-        train, test = models.split_by_hash(_documents(spark, sf).cache(), "doc_id")
-        scored, _ = models.train_classifier(train, test, algorithm, **params)
+        rows = _documents(spark, sf)
+        scored = models.classify(_labelled(rows)[0], rows, algorithm, **params)
         return scored.select("doc_id", "label", "prediction")
 
     book.add(f"classify_{algorithm}")(run)
@@ -232,8 +239,14 @@ for _name in models.CLASSIFIERS:
 
 @book.add("classify_metrics")
 def classify_metrics(spark, sf):
-    train, test = models.split_by_hash(_documents(spark, sf).cache(), "doc_id")
-    return _metrics_frame(spark, "forest", models.train_classifier(train, test, "forest")[1])
+    train, test = _labelled(_documents(spark, sf))
+    scored = cut_lineage(
+        models.as_arrays(models.classify(train, test, "forest"), "rawPrediction").select(
+            "label", "prediction", "rawPrediction"
+        )
+    )
+    scored = scored.withColumn("rawPrediction", array_to_vector("rawPrediction"))
+    return _metrics_frame(spark, "forest", models.classification_metrics(scored))
 
 
 # --- regression: next hour's close -------------------------------------------------------------------
@@ -245,17 +258,23 @@ def next_hour(spark, sf):
     ahead = Window.partitionBy("symbol").orderBy("timestamp")
     rows = hours.withColumns(
         {"label": F.lead("avg_close").over(ahead), "previous": F.lag("avg_close").over(ahead)}
-    ).na.drop()
+    )
     features = ["avg_close", "previous", "avg_volume", "avg_transactions"]
-    return models.assembled(rows.withColumn("censor", F.lit(1.0)).filter("label > 0"), features)
+    rows = rows.withColumn("censor", F.lit(1.0)).na.drop(subset=features)
+    return models.assembled(cut_lineage(rows), features)
+
+
+def _past(rows):
+    """Training rows: the label is known, and lies before the split."""
+    split = F.lit("2024-01-25").cast("timestamp")
+    past, later = models.split_by_time(rows, "timestamp", split)
+    return past.filter("label > 0"), later
 
 
 def _regression(algorithm):
     def run(spark, sf):
-        split = F.lit("2024-01-25").cast("timestamp")
-        train, test = models.split_by_time(next_hour(spark, sf).cache(), "timestamp", split)
-        scored, _ = models.train_regressor(train, test, algorithm)
-        return scored.select("symbol", "timestamp", "label", "prediction")
+        train, later = _past(next_hour(spark, sf))
+        return models.regress(train, later, algorithm).select("symbol", "timestamp", "label", "prediction")
 
     book.add(f"regress_{algorithm}")(run)
 
@@ -269,8 +288,7 @@ for _name in models.REGRESSORS:
 
 def _clustering(algorithm):
     def run(spark, sf):
-        scored, _ = models.cluster(_embeddings(spark, sf).cache(), algorithm, 5)
-        return scored.select("vec_id", "prediction")
+        return models.cluster(_embeddings(spark, sf), algorithm, 5).select("vec_id", "prediction")
 
     book.add(f"cluster_{algorithm}")(run)
 
@@ -301,24 +319,29 @@ def cluster_graph(spark, sf):
 
 @book.add("recommend_parts")
 def recommend_parts(spark, sf):
-    return models.recommendations(_part_ratings(spark, sf), 5)
+    """Five parts per customer, out of the most bought of the brands that it buys."""
+    ratings = cut_lineage(_part_ratings(spark, sf))
+    brands = driver_table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("item"), F.col("p_brand").alias("group")
+    )
+    return models.recommendations(ratings, models.candidates(ratings, brands), 5)
 
 
 @book.add("recommend_error")
 def recommend_error(spark, sf):
-    rated = _part_ratings(spark, sf).withColumn("pair", F.concat_ws("-", "user", "item")).cache()
+    rated = _part_ratings(spark, sf).withColumn("pair", F.concat_ws("-", "user", "item"))
+    rated = cut_lineage(rated)
     train, test = models.split_by_hash(rated, "pair")
     return _metrics_frame(spark, "factors", {"rmse": models.recommendation_error(train, test)})
 
 
 @book.add("choose_by_cross_validation")
 def choose_by_cross_validation(spark, sf):
-    train, test = models.split_by_hash(_documents(spark, sf).cache(), "doc_id")
-    return models.cross_validated(train, test)[0].select("doc_id", "label", "prediction")
+    rows = _documents(spark, sf)
+    return models.cross_validated(_labelled(rows)[0], rows)[0].select("doc_id", "label", "prediction")
 
 
 @book.add("choose_by_split_validation")
 def choose_by_split_validation(spark, sf):
-    split = F.lit("2024-01-25").cast("timestamp")
-    train, test = models.split_by_time(next_hour(spark, sf).cache(), "timestamp", split)
-    return models.split_validated(train, test)[0].select("symbol", "timestamp", "label", "prediction")
+    train, later = _past(next_hour(spark, sf))
+    return models.split_validated(train, later)[0].select("symbol", "timestamp", "label", "prediction")

@@ -182,12 +182,15 @@ def quarantined_messages(spark, sf):
         .otherwise(whole)
     )
     stream = t.select(F.col("symbol").alias("topic"), value.cast("binary").alias("value"))
-    raw = stream.select("topic", F.col("value").cast("string").alias("_raw"))
-    parsed = raw.withColumn("p", F.from_json("_raw", messages.PRICE_MESSAGE)).select(
-        "topic", "_raw", "p.*"
-    )
-    broken = F.col("symbol").isNull() | F.col("t").isNull()
-    return parsed.filter(broken).groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
+    # one topic at a time, as a message that lacks its symbol doesn't say whose it was
+    found = None
+    for topic in adapters.NEWS_SYMBOLS:
+        parsed = messages.parse_prices(messages.of_topics(stream, [topic]))
+        rejected = messages.split_valid(parsed, ["symbol", "timestamp"]).rejected
+        counted = rejected.agg(F.count(F.lit(1)).alias("rejected"))
+        counted = counted.filter("rejected > 0").select(F.lit(topic).alias("topic"), "rejected")
+        found = counted if found is None else found.union(counted)
+    return found
 
 
 @book.add(

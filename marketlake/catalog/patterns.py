@@ -56,23 +56,29 @@ def association_rules(spark, sf):
 
 @book.add(
     "sequential_patterns",
-    """WITH placed AS MATERIALIZED (
-  SELECT user_id AS who, event_type AS item, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
-least AS (SELECT ceil(0.3 * count(DISTINCT who)) AS n FROM placed),
-one AS MATERIALIZED (SELECT who, item AS pattern, min(p) AS p FROM placed GROUP BY ALL),
-two AS MATERIALIZED (SELECT o.who, o.pattern || '>' || n.item AS pattern, min(n.p) AS p
-  FROM one o JOIN placed n ON n.who = o.who AND n.p > o.p GROUP BY ALL),
-three AS (SELECT o.who, o.pattern || '>' || n.item AS pattern, min(n.p) AS p
-  FROM two o JOIN placed n ON n.who = o.who AND n.p > o.p GROUP BY ALL)
-SELECT pattern, length, count(*) AS freq FROM (
-  SELECT pattern, 1 AS length FROM one UNION ALL SELECT pattern, 2 FROM two UNION ALL SELECT pattern, 3 FROM three)
-GROUP BY ALL HAVING count(*) >= (SELECT n FROM least)""",
+    """WITH RECURSIVE placed AS MATERIALIZED (
+  SELECT user_id || '/' || strftime(ts, '%Y-%m-%d') AS who, event_type AS item,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS p FROM events),
+least AS (SELECT ceil(0.02 * count(DISTINCT who)) AS n FROM placed),
+nexts AS MATERIALIZED (SELECT a.who, a.p, b.item, min(b.p) AS q
+  FROM (SELECT who, p FROM placed UNION ALL SELECT DISTINCT who, 0 FROM placed) a
+  JOIN placed b ON a.who = b.who AND b.p > a.p GROUP BY ALL),
+grown AS (
+  SELECT who, '' AS pattern, 0 AS length, CAST(0 AS BIGINT) AS p FROM (SELECT DISTINCT who FROM placed)
+  UNION ALL
+  SELECT who, pattern, length, p FROM (
+    SELECT g.who, CASE g.pattern WHEN '' THEN n.item ELSE g.pattern || '>' || n.item END AS pattern,
+           g.length + 1 AS length, n.q AS p, count(*) OVER (PARTITION BY g.pattern, n.item) AS c
+    FROM grown g JOIN nexts n ON n.who = g.who AND n.p = g.p) WHERE c >= (SELECT n FROM least))
+SELECT pattern, length, count(*) AS freq FROM grown WHERE length > 0 GROUP BY ALL""",
 )
 def sequential_patterns(spark, sf):
+    """Patterns of any length in what a user does in a day."""
+    day = F.date_format("ts", "yyyy-MM-dd")
     events = driver_table(spark, sf, "events").select(
-        F.col("user_id").alias("who"), F.col("event_type").alias("item"), "ts", "event_id"
+        F.concat_ws("/", "user_id", day).alias("who"), F.col("event_type").alias("item"), "ts", "event_id"
     )
-    found = mining.sequential_patterns(events, 0.3)
+    found = mining.sequential_patterns(events, 0.02)
     return found.withColumn("pattern", F.array_join("pattern", ">"))
 
 

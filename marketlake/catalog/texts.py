@@ -108,10 +108,9 @@ def term_weights(spark, sf):
 
 @book.add("hashed_term_weights")
 def hashed_term_weights(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
-    vectors = text.hashed_tfidf(_tokens(spark, sf), 1 << 10)
-    weights = vector_to_array("features")
+    vectors = text.hashed_tfidf(_tokens(spark, sf))
+    # sparse: the weights of the slots in use
+    weights = F.unwrap_udt("features")["values"]
     return vectors.select(
         "doc_id",
         F.aggregate(weights, F.lit(0.0), lambda a, x: a + x).alias("total_weight"),

@@ -44,8 +44,9 @@ def pagerank(
 ) -> DataFrame:
     """(id, rank): reset 0.15 + 0.85 * sum(rank / out-degree) over in-neighbours.
 
-    Stops after ``rounds``, or earlier once no rank moves by more than
-    ``tolerance``; lineage is cut and movement checked every ``keep`` rounds."""
+    Runs ``rounds`` rounds; with a ``tolerance``, until no rank moves by more, and
+    raises if ``rounds`` are not enough.  Lineage is cut and movement checked every
+    ``keep`` rounds."""
     edges = edges.select("src", "dst")
     share = edges.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
     links = cut_lineage(edges.join(share, "src"))
@@ -71,33 +72,43 @@ def pagerank(
             if moved.first()[0] <= tolerance:
                 return updated
         ranks = updated
+    if tolerance is not None:
+        raise RuntimeError(f"ranks still move by more than {tolerance} after {rounds} rounds")
     return ranks
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest vertex id that can be reached.
 
-    A round takes the smallest label among the neighbours and then jumps to the
-    label's own label, which halves long chains; the number of rounds grows with
-    the logarithm of the longest path, not with its length."""
+    A round takes the smallest label among the neighbours whose label has just fallen,
+    and then jumps to the label's own label, which halves long chains; the number of
+    rounds grows with the logarithm of the longest path, not with its length."""
     links = cut_lineage(both_ways(edges))
-    labels = cut_lineage(vertices(edges).select("id", F.col("id").alias("component")))
+    # before the first message a vertex knows itself and its neighbours
+    labels = cut_lineage(
+        links.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component"))
+    )
+    moved = labels
     while True:
-        offered = links.join(labels.withColumnRenamed("id", "src"), "src").select(
+        # only labels that have just fallen are sent on
+        offered = links.join(moved.withColumnRenamed("id", "src"), "src").select(
             F.col("dst").alias("id"), "component", F.lit(None).cast("bigint").alias("old")
         )
         own = labels.select("id", "component", F.col("component").alias("old"))
-        lower = cut_lineage(
+        lower = (
             own.union(offered)
             .groupBy("id")
             .agg(F.min("component").alias("component"), F.max("old").alias("old"))
         )
-        target = lower.select(F.col("id").alias("component"), F.col("component").alias("jump"))
+        target = labels.select(F.col("id").alias("component"), F.col("component").alias("jump"))
         jumped = cut_lineage(
-            lower.join(target, "component").select("id", F.col("jump").alias("component"), "old")
+            lower.join(target, "component").select(
+                "id", F.least("component", "jump").alias("component"), "old"
+            )
         )
         labels = jumped.select("id", "component")
-        if jumped.filter("component != old").isEmpty():
+        moved = jumped.filter("component != old").select("id", "component")
+        if moved.isEmpty():
             return labels
 
 
@@ -112,7 +123,8 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
         .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
         .distinct()
     )
-    degrees = (
+    # used three times below
+    degrees = cut_lineage(
         simple.select(F.explode(F.array("a", "b")).alias("id"))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("degree"))

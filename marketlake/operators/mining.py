@@ -31,7 +31,8 @@ def frequent_sets(
 
     Rare items leave before baskets are formed, so a basket holds at most the
     frequent items: no more than rows / (support * baskets) of them."""
-    pairs, _, least = frequent_items(rows, min_support)
+    # support and baskets both read the rows: join and scan them once
+    pairs, _, least = frequent_items(cut_lineage(rows.select("basket", "item")), min_support)
     baskets = cut_lineage(pairs.groupBy("basket").agg(F.collect_set("item").alias("items")))
     kept = max(baskets.count(), 1)
     # half a count below the bound: rounding can then not move it
@@ -41,11 +42,15 @@ def frequent_sets(
     return model.freqItemsets, model.associationRules
 
 
-def sequential_patterns(events: DataFrame, min_support: float, max_length: int = 3) -> DataFrame:
+def sequential_patterns(
+    events: DataFrame, min_support: float, max_length: int | None = None
+) -> DataFrame:
     """(pattern, length, freq): item sequences that appear, in order and with gaps,
     in at least ``min_support`` of the sequences.  ``events``: ``who``, ``item`` and
     the order columns ``ts``, ``event_id``.
 
+    Patterns of any length are found, unless ``max_length`` asks for short ones only.
+
     A sequence holds a pattern when, matched from the left, every item has a next
     place; only that earliest place is kept.  Patterns grow by one item through a
     forward as-of join on (who, item), so no sequence is ever collected."""
@@ -65,7 +70,9 @@ def sequential_patterns(events: DataFrame, min_support: float, max_length: int =
     state = supported(first.select("who", F.array("item").alias("pattern"), "place"))
     found = [state.select("pattern", "freq").distinct()]
     next_places = placed.join(items.select("who", "item"), ["who", "item"], "left_semi")
-    for _ in range(1, max_length):
+    length = 1
+    while max_length is None or length < max_length:
+        length += 1
         tries = state.select("who", "pattern", "place").join(items, "who")
         matched = asof_join(
             tries,

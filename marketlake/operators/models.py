@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml import classification as C
 from pyspark.ml import clustering as K
@@ -19,11 +20,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.mllib.linalg import Vectors as RowVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators.similarity import gram
 from marketlake.operators.stats import hash_share
 
 # --- assembling features ------------------------------------------------------------
@@ -74,12 +74,15 @@ def principal_components(df: DataFrame, k: int) -> DataFrame:
     return model.transform(df)
 
 
-def row_matrix(df: DataFrame, column: str) -> RowMatrix:
-    return RowMatrix(df.select(column).rdd.map(lambda r: RowVectors.dense(r[0])))
-
-
 def singular_values(df: DataFrame, column: str, k: int) -> list[float]:
-    return [float(v) for v in row_matrix(df, column).computeSVD(k).s]
+    """From the gram matrix, width x width whatever the rows."""
+    cells = gram(df, column).collect()
+    width = 1 + max((r["j"] for r in cells), default=-1)
+    matrix = np.zeros((width, width))
+    for r in cells:
+        matrix[r["i"], r["j"]] = matrix[r["j"], r["i"]] = r["dot"]
+    roots = np.sqrt(np.maximum(np.linalg.eigvalsh(matrix)[::-1], 0))
+    return [float(v) for v in roots[:k]]
 
 
 SELECTORS = {
@@ -149,16 +152,19 @@ def split_by_time(df: DataFrame, column: str, at) -> tuple[DataFrame, DataFrame]
     return df.filter(F.col(column) < at), df.filter(F.col(column) >= at)
 
 
-def train_classifier(train: DataFrame, test: DataFrame, algorithm: str, **params) -> tuple[DataFrame, dict]:
-    """Scored test rows and their metrics.  Input: ``features``, ``label``."""
-    scored = CLASSIFIERS[algorithm](dict(params)).fit(train).transform(test)
+def classify(train: DataFrame, rows: DataFrame, algorithm: str, **params) -> DataFrame:
+    """Rows scored by a model of the training rows.  Input: ``features``, ``label``."""
+    return CLASSIFIERS[algorithm](dict(params)).fit(train).transform(rows)
+
+
+def classification_metrics(scored: DataFrame) -> dict[str, float]:
     metrics = {
         m: MulticlassClassificationEvaluator(metricName=m).evaluate(scored)
         for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall")
     }
-    if scored.select("label").distinct().count() == 2 and algorithm != "one_vs_rest":
+    if "rawPrediction" in scored.columns and scored.select("label").distinct().count() == 2:
         metrics["area_roc"] = BinaryClassificationEvaluator().evaluate(scored)
-    return scored, metrics
+    return metrics
 
 
 def training_history(train: DataFrame) -> list[float]:
@@ -166,10 +172,12 @@ def training_history(train: DataFrame) -> list[float]:
     return list(CLASSIFIERS["logistic"]({}).fit(train).summary.objectiveHistory)
 
 
-def train_regressor(train: DataFrame, test: DataFrame, algorithm: str, **params) -> tuple[DataFrame, dict]:
-    scored = REGRESSORS[algorithm](dict(params)).fit(train).transform(test)
-    metrics = {m: RegressionEvaluator(metricName=m).evaluate(scored) for m in ("rmse", "mae", "r2")}
-    return scored, metrics
+def regress(train: DataFrame, rows: DataFrame, algorithm: str, **params) -> DataFrame:
+    return REGRESSORS[algorithm](dict(params)).fit(train).transform(rows)
+
+
+def regression_metrics(scored: DataFrame) -> dict[str, float]:
+    return {m: RegressionEvaluator(metricName=m).evaluate(scored) for m in ("rmse", "mae", "r2")}
 
 
 CLUSTERERS = {
@@ -179,10 +187,13 @@ CLUSTERERS = {
 }
 
 
-def cluster(df: DataFrame, algorithm: str, k: int) -> tuple[DataFrame, float]:
-    """Rows with their ``prediction``, and the silhouette."""
-    scored = CLUSTERERS[algorithm](k).fit(df).transform(df)
-    return scored, ClusteringEvaluator().evaluate(scored)
+def cluster(df: DataFrame, algorithm: str, k: int) -> DataFrame:
+    """Rows with their ``prediction``."""
+    return CLUSTERERS[algorithm](k).fit(df).transform(df)
+
+
+def silhouette(scored: DataFrame) -> float:
+    return ClusteringEvaluator().evaluate(scored)
 
 
 def cluster_graph(edges: DataFrame, k: int) -> DataFrame:
@@ -203,11 +214,25 @@ def factor_model(ratings: DataFrame, rank: int = 8, rounds: int = 5) -> ALS:
     ).fit(ratings)
 
 
-def recommendations(ratings: DataFrame, top: int) -> DataFrame:
-    """(user, item, score, place): the best items per user."""
-    best = factor_model(ratings).recommendForAllUsers(top)
-    return best.select("user", F.posexplode("recommendations").alias("place", "r")).select(
-        "user", F.col("r.item").alias("item"), F.col("r.rating").alias("score"), (F.col("place") + 1).alias("place")
+def candidates(ratings: DataFrame, groups: DataFrame, per_group: int = 50) -> DataFrame:
+    """(user, item): for each user the most rated items of every group (``item``,
+    ``group``) that the user has rated something of; users times a fixed number of items,
+    not users times all items."""
+    popular = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).join(groups, "item")
+    best = Window.partitionBy("group").orderBy(F.desc("n"), "item")
+    shown = popular.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= per_group)
+    liked = ratings.join(groups, "item").select("user", "group").distinct()
+    return liked.join(shown.select("group", "item"), "group").select("user", "item").distinct()
+
+
+def recommendations(ratings: DataFrame, offered: DataFrame, top: int) -> DataFrame:
+    """(user, item, score, place): the best of the items offered to each user."""
+    scored = factor_model(ratings).transform(offered)
+    best = Window.partitionBy("user").orderBy(F.desc("prediction"), "item")
+    return (
+        scored.withColumn("place", F.row_number().over(best))
+        .filter(F.col("place") <= top)
+        .select("user", "item", F.col("prediction").alias("score"), "place")
     )
 
 

@@ -27,8 +27,9 @@ _SLICE, _AT = "_slice", "_at"
 # monotonically_increasing_id keeps the row index in its low 33 bits
 _INDEX_MASK = (1 << 33) - 1
 
+# A chunk fits a task's memory, however many there are; one summary row per chunk goes
+# through a single ordered pass, which is one row for 250,000.
 DEFAULT_CHUNK = 250_000
-MAX_CHUNKS = 200_000
 
 
 @dataclass(frozen=True)
@@ -37,9 +38,8 @@ class Numbered:
     count: int
     keys: tuple[str, ...]
 
-    def chunk_size(self, floor: int = DEFAULT_CHUNK) -> int:
-        """Grows with the data so that one summary row per chunk stays small."""
-        return max(floor, -(-self.count // MAX_CHUNKS))
+    def chunk_size(self) -> int:
+        return DEFAULT_CHUNK
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Numbered:
@@ -107,7 +107,7 @@ def fill_forward(
     tails = rows.groupBy(CHUNK).agg(
         *[F.max_by(tagged(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(c) for c in columns]
     )
-    # one row per chunk, MAX_CHUNKS at most: a single ordered pass is fine
+    # one row per chunk: a single ordered pass is fine
     earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(
         CHUNK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns]

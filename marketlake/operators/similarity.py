@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marketlake.session import cut_lineage
 
 
-def _gram(df: DataFrame, column: str) -> DataFrame:
+def gram(df: DataFrame, column: str) -> DataFrame:
     """(i, j, dot) of all column pairs.  Every task sends one width x width matrix,
     whatever the number of rows; no pair is formed per row."""
 
@@ -41,10 +41,10 @@ def _gram(df: DataFrame, column: str) -> DataFrame:
 
 def column_cosines(df: DataFrame, column: str, threshold: float | None = None) -> DataFrame:
     """(i, j, cosine) for i < j, optionally only pairs at or above a threshold."""
-    gram = cut_lineage(_gram(df, column))
-    norms = gram.filter("i = j").select("i", F.sqrt("dot").alias("norm"))
+    dots = cut_lineage(gram(df, column))
+    norms = dots.filter("i = j").select("i", F.sqrt("dot").alias("norm"))
     pairs = (
-        gram.filter("i < j")
+        dots.filter("i < j")
         .join(norms.withColumnRenamed("norm", "ni"), "i")
         .join(norms.select(F.col("i").alias("j"), F.col("norm").alias("nj")), "j")
         .select("i", "j", (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("cosine"))
@@ -84,38 +84,44 @@ def copy_groups(df: DataFrame, key: str, content: str) -> tuple[DataFrame, DataF
     return chosen, members
 
 
-def _ordered_pairs(joined: DataFrame, key: str) -> DataFrame:
+def _ordered_pairs(joined: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """Pairs of representatives, and each copy with its representative: linear in the
+    copies, from which all pairs with copies follow."""
     left, right = F.col(f"datasetA.{key}"), F.col(f"datasetB.{key}")
-    return joined.filter(left < right).select(
-        left.alias("left"),
-        right.alias("right"),
-        "distance",
+    pairs = joined.filter(left < right).select(left.alias("left"), right.alias("right"), "distance")
+    copies = members.filter(F.col("representative") < F.col(key)).select(
+        F.col("representative").alias("left"), F.col(key).alias("right"), F.lit(0.0)
     )
+    return pairs.union(copies)
 
 
 def near_vectors(
     df: DataFrame, key: str, column: str, within: float, width: float = 2.0, tables: int = 4, seed: int = 1
 ) -> DataFrame:
-    """Pairs of distinct vectors within a Euclidean distance, by random projection."""
-    chosen, _ = copy_groups(df.select(key, column), key, column)
+    """Pairs of vectors within a Euclidean distance, by random projection; copies pair
+    with the first of them."""
+    chosen, members = copy_groups(df.select(key, column), key, column)
     vectors = cut_lineage(
         chosen.select(key, array_to_vector(F.col(column).cast("array<double>")).alias("v"))
     )
     model = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed
     ).fit(vectors)
-    return _ordered_pairs(model.approxSimilarityJoin(vectors, vectors, within, "distance"), key)
+    joined = model.approxSimilarityJoin(vectors, vectors, within, "distance")
+    return _ordered_pairs(joined, members, key)
 
 
 def near_texts(
     tokens: DataFrame, key: str, within: float, slots: int = 1 << 18, tables: int = 5, seed: int = 1
 ) -> DataFrame:
-    """Pairs of distinct token sets within a Jaccard distance, by min-hash."""
+    """Pairs of token sets within a Jaccard distance, by min-hash; copies pair with the
+    first of them."""
     filled = tokens.filter(F.size("tokens") > 0).select(key, F.array_sort(F.array_distinct("tokens")).alias("tokens"))
-    chosen, _ = copy_groups(filled, key, "tokens")
+    chosen, members = copy_groups(filled, key, "tokens")
     sets = HashingTF(inputCol="tokens", outputCol="v", numFeatures=slots, binary=True).transform(chosen)
     # Materialised, because the join's explode makes the optimizer test its hashes in
     # the same filter that drops empty sets, and min-hash refuses an empty set.
     slim = cut_lineage(sets.select(key, "v"))
     model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=tables, seed=seed).fit(slim)
-    return _ordered_pairs(model.approxSimilarityJoin(slim, slim, within, "distance"), key)
+    joined = model.approxSimilarityJoin(slim, slim, within, "distance")
+    return _ordered_pairs(joined, members, key)

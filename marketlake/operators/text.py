@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.session import cut_lineage, slice_count
+
 # fixed values: very common words of the four languages, and the URL pattern
 STOP_WORDS = [
     "and", "as", "by", "for", "in", "is", "it", "of", "on", "the", "to", "with",
@@ -98,16 +100,13 @@ def term_weights(tokens: DataFrame) -> DataFrame:
     The number of documents is one value and goes in as a literal; document
     frequencies are joined by term, and AQE splits the terms nearly all share."""
     total = tokens.count()
-    tf = (
+    # texts are parsed once; a term's documents are then the rows that count it
+    tf = cut_lineage(
         tokens.select("doc_id", F.explode("tokens").alias("term"))
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df = (
-        tokens.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log((F.lit(float(total)) + 1) / (F.col("df") + 1))
     return tf.join(df, "term").select("doc_id", "term", "tf", weight.alias("tfidf"))
 
@@ -121,18 +120,29 @@ def hashed_tfidf(tokens: DataFrame, features: int = 1 << 16) -> DataFrame:
     return Pipeline(stages=stages).fit(tokens).transform(tokens).select("doc_id", "features")
 
 
-def word_vectors(tokens: DataFrame, size: int = 16, min_count: int = 5, seed: int = 1) -> DataFrame:
-    """Mean word vector per document."""
+def word_vectors(
+    tokens: DataFrame, size: int = 16, min_count: int = 1, rounds: int = 1, seed: int = 1
+) -> DataFrame:
+    """Mean word vector per document.  Every partition trains on its part of the
+    documents, and the parts are averaged after each round."""
+    parts = slice_count(tokens.sparkSession)
     model = Word2Vec(
-        inputCol="tokens", outputCol="vector", vectorSize=size, minCount=min_count, seed=seed, maxIter=1
+        inputCol="tokens",
+        outputCol="vector",
+        vectorSize=size,
+        minCount=min_count,
+        seed=seed,
+        maxIter=rounds,
+        numPartitions=parts,
     ).fit(tokens)
     return model.transform(tokens).select("doc_id", vector_to_array("vector").alias("vector"))
 
 
-def topics(tokens: DataFrame, k: int = 5, vocabulary: int = 2000, rounds: int = 5, seed: int = 1) -> DataFrame:
-    """Topic shares per document."""
+def topics(tokens: DataFrame, k: int = 5, slots: int = 1 << 16, rounds: int = 5, seed: int = 1) -> DataFrame:
+    """Topic shares per document.  Terms are hashed to slots, so every term counts and
+    the model's size doesn't grow with the vocabulary."""
     stages = [
-        CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=vocabulary, minDF=2.0),
+        HashingTF(inputCol="tokens", outputCol="counts", numFeatures=slots),
         LDA(featuresCol="counts", k=k, maxIter=rounds, seed=seed, optimizer="online"),
     ]
     scored = Pipeline(stages=stages).fit(tokens).transform(tokens)

@@ -1,5 +1,10 @@
 """Lake tables: parquet folders with keys, merged partition by partition.
 
+A table is a folder with a log beside its data.  Every log row names the data folder that
+holds from then on: a full refresh, or any rewrite of a whole table, writes a new folder
+first and then appends the row that points to it, so a crash in between leaves the old
+state, and no operation touches the log of earlier ones.
+
 A merge rewrites the partitions its source touches and no others.  This needs the
 partition of a row to follow from its keys; a table keyed by something else than
 time (news) is partitioned by a hash of its keys.  Where the Delta package is
@@ -9,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib.util
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -20,9 +26,8 @@ from marketlake.session import cut_lineage, slice_count
 
 HISTORY_SCHEMA = (
     "operation STRING, parameters MAP<STRING, STRING>, batch_id BIGINT, written BIGINT,"
-    " updated BIGINT, inserted BIGINT, table_schema STRING, at TIMESTAMP"
+    " updated BIGINT, inserted BIGINT, table_schema STRING, folder STRING, at TIMESTAMP"
 )
-PRUNE_LIMIT = 10_000
 
 
 def day_of_millis(column: str = "timestamp") -> Column:
@@ -62,10 +67,17 @@ class LakeTable:
 
     # --- reading ---------------------------------------------------------------
 
+    @property
+    def _log_path(self) -> str:
+        return f"{self.path}/log"
+
     def history(self, spark: SparkSession) -> DataFrame | None:
-        if not path_exists(spark, f"{self.path}/_history"):
+        if not path_exists(spark, self._log_path):
             return None
-        return spark.read.schema(HISTORY_SCHEMA).parquet(f"{self.path}/_history")
+        return spark.read.schema(HISTORY_SCHEMA).parquet(self._log_path)
+
+    def _new_folder(self) -> str:
+        return f"{self.path}/data-{uuid.uuid4().hex}"
 
     def last_operation(self, spark: SparkSession):
         log = self.history(spark)
@@ -77,7 +89,7 @@ class LakeTable:
         last = self.last_operation(spark)
         if last is None:
             return None
-        return spark.read.schema(last["table_schema"]).parquet(self.path)
+        return spark.read.schema(last["table_schema"]).parquet(last["folder"])
 
     def applied(self, spark: SparkSession, batch_id: int) -> bool:
         log = self.history(spark)
@@ -88,11 +100,11 @@ class LakeTable:
     def _partitioned(self, df: DataFrame) -> DataFrame:
         return df.withColumns(self.partitions) if self.partitions else df
 
-    def _write(self, df: DataFrame, mode: str, evenly: bool = True) -> None:
+    def _write(self, df: DataFrame, folder: str, evenly: bool = True) -> None:
         names = list(self.partitions)
         if evenly:
             df = self._spread(df)
-        df.write.mode(mode).partitionBy(*names).parquet(self.path)
+        df.write.mode("overwrite").partitionBy(*names).parquet(folder)
 
     def _spread(self, df: DataFrame) -> DataFrame:
         """Few files per partition, and several writers for a very large one.  AQE
@@ -105,7 +117,9 @@ class LakeTable:
             return df.hint("rebalance", *names)
         return df.repartitionByRange(slice_count(spark), *names, *self.keys)
 
-    def _log(self, spark, operation, schema, written, updated=0, inserted=0, batch_id=None, **params):
+    def _log(
+        self, spark, operation, schema, folder, written, updated=0, inserted=0, batch_id=None, **params
+    ):
         row = (
             operation,
             {k: str(v) for k, v in params.items()},
@@ -114,10 +128,11 @@ class LakeTable:
             updated,
             inserted,
             ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields),
+            folder,
             dt.datetime.now(dt.timezone.utc),
         )
         spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/_history"
+            self._log_path
         )
 
     # Row counts come from parquet footers, read back after the write.  (Observation
@@ -127,12 +142,10 @@ class LakeTable:
     def create(self, df: DataFrame, batch_id: int | None = None) -> None:
         """First write, or full refresh of an existing table."""
         spark = df.sparkSession
-        out = self._partitioned(df)
-        names = list(self.partitions)
-        writer = self._spread(out).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").partitionBy(*names).parquet(self.path)
-        rows = spark.read.schema(out.schema).parquet(self.path).count()
-        self._log(spark, "CREATE", out.schema, rows, inserted=rows, batch_id=batch_id)
+        out, folder = self._partitioned(df), self._new_folder()
+        self._write(out, folder)
+        rows = spark.read.schema(out.schema).parquet(folder).count()
+        self._log(spark, "CREATE", out.schema, folder, rows, inserted=rows, batch_id=batch_id)
 
     def merge(self, source: DataFrame, batch_id: int | None = None) -> None:
         """Update rows whose keys exist, insert the others.
@@ -156,17 +169,16 @@ class LakeTable:
         old, incoming = target.count(), newest.count()
         kept = target.join(newest.select(*self.keys), list(self.keys), "left_anti")
         merged = kept.unionByName(newest, allowMissingColumns=True)
-        if names:
-            self._write(merged, "overwrite")
-        else:
-            # without partitions the whole table is rewritten from a copy
-            self._write(cut_lineage(merged), "overwrite", evenly=False)
-        written = touched(spark.read.schema(merged.schema).parquet(self.path)).count()
+        # without partitions the whole table is written anew, in a folder of its own
+        folder = self.last_operation(spark)["folder"] if names else self._new_folder()
+        self._write(merged, folder, evenly=bool(names))
+        written = touched(spark.read.schema(merged.schema).parquet(folder)).count()
         inserted = written - old
         self._log(
             spark,
             "MERGE",
             merged.schema,
+            folder,
             written,
             updated=incoming - inserted,
             inserted=inserted,
@@ -178,22 +190,36 @@ class LakeTable:
         """Restriction of the table to the partitions the source writes to."""
         if not names:
             return lambda table: table
-        parts = source.select(*names).distinct()
+        parts = cut_lineage(source.select(*names).distinct())
         first = names[0]
-        # days or hash buckets: a short list; a longer one is not worth pruning by
-        values = [r[0] for r in parts.select(first).distinct().limit(PRUNE_LIMIT + 1).collect()]
-        if None in values:
+        low, high, missing = parts.agg(
+            F.min(first), F.max(first), F.sum(F.col(first).isNull().cast("int"))
+        ).first()
+        if missing:
             raise ValueError(f"{self.path}: a row without {first} (are its keys null?)")
 
+        # the range prunes the scan, the join picks the partitions in it
         def restrict(table: DataFrame) -> DataFrame:
-            if len(values) <= PRUNE_LIMIT:
-                table = table.filter(F.col(first).isin(values))
-                if len(names) == 1:
-                    return table
+            if low is not None:
+                table = table.filter(F.col(first).between(low, high))
             return table.join(parts, list(names), "left_semi")
 
         return restrict
 
+    def vacuum(self, spark: SparkSession) -> list[str]:
+        """Delete data folders that the table has left behind; returns their paths.
+        Not while somebody may still read an older state."""
+        last = self.last_operation(spark)
+        if last is None:
+            return []
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        current = last["folder"].rsplit("/", 1)[-1]
+        old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName() not in (current, "log")]
+        for path in old:
+            fs.delete(path, True)
+        return [p.toString() for p in old]
+
     def _merge_delta(self, source: DataFrame) -> None:
         from delta.tables import DeltaTable
 
@@ -222,7 +248,8 @@ class LakeTable:
         rows = self.read(spark)
         if rows is None:
             return
-        if where is not None:
+        part = where is not None and bool(self.partitions)
+        if part:
             rows = rows.filter(where)
         order = [*self.partitions, *(self.cluster_by or self.keys)]
         order = list(dict.fromkeys(order))
@@ -230,9 +257,7 @@ class LakeTable:
         sorted_rows = rows.repartitionByRange(files or slice_count(spark), *order).sortWithinPartitions(
             *order
         )
-        schema = sorted_rows.schema
-        if self.partitions:
-            self._write(sorted_rows, "overwrite", evenly=False)
-        else:
-            self._write(cut_lineage(sorted_rows), "overwrite", evenly=False)
-        self._log(spark, "COMPACT", schema, count, cluster_by=",".join(order))
+        # part of a table is written over; a whole one goes to a folder of its own
+        folder = self.last_operation(spark)["folder"] if part else self._new_folder()
+        self._write(sorted_rows, folder, evenly=False)
+        self._log(spark, "COMPACT", sorted_rows.schema, folder, count, cluster_by=",".join(order))

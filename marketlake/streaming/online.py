@@ -198,7 +198,7 @@ class RunningTest:
 
     def _test(self) -> None:
         arms = self._added()
-        if set(arms) < {"0", "1"} or any(arms[a][0] < 2 for a in ("0", "1")):
+        if not {"0", "1"} <= set(arms) or any(arms[a][0] < 2 for a in ("0", "1")):
             return
         means, errors, sizes = [], [], []
         for arm in ("0", "1"):

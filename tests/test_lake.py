@@ -105,6 +105,23 @@ def test_full_refresh_replaces_everything(spark, root):
     assert rows_of(lake, spark) == [("b", 0, 2.0)]
 
 
+def test_history_outlives_refresh_and_rewrites(spark, root):
+    lake = table(root)
+    lake.create(spark.createDataFrame([("a", 0, 1.0, T1)], SCHEMA), batch_id=1)
+    lake.merge(spark.createDataFrame([("a", 0, 2.0, T2)], SCHEMA), batch_id=2)
+    lake.create(spark.createDataFrame([("b", 0, 2.0, T1)], SCHEMA), batch_id=3)
+    assert lake.history(spark).count() == 3
+    assert all(lake.applied(spark, b) for b in (1, 2, 3))
+    assert len(lake.vacuum(spark)) == 1
+    assert rows_of(lake, spark) == [("b", 0, 2.0)]
+    flat = LakeTable(f"{root}/flat", ("symbol",))
+    for k in range(3):
+        flat.merge(spark.createDataFrame([("a", k, 1.0, T1)], SCHEMA))
+    assert flat.history(spark).count() == 3
+    flat.compact(spark, where=F.col("symbol") == "none")
+    assert flat.read(spark).count() == 1
+
+
 def test_news_merge_keeps_one_row_per_article_or_all_versions(spark, root):
     schema = "id string, title string, updated_at timestamp"
     first = spark.createDataFrame([("n1", "old", T1), ("n2", "x", T1)], schema)
