@@ -13,6 +13,7 @@ AREAS = [
     "statistics",
     "functions",
     "streams",
+    "lakes",
     "learning",
 ]
 

@@ -135,19 +135,24 @@ def parse_price_messages(spark, sf):
     return rounded(messages.split_valid(parsed, ["symbol", "timestamp"]).valid, "volume_weighted")
 
 
+INDICATOR_ROWS_SQL = f"""SELECT indicator, symbol, epoch_ms(ts) AS timestamp, {sql6("value")} AS value,
+  {sql6("signal")} AS signal, {sql6("histogram")} AS histogram FROM (
+  SELECT 'ema' AS indicator, symbol, ts, ema AS value, NULL AS signal, NULL AS histogram FROM ind UNION ALL
+  SELECT 'macd', symbol, ts, macd, signal, histogram FROM ind UNION ALL
+  SELECT 'sma', symbol, ts, sma, NULL, NULL FROM ind UNION ALL
+  SELECT 'rsi', symbol, ts, rsi, NULL, NULL FROM ind WHERE rsi IS NOT NULL)"""
+
+
 @book.add(
     "parse_indicator_messages",
     V.with_views(*V.INDICATOR_VIEWS, recursive=True)
-    + f"""SELECT indicator, symbol, epoch_ms(ts) AS timestamp, {sql6("value")} AS value FROM (
-  SELECT 'ema' AS indicator, symbol, ts, ema AS value FROM ind UNION ALL
-  SELECT 'macd', symbol, ts, macd FROM ind UNION ALL SELECT 'sma', symbol, ts, sma FROM ind UNION ALL
-  SELECT 'rsi', symbol, ts, rsi FROM ind WHERE rsi IS NOT NULL)""",
+    + INDICATOR_ROWS_SQL,
 )
 def parse_indicator_messages(spark, sf):
     topics = [*messages.INDICATOR_TOPICS, messages.MACD_TOPIC]
     stream = messages.of_topics(adapters.indicator_messages(spark, sf), topics)
     valid = messages.split_valid(messages.parse_indicators(stream), ["symbol", "timestamp"]).valid
-    return rounded(valid.drop("signal", "histogram"), "value")
+    return rounded(valid, "value", "signal", "histogram")
 
 
 @book.add(

@@ -46,7 +46,7 @@ INDICATORS = """ind AS (
 
 NEWS = """news AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, text AS description, source AS publisher,
-         TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 720 AS INTEGER)) AS published_utc,
+         TIMESTAMP '2024-01-01' + to_hours(doc_id) AS published_utc,
          CASE WHEN doc_id % 3 = 0
               THEN [s[1 + doc_id % 5], s[1 + (doc_id + 1) % 5]] ELSE [s[1 + doc_id % 5]] END AS tickers
   FROM documents, (SELECT ['click', 'error', 'purchase', 'signup', 'view'] AS s)),

@@ -155,20 +155,40 @@ def all_indicators(bars: Numbered, chunk: int | None = None) -> DataFrame:
 
     def compute(pdf):
         mean = pdf["close"].groupby(pdf["symbol"], sort=False).rolling(SMA_WINDOW, min_periods=1)
+        macd = _macd_columns(pdf, MACD_SHORT, MACD_LONG, MACD_SIGNAL)
         return pdf.assign(
             ema=_ewm(pdf["close"], pdf["symbol"], ema_alpha(EMA_WINDOW)),
-            macd=_macd_columns(pdf, MACD_SHORT, MACD_LONG, MACD_SIGNAL)["value"],
+            macd=macd["value"],
+            macd_signal=macd["signal"],
+            macd_histogram=macd["histogram"],
             rsi=_rsi_column(pdf, RSI_WINDOW),
             sma=mean.mean().reset_index(level=0, drop=True).reindex(pdf.index),
         )
 
     return _in_chunks(
-        bars, warmup, chunk, compute, "ema double, macd double, rsi double, sma double"
+        bars,
+        warmup,
+        chunk,
+        compute,
+        "ema double, macd double, macd_signal double, macd_histogram double, rsi double, sma double",
     )
 
 
 def long_form(wide: DataFrame) -> DataFrame:
-    """(symbol, timestamp, indicator, value): the shape of the indicator feeds."""
-    return wide.unpivot(
-        ["symbol", "timestamp"], ["ema", "macd", "rsi", "sma"], "indicator", "value"
-    ).filter(F.col("value").isNotNull())
+    """(symbol, timestamp, indicator, value, signal, histogram): the shape of the
+    indicator feeds; only MACD has the last two."""
+    none = F.lit(None).cast("double")
+
+    def row(name: str) -> F.Column:
+        more = ("macd_signal", "macd_histogram") if name == "macd" else (None, None)
+        return F.struct(
+            F.lit(name).alias("indicator"),
+            F.col(name).alias("value"),
+            *[
+                (none if c is None else F.col(c)).alias(alias)
+                for c, alias in zip(more, ("signal", "histogram"))
+            ],
+        )
+
+    rows = F.inline(F.array(*map(row, ("ema", "macd", "rsi", "sma"))))
+    return wide.select("symbol", "timestamp", rows).filter(F.col("value").isNotNull())

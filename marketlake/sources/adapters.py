@@ -44,10 +44,13 @@ def price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indicator_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON message per indicator value; the topic is the indicator."""
+    """One JSON message per indicator value; the topic is the indicator.  JSON leaves out
+    what is null, so only MACD messages have a signal and a histogram."""
     bars = ind.number_bars(minute_bars(spark, sf_dir))
     values = ind.long_form(ind.all_indicators(bars))
-    body = F.struct(F.unix_millis("timestamp").alias("timestamp"), "value", "symbol")
+    body = F.struct(
+        F.unix_millis("timestamp").alias("timestamp"), "value", "signal", "histogram", "symbol"
+    )
     return values.select(
         F.col("indicator").alias("topic"), F.to_json(body).cast("binary").alias("value")
     )
@@ -87,7 +90,7 @@ def news_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("description"),
-        (F.timestamp_seconds(F.lit(1704067200) + (F.col("doc_id") % 720) * 3600)).alias(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 3600).alias(
             "published_utc"
         ),
         F.col("source").alias("publisher"),

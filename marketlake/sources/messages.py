@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.schemas import (
-    INDICATOR_MESSAGE,
     MACD_MESSAGE,
+    NEWS_ROW,
     PRICE_MESSAGE,
     PRICE_NAMES,
     QUOTE_MESSAGE,
@@ -84,9 +85,11 @@ def unpack_price_pages(pages: DataFrame) -> DataFrame:
 
     Only pages whose ``results`` is a list count; the symbol comes from the
     request, not from the body."""
-    bar = f"STRUCT<{', '.join(f.strip().replace(' ', ': ', 1) for f in PRICE_MESSAGE.replace(' NOT NULL', '').split(',')[:-1])}>"
+    fields = [f for f in T.StructType.fromDDL(PRICE_MESSAGE).fields if f.name != "symbol"]
+    bar = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    page = T.StructType([T.StructField("results", T.ArrayType(bar))])
     return (
-        pages.select("symbol", F.from_json("body", _envelope(f"ARRAY<{bar}>")).alias("page"))
+        pages.select("symbol", F.from_json("body", page).alias("page"))
         .select("symbol", F.explode("page.results").alias("bar"))
         .select("symbol", "bar.*")
         .withColumnsRenamed(PRICE_NAMES)
@@ -103,6 +106,19 @@ def unpack_indicator_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def unpack_news_pages(pages: DataFrame) -> DataFrame:
+    """Landed news pages (``body``, and the place in the fetch order) to article rows of
+    the fixed schema, with the publisher's name for the publisher."""
+    article = T.StructType.fromDDL(NEWS_ROW)
+    page = T.StructType([T.StructField("results", T.ArrayType(article))])
+    rows = (
+        pages.select("fetched", F.from_json("body", page).alias("page"))
+        .select("fetched", F.posexplode("page.results").alias("place", "article"))
+        .select("fetched", "place", "article.*")
+    )
+    return rows.withColumn("publisher", F.col("publisher.name"))
+
+
 def backfill_days(symbols: DataFrame) -> DataFrame:
     """Requests to make: one per symbol and day, both ends included.
     Input: ``symbol``, ``first_day``, ``last_day``."""
