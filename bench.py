@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder with the parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs per query after one warm-up; the median counts (default 1)
+BENCH_RUNS    timed runs per query after one warm-up; the median counts (default 3)
 BENCH_ONLY    comma-separated query names (default: the headline list)
 """
 
@@ -81,7 +81,7 @@ def ingest_rate(spark, sf_dir: str) -> int:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_ONLY")
     spark = build_session(
         "marketlake-bench",

@@ -160,7 +160,7 @@ def click_page_counts(spark, sf):
     _windows(10, 2) + 'SELECT start, "end", event_type, count(*) AS views FROM windowed GROUP BY ALL',
 )
 def click_sliding_page_counts(spark, sf):
-    return millis(clicks.sliding_page_counts(_events(spark, sf)), "start", "end")
+    return millis(clicks.sliding_page_counts_by_slot(_events(spark, sf)), "start", "end")
 
 
 @book.add(
@@ -176,7 +176,7 @@ def click_error_rates(spark, sf):
         F.col("c_custkey").alias("user_id"), "c_nationkey"
     )
     located = _events(spark, sf).join(areas, "user_id")
-    return rounded(millis(clicks.error_rates(located, "c_nationkey"), "start", "end"), "error_rate")
+    return rounded(millis(clicks.error_rates_by_slot(located, "c_nationkey"), "start", "end"), "error_rate")
 
 
 @book.add(
@@ -184,7 +184,7 @@ def click_error_rates(spark, sf):
     _windows(15, 2) + 'SELECT start, "end", count(DISTINCT user_id) AS users FROM windowed GROUP BY ALL',
 )
 def click_active_users(spark, sf):
-    return millis(clicks.active_users(_events(spark, sf)), "start", "end")
+    return millis(clicks.active_users_by_slot(_events(spark, sf)), "start", "end")
 
 
 @book.add(

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from marketlake.catalog import views as V
 from marketlake.catalog.entry import Book, millis, rounded, sql6
-from marketlake.catalog.events import _windows
+from marketlake.catalog.events import _DURATION, _ISLANDS, _windows
 from marketlake.catalog.market import BAR_SQL
 from marketlake.catalog.texts import _LEXICON
-from marketlake.operators import text
+from marketlake.operators import clicks, text
 from marketlake.plans import tables
 from marketlake.session import scratch_path
 from marketlake.sources import adapters
@@ -157,16 +157,79 @@ def stream_running_counts(spark, sf):
     return table.read(spark).select("word", "n")
 
 
-@book.add("stream_session_windows")
+def _upserted(spark, name, frame, keys):
+    """The newest version of every row of an update-mode stream."""
+    root = scratch_path(spark, name)
+    table = LakeTable(f"{root}/out", keys, {"bucket": hash_bucket(*keys, buckets=4)})
+    jobs.run_available(frame, jobs.upsert_into(table), f"{root}/checkpoint", "update")
+    return table.read(spark).drop("bucket", "updated_at")
+
+
+@book.add("stream_page_counts", "SELECT event_type, count(*) AS views FROM events GROUP BY 1")
+def stream_page_counts(spark, sf):
+    return _upserted(spark, "stream-pages", clicks.page_counts(_event_stream(spark, sf)), ("event_type",))
+
+
+@book.add(
+    "stream_sliding_page_counts",
+    _windows(10, 2) + 'SELECT start, "end", event_type, count(*) AS views FROM windowed GROUP BY ALL',
+)
+def stream_sliding_page_counts(spark, sf):
+    counts = clicks.sliding_page_counts(_event_stream(spark, sf).withWatermark("ts", "1 hour"))
+    return millis(_upserted(spark, "stream-sliding", counts, ("start", "event_type")), "start", "end")
+
+
+@book.add(
+    "stream_active_users",
+    _windows(15, 2)
+    + """SELECT start, "end", count(DISTINCT user_id) AS users FROM windowed
+WHERE "end" <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events) GROUP BY ALL""",
+)
+def stream_active_users(spark, sf):
+    """Windows that the watermark, an hour behind the newest event, has closed."""
+    root = scratch_path(spark, "stream-active")
+    jobs.append_files(jobs.active_users(_event_stream(spark, sf), "1 hour"), f"{root}/out", f"{root}/checkpoint")
+    return millis(spark.read.parquet(f"{root}/out"), "start", "end")
+
+
+@book.add(
+    "stream_known_users",
+    """SELECT user_id, c_name AS name, count(*) AS views FROM events
+JOIN customer ON user_id = c_custkey GROUP BY ALL""",
+)
+def stream_known_users(spark, sf):
+    users = driver_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name")
+    )
+    seen = clicks.known_users_seen(_event_stream(spark, sf), users)
+    return _upserted(spark, "stream-known", seen, ("user_id",))
+
+
+@book.add(
+    "stream_session_windows",
+    """SELECT user_id, start, "end" + 1800000 AS "end", ("end" + 1800000 - start) / 1000 AS seconds, events FROM ("""
+    + _ISLANDS.format(gap=1800 * 10**6, close="", duration=_DURATION, closed="FALSE")
+    + """) WHERE "end" + 1800000 <= (SELECT epoch_ms(max(ts)) - 10000 FROM events)""",
+)
 def stream_session_windows(spark, sf):
     """Sessions the watermark has closed; the last ones stay open."""
     root = scratch_path(spark, "stream-sessions")
     found = jobs.session_windows(_event_stream(spark, sf), "user_id", "30 minutes", "10 seconds")
     jobs.append_files(found, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out")
+    return millis(spark.read.parquet(f"{root}/out"), "start", "end")
 
 
-@book.add("stream_closing_sessions")
+@book.add(
+    "stream_closing_sessions",
+    """SELECT user_id, start AS first, "end" AS last, events, closed FROM ("""
+    + _ISLANDS.format(
+        gap=86400 * 10**6,
+        close="OR prev_type = 'purchase'",
+        duration=_DURATION,
+        closed="bool_or(event_type = 'purchase')",
+    )
+    + """) WHERE closed OR "end" + 86400000 <= (SELECT epoch_ms(max(ts)) - 10000 FROM events)""",
+)
 def stream_closing_sessions(spark, sf):
     root = scratch_path(spark, "stream-closing")
     found = stateful.closing_sessions(_event_stream(spark, sf), 86400, "purchase")
