@@ -39,7 +39,7 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def byte_slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, pa.Array]]:
+def byte_slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """(first row, rows) pieces of a text column of about ``most`` bytes, whole texts
     each, so that the memory of vectorised work doesn't depend on the batch size."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)

@@ -34,7 +34,7 @@ SLOTS, DIM, SIGNS, REACH = 16_384, 32, 4, 2
 SAMPLE = 20_000  # labelled documents that the network is fitted on
 HIDDEN = 24
 CUT = 0.3  # scores from here on count as good
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 400_000  # remembered by a worker, some 150 bytes each
 
 _MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 
@@ -86,7 +86,7 @@ _pieces = Pieces()
 
 def _sum_contexts(column, total: np.ndarray) -> None:
     places, signs = index_vectors()
-    for _, texts in byte_slices(large_text(column)):
+    for _, texts in byte_slices(large_text(column), 2 << 20):
         slots, offsets = _pieces.of(texts)
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         for step in range(1, REACH + 1):
@@ -128,7 +128,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 def document_vectors(column, table: np.ndarray) -> np.ndarray:
     """Mean and spread of the vectors of each text's pieces."""
     found = []
-    for _, texts in byte_slices(large_text(column), 2 << 20):
+    for _, texts in byte_slices(large_text(column), 1 << 20):
         slots, offsets = _pieces.of(texts)
         n = np.diff(offsets)
         out = np.zeros((len(n), 2 * DIM))
@@ -248,9 +248,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     rows = (
         training_sample(docs, labels, sample)
         .mapInArrow(features, "vector binary, quality double")
-        .orderBy("vector", "quality")
         .collect()
     )
+    # at most ``sample`` rows; their order must not depend on the partitioning
+    rows.sort(key=lambda r: (bytes(r["vector"]), r["quality"]))
     x = np.array([np.frombuffer(r["vector"]) for r in rows]).reshape(-1, 2 * DIM)
     return table, fit_network(x, np.array([r["quality"] for r in rows]))
 
