@@ -20,7 +20,6 @@ from marketlake.llm import (
     warc,
 )
 from marketlake.llm.common import keep, table
-from marketlake.session import pin_runtime
 
 END_OF_PIECES, END_OF_FILES = 1, 2
 
@@ -50,7 +49,7 @@ def tokenizer_path() -> str:
 
 
 def _documents(spark, sf_dir):
-    return table(pin_runtime(spark), sf_dir, "documents")
+    return table(spark, sf_dir, "documents")
 
 
 @query("op1_minhash_near_dedup")
@@ -124,13 +123,13 @@ FROM payloads p LEFT JOIN firsts f ON p.digest = f.digest AND p.n >= 100"""
 
 @query("op4_warc", OP4_SQL)
 def op4(spark, sf_dir):
-    folder, manifest = warc.write_warc(table(pin_runtime(spark), sf_dir, "pages"))
+    folder, manifest = warc.write_warc(table(spark, sf_dir, "pages"))
     return warc.read_warc(folder, manifest).drop("url")
 
 
 @query("op5_html_extraction")
 def op5(spark, sf_dir):
-    return html_text.extract(table(pin_runtime(spark), sf_dir, "pages"))
+    return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 @query("op6_quality_classifier")
@@ -142,7 +141,7 @@ def op6(spark, sf_dir):
 
 @query("op7_embedding_near_dedup")
 def op7(spark, sf_dir):
-    return embedding_dup.near_vectors(table(pin_runtime(spark), sf_dir, "embeddings"))
+    return embedding_dup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 @query("op8_token_files")

@@ -13,14 +13,26 @@ from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.session import scratch_path
+from marketlake.session import pin_runtime, scratch_path
 
 # The six ASCII white-space characters that part words.
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
 
+# Rows handed to Python at a time: texts of some kilobytes, and some of a hundred.
+BATCH_ROWS = 1_000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings of these operators: the library's, and batches of texts that fit
+    beside the executor's heap."""
+    pin_runtime(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
@@ -39,7 +51,7 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def byte_slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+def byte_slices(texts: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, pa.Array]]:
     """(first row, rows) pieces of a text column of about ``most`` bytes, whole texts
     each, so that the memory of vectorised work doesn't depend on the batch size."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)

@@ -34,7 +34,7 @@ SLOTS, DIM, SIGNS, REACH = 16_384, 32, 4, 2
 SAMPLE = 20_000  # labelled documents that the network is fitted on
 HIDDEN = 24
 CUT = 0.3  # scores from here on count as good
-CACHE_WORDS = 400_000  # remembered by a worker, some 150 bytes each
+CACHE_WORDS = 200_000  # remembered by a worker, some 150 bytes each
 
 _MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 

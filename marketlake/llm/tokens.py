@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from marketlake.llm.common import byte_slices, large_text, split_words, spread
 
 # Pieces remembered by a worker, some 200 bytes each; a full memory learns no more.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
 
 # Words of plain Latin letters with closing marks: lower-casing is one to one there
 # and nothing composes, so letters and marks are encoded apart.
