@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import line_dup, mixing, near_dup, packing, quality_model
 from marketlake.llm.catalog import END_OF_PIECES, tokenizer_path
-from marketlake.llm.common import keep, table
-from marketlake.session import pin_runtime
+from marketlake.llm.common import keep, prepared, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,21 +17,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
+    prepared(spark)
     return line_dup.deduplicated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    prepared(spark)
     return near_dup.without_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target takes them."""
+    prepared(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every piece of the mixed documents in a training sequence."""
+    prepared(spark)
     return packing.pack_documents(docs, tokenizer_path(), END_OF_PIECES)
 
 
@@ -50,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; rows between stages are written to the shared folder."""
-    rows = table(pin_runtime(spark), sf_dir, "documents")
+    rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         rows = keep(stage(spark, rows, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, rows, sf_dir)
