@@ -136,17 +136,28 @@ def encode_features(spark, sf):
     return arrays.select("event_id", "category_back", "category_slots", "indexed", "sliced", "expanded", "crossed")
 
 
-@book.add("formula_features")
+@book.add(
+    "formula_features",
+    f"""WITH flags AS (SELECT l_returnflag AS flag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) AS r
+  FROM lineitem GROUP BY 1)
+SELECT {", ".join(_LINE)}, [{sql6("l_quantity")}, {sql6("l_extendedprice / l_quantity")},
+  CASE WHEN r = 1 THEN 1.0 ELSE 0.0 END::DOUBLE, CASE WHEN r = 2 THEN 1.0 ELSE 0.0 END::DOUBLE] AS features,
+  l_tax AS label FROM lineitem JOIN flags ON l_returnflag = flag""",
+)
 def formula_features(spark, sf):
     lines = driver_table(spark, sf, "lineitem")
     more = models.derived(lines, "SELECT *, l_extendedprice / l_quantity AS unit_price FROM __THIS__")
     out = models.formula(more, "l_tax ~ l_quantity + unit_price + l_returnflag")
-    return models.as_arrays(out, "features").select(*_LINE, "features", "label")
+    return models.as_arrays(out, "features").select(*_LINE, _r6_array("features"), "label")
 
 
 # --- reduction and selection -----------------------------------------------------------------
 
 
+def _r6_array(name):
+    return F.transform(name, r6).alias(name)
+
+
 def _embeddings(spark, sf):
     return models.as_vectors(driver_table(spark, sf, "embeddings"), "embedding")
 
@@ -163,16 +174,23 @@ def singular_values(spark, sf):
     return spark.createDataFrame(list(enumerate(values)), "place int, value double")
 
 
-def _selection(method, **params):
+def _selection(method, sql=None, **params):
     def run(spark, sf):
         labelled = _embeddings(spark, sf).withColumn("label", F.col("label").cast("double"))
         out = models.selected(labelled, method, **params)
-        return models.as_arrays(out, "selected").select("vec_id", "selected")
+        return models.as_arrays(out, "selected").select("vec_id", _r6_array("selected"))
 
-    book.add(f"select_features_{method}")(run)
+    book.add(f"select_features_{method}", sql)(run)
 
 
-_selection("variance", varianceThreshold=0.0155)
+_CELLS = """cells AS MATERIALIZED (SELECT vec_id, generate_subscripts(embedding, 1) AS i,
+  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"""
+_selection(
+    "variance",
+    f"""WITH {_CELLS}, wide AS (SELECT i FROM cells GROUP BY i HAVING var_samp(x) > 0.0155)
+SELECT vec_id, list({sql6("x")} ORDER BY i) AS selected FROM cells JOIN wide USING (i) GROUP BY vec_id""",
+    varianceThreshold=0.0155,
+)
 _selection("univariate")
 
 
@@ -188,10 +206,20 @@ def select_features_chi_square(spark, sf):
     return models.as_arrays(out, "selected").select("vec_id", "selected")
 
 
-@book.add("transform_vectors")
+@book.add(
+    "transform_vectors",
+    f"""WITH {_CELLS},
+waves AS (SELECT vec_id, k, sum(x * cos(pi() / 64 * (i - 0.5) * k)) * CASE k WHEN 0 THEN sqrt(1 / 64.0) ELSE sqrt(2 / 64.0) END AS y
+  FROM cells, range(64) AS r(k) GROUP BY vec_id, k),
+t AS (SELECT vec_id, list({sql6("y")} ORDER BY k) AS transformed FROM waves GROUP BY vec_id),
+w AS (SELECT vec_id, list({sql6("x * (1 + (i - 1) / 64.0)")} ORDER BY i) AS weighted FROM cells GROUP BY vec_id)
+SELECT vec_id, transformed, weighted FROM t JOIN w USING (vec_id)""",
+)
 def transform_vectors(spark, sf):
     out = models.weighted(models.cosine_transformed(_embeddings(spark, sf)), [1 + k / 64 for k in range(64)])
-    return models.as_arrays(out, "transformed", "weighted").select("vec_id", "transformed", "weighted")
+    return models.as_arrays(out, "transformed", "weighted").select(
+        "vec_id", _r6_array("transformed"), _r6_array("weighted")
+    )
 
 
 # --- classification ------------------------------------------------------------------------------

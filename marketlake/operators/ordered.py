@@ -2,8 +2,9 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task.  Here the rows
 are range-partitioned on (keys, order) instead, so a hot key is cut into as many
-even slices as it needs; each row then gets one global position and work runs on
-fixed-size *chunks* of positions:
+even slices as it needs, as far as (keys, order) tell rows apart; work on values that many rows
+share counts them first (``counted_values``).  Each row gets one global position and work
+runs on fixed-size *chunks* of positions:
 
 * functions that look back a bounded number of rows get the tail of the previous
   chunk as a halo (``halo_chunks``);
@@ -151,17 +152,32 @@ def running_totals(
     )
 
 
+def counted_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """(column, n, upto) for each distinct value: its rows and the rows up to it; and the
+    number of rows.  A value that most rows share is one row here, counted before the
+    shuffle.  Nulls don't count."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    rows = running_totals(number_rows(counts, [], [column]), ["n"])
+    total = rows.agg(F.max("cum_n")).first()[0] or 0
+    return rows.select(column, "n", F.col("cum_n").alias("upto")), total
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
-    """Quantiles with linear interpolation, read off the sorted positions; only the
-    two rows around each share reach the driver."""
-    numbered = number_rows(df.filter(F.col(column).isNotNull()).select(column), [], [column])
-    if numbered.count == 0:
+    """Quantiles with linear interpolation, read off the counted values; only the values
+    at the two places around each share reach the driver."""
+    rows, total = counted_values(df, column)
+    if total == 0:
         return [None] * len(shares)
-    places = [share * (numbered.count - 1) for share in shares]
-    wanted = sorted({int(p) for p in places} | {min(int(p) + 1, numbered.count - 1) for p in places})
-    found = numbered.rows.filter(F.col(POS).isin(wanted)).select(POS, column).collect()
-    at = {row[POS]: float(row[column]) for row in found}
+    places = [share * (total - 1) for share in shares]
+    wanted = sorted({int(p) for p in places} | {min(int(p) + 1, total - 1) for p in places})
+    holds = F.exists(
+        F.array(*map(F.lit, wanted)), lambda w: (w < F.col("upto")) & (w >= F.col("upto") - F.col("n"))
+    )
+    found = rows.filter(holds).collect()
+
+    def at(place: int) -> float:
+        return next(float(r[column]) for r in found if r["upto"] - r["n"] <= place < r["upto"])
+
     return [
-        at[int(p)] + (p - int(p)) * (at[min(int(p) + 1, numbered.count - 1)] - at[int(p)])
-        for p in places
+        at(int(p)) + (p - int(p)) * (at(min(int(p) + 1, total - 1)) - at(int(p))) for p in places
     ]

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.ordered import POS, number_rows, running_totals
+from marketlake.operators.ordered import counted_values, number_rows, running_totals
 
 
 def safe_ratio(a: Column, b: Column) -> Column:
@@ -253,11 +253,11 @@ def chi_square(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def ks_statistic(df: DataFrame, column: str, cdf: Callable[[Column], Column]) -> DataFrame:
     """Largest distance between the empirical distribution and ``cdf``."""
-    numbered = number_rows(df.select(column).na.drop(), [], [column])
-    n = float(max(numbered.count, 1))
-    above = (F.col(POS) + 1) / n - cdf(F.col(column))
-    below = cdf(F.col(column)) - F.col(POS) / n
-    return numbered.rows.agg(F.max(F.greatest(above, below)).alias("distance"))
+    rows, total = counted_values(df, column)
+    n = float(max(total, 1))
+    above = F.col("upto") / n - cdf(F.col(column))
+    below = cdf(F.col(column)) - (F.col("upto") - F.col("n")) / n
+    return rows.agg(F.max(F.greatest(above, below)).alias("distance"))
 
 
 def kernel_density(df: DataFrame, column: str, points: Sequence[float], bandwidth: float) -> DataFrame:
