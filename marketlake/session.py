@@ -19,6 +19,10 @@ RUNTIME_DEFAULTS = {
 }
 
 
+# Only a new session takes these: files of checkpoints nobody refers to any more go.
+START_DEFAULTS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+
 def build_session(
     app_name: str = "marketlake",
     master: str | None = None,
@@ -29,7 +33,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_DEFAULTS, **(settings or {})}.items():
+    for key, value in {**START_DEFAULTS, **RUNTIME_DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

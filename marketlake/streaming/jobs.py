@@ -13,7 +13,12 @@ from marketlake.operators import clicks, text
 from marketlake.sources.lake import LakeTable
 
 
+# Files per micro-batch, so that a backlog comes in pieces.
+FILES_PER_BATCH = "1000"
+
+
 def file_stream(spark: SparkSession, folder: str, schema: str, fmt: str = "parquet", **options: str) -> DataFrame:
+    options = {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
     return spark.readStream.format(fmt).options(**options).schema(schema).load(folder)
 
 

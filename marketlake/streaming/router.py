@@ -20,8 +20,10 @@ def message_stream(
     spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None
 ) -> DataFrame:
     """(topic, value) rows.  ``fmt`` is kafka in production (options such as
-    ``subscribe``, ``kafka.bootstrap.servers``); any file format works too."""
-    reader = spark.readStream.format(fmt).options(**options)
+    ``subscribe``, ``kafka.bootstrap.servers``); any file format works too.  Batches are
+    bounded unless the options say otherwise."""
+    bound = {"maxOffsetsPerTrigger": "5000000"} if fmt == "kafka" else {"maxFilesPerTrigger": "1000"}
+    reader = spark.readStream.format(fmt).options(**{**bound, **options})
     if fmt == "kafka":
         reader = reader.option("failOnDataLoss", options.get("failOnDataLoss", "false"))
         return reader.load().select("topic", "value")
