@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketlake.catalog.entry import Book, r6, rounded, sql6
+from marketlake.catalog.entry import Book, rounded, sql6
 from marketlake.operators import graph
 from marketlake.sources.tables import driver_table
 
