@@ -1,17 +1,21 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-A tree splits the vectors at the median of their projections on a random direction,
-again and again; vectors near a median go to both sides (spill).  The medians come from
-a bounded sample of SAMPLE vectors; every vector is then sent down every tree, and
-vectors are compared only with those of a common leaf and label.  Cosines are worked out
-in double precision, so no pair below the threshold is linked, and a pair is missed only
-if all trees part it.
+A tree splits the vectors near the median of their projections on a random direction,
+again and again; vectors near the cut go to both sides (spill).  The cuts come from a
+bounded sample of SAMPLE vectors.  A cut is taken only if it parts few of the near pairs
+that the node's sample shows: several directions and places are tried, and where each
+would go through a group of near vectors, the node stays whole, whatever its size
+(``dense``).  Every vector is then sent down every tree, and vectors are compared only
+with those of a common leaf and label.  Cosines are worked out in double precision, so no
+pair below the threshold is linked, and a pair is missed only if all trees part it.
 
 A leaf is compared in pairs of blocks, as matrix products, so a leaf of any size is dealt
 over many tasks.  A pair that meets in several leaves is counted in the first of them:
-each vector carries the list of its leaves.  Tasks return, per vector, its number of links
-and one vector it is connected with; pairs are never listed.  Equal vectors are one row
-with a count from the start.
+each vector carries the list of its leaves.  Vectors whose first dense leaf is the same
+have met there, so where many of them share a later leaf, their blocks are compared with
+the others' only, and a large group is compared once, not once a tree.  Tasks return, per
+vector, its number of links and one vector it is connected with; pairs are never listed.
+Equal vectors are one row with a count from the start.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components,
 and vectors without label or id, link with nothing; vectors of different length are never
@@ -24,7 +28,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import keep
@@ -35,43 +39,73 @@ TREES = 12
 SAMPLE = 50_000
 LEAF = 1_000  # vectors aimed at per leaf and label
 LEAST = 24  # sampled vectors a node needs to be split
-SPILL = 0.07  # share of a node on each side of the median that goes both ways
+SPILL = 0.07  # share of a node on each side of the cut that goes both ways
+CUTS = (0.5, 0.35, 0.65)  # places of a cut, as shares of the node
+DIRECTIONS = 8  # directions tried for a node
+LOSS = 0.05  # share of the near pairs seen in a node that a cut may part
+PAIRED = 1_000  # sampled vectors of a node whose pairs are looked at
 BLOCK = 1_024
+NOWHERE = 1 << 62  # instead of a leaf
 
 
 class Forest:
-    """Split values of all trees.  Directions follow from tree and node, and are not
-    stored."""
+    """Cuts of all trees.  Directions follow from tree, node and attempt, and are not
+    stored; ``dense`` has the leaves that hold a group no cut may part."""
 
     def __init__(self, dim: int, seed: int):
         self.dim, self.seed = dim, seed
-        self.splits: list[dict[int, tuple[float, float]]] = []
-        self._directions: dict[tuple[int, int], np.ndarray] = {}
+        # node: attempt, low, high, left node, right node
+        self.splits: list[dict[int, tuple[int, float, float, int, int]]] = []
+        self.dense: set[int] = set()
+        self._directions: dict[tuple[int, int, int], np.ndarray] = {}
 
-    def direction(self, tree: int, node: int) -> np.ndarray:
-        key = (tree, node)
+    def direction(self, tree: int, node: int, attempt: int) -> np.ndarray:
+        key = (tree, node, attempt)
         if key not in self._directions:
-            line = np.random.default_rng([self.seed, tree, node]).standard_normal(self.dim)
+            line = np.random.default_rng([self.seed, *key]).standard_normal(self.dim)
             self._directions[key] = line / np.linalg.norm(line)
         return self._directions[key]
 
-    def grow(self, sample: np.ndarray, share: float, trees: int) -> None:
+    def grow(self, sample: np.ndarray, share: float, trees: int, threshold: float = THRESHOLD):
         """``share``: vectors that a sampled vector stands for."""
         for tree in range(trees):
-            splits: dict[int, tuple[float, float]] = {}
-            open_ = [(1, np.arange(len(sample)))]
+            splits: dict[int, tuple[int, float, float, int, int]] = {}
+            open_, named = [(1, np.arange(len(sample)))], 1
             while open_:
                 node, rows = open_.pop()
                 if len(rows) * share <= LEAF or len(rows) < LEAST:
                     continue
-                at = sample[rows] @ self.direction(tree, node)
-                low, high = np.quantile(at, [0.5 - SPILL, 0.5 + SPILL])
-                left, right = rows[at <= high], rows[at >= low]
-                if len(left) == len(rows) or len(right) == len(rows):
-                    continue  # equal projections: nothing to split
-                splits[node] = (float(low), float(high))
-                open_ += [(2 * node, left), (2 * node + 1, right)]
+                cut = self._cut(tree, node, sample[rows], threshold)
+                if cut is None:
+                    self.dense.add((tree << 40) + node)
+                    continue
+                attempt, low, high, at = cut
+                splits[node] = (attempt, low, high, named + 1, named + 2)
+                open_ += [(named + 1, rows[at <= high]), (named + 2, rows[at >= low])]
+                named += 2
             self.splits.append(splits)
+            # only the directions of cuts are needed from here on
+            self._directions = {
+                k: v
+                for k, v in self._directions.items()
+                if k[0] < tree or k[1] in splits and splits[k[1]][0] == k[2]
+            }
+
+    def _cut(self, tree: int, node: int, vectors: np.ndarray, threshold: float):
+        """(attempt, low, high, projections) of the first cut that parts few near pairs."""
+        some = vectors[:: -(-len(vectors) // PAIRED)]
+        a, b = np.nonzero(np.triu(some @ some.T >= threshold, 1))
+        for attempt in range(DIRECTIONS):
+            at = vectors @ self.direction(tree, node, attempt)
+            seen = at[:: -(-len(vectors) // PAIRED)]
+            least, most = np.minimum(seen[a], seen[b]), np.maximum(seen[a], seen[b])
+            for place in CUTS:
+                low, high = np.quantile(at, [place - SPILL, place + SPILL])
+                if at.max() <= high or at.min() >= low:
+                    continue  # equal projections: nothing to split
+                if ((least < low) & (most > high)).sum() <= LOSS * len(a):
+                    return attempt, float(low), float(high), at
+        return None
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) pairs; a leaf is tree * 2^40 + node."""
@@ -84,9 +118,9 @@ class Forest:
                     rows_out.append(rows)
                     leaves_out.append(np.full(len(rows), (tree << 40) + node))
                     continue
-                low, high = splits[node]
-                at = vectors[rows] @ self.direction(tree, node)
-                for side, part in ((2 * node, rows[at <= high]), (2 * node + 1, rows[at >= low])):
+                attempt, low, high, left, right = splits[node]
+                at = vectors[rows] @ self.direction(tree, node, attempt)
+                for side, part in ((left, rows[at <= high]), (right, rows[at >= low])):
                     if len(part):
                         open_.append((side, part))
         return np.concatenate(rows_out), np.concatenate(leaves_out)
@@ -129,10 +163,15 @@ def _assign(forest: Forest, dim: int, batches):
         rows, leaves = rows[order], leaves[order]
         bounds = np.searchsorted(rows, np.arange(batch.num_rows + 1))
         lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(leaves))
+        # first dense leaf of each vector; none before it counts
+        home = np.full(batch.num_rows, NOWHERE)
+        dense = np.isin(leaves, list(forest.dense))
+        np.minimum.at(home, rows[dense], leaves[dense])
+        core = np.where(home[rows] < leaves, home[rows], NOWHERE)
         spread = batch.take(pa.array(rows))
         yield pa.RecordBatch.from_arrays(
-            [*spread.columns, pa.array(leaves), lists.take(pa.array(rows))],
-            names=["vec_id", "label", "n", "embedding", "leaf", "leaves"],
+            [*spread.columns, pa.array(leaves), lists.take(pa.array(rows)), pa.array(core)],
+            names=["vec_id", "label", "n", "embedding", "leaf", "leaves", "core"],
         )
 
 
@@ -193,6 +232,40 @@ def _compare(dim: int, threshold: float, group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _dealing(placed: DataFrame) -> DataFrame:
+    """label, leaf, _blocks and _parts of leaves with two rows or more: for each core that
+    fills a block its blocks, which needn't be compared with one another; the other rows
+    share those under NOWHERE."""
+    large = (F.col("core") != NOWHERE) & (F.col("_rows") >= BLOCK)
+    parts = (
+        placed.groupBy("label", "leaf", "core")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("core", F.when(large, F.col("core")).otherwise(F.lit(NOWHERE)))
+        .groupBy("label", "leaf", "core")
+        .agg(F.sum("_rows").alias("_rows"))
+        .withColumn("blocks", F.ceil(F.col("_rows") / BLOCK))
+    )
+    before = (
+        Window.partitionBy("label", "leaf").orderBy("core").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    part = F.struct(
+        F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("first"),
+        "blocks",
+        (F.col("core") != NOWHERE).alias("met"),
+    )
+    return (
+        parts.withColumn("part", part)
+        .groupBy("label", "leaf")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("core", "part"))).alias("_parts"),
+            F.sum("blocks").alias("_blocks"),
+            F.sum("_rows").alias("_rows"),
+        )
+        .filter("_rows > 1")
+        .drop("_rows")
+    )
+
+
 def _of_dimension(distinct: DataFrame, dim: int, threshold: float, seed: int) -> DataFrame:
     total = distinct.count()
     sample = (
@@ -201,23 +274,35 @@ def _of_dimension(distinct: DataFrame, dim: int, threshold: float, seed: int) ->
     vectors = np.array([r[0] for r in sample.collect()], np.float64).reshape(-1, dim)
     labels = max(1, distinct.select("label").distinct().count())
     forest = Forest(dim, seed)
-    forest.grow(_unit(vectors), total / len(vectors) / labels, TREES)
+    forest.grow(_unit(vectors), total / len(vectors) / labels, TREES, threshold)
     kind = distinct.schema["embedding"].dataType.simpleString()
     placed = distinct.mapInArrow(
         partial(_assign, forest, dim),
-        f"vec_id long, label string, n long, embedding {kind}, leaf long, leaves array<long>",
+        f"vec_id long, label string, n long, embedding {kind}, leaf long, "
+        "leaves array<long>, core long",
     )
     placed = keep(placed, "leaves")
-    sizes = placed.groupBy("label", "leaf").agg(F.count(F.lit(1)).alias("_rows"))
-    blocks = F.ceil(F.col("_rows") / BLOCK).cast("int")
     paired = (
-        placed.join(sizes.filter("_rows > 1"), ["label", "leaf"])
-        .withColumn("_blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("x", F.least("block", "_other"))
-        .withColumn("y", F.greatest("block", "_other"))
-        .drop("_rows", "_blocks", "_other")
+        placed.join(_dealing(placed), ["label", "leaf"])
+        .withColumn("_part", F.coalesce(F.col("_parts")[F.col("core")], F.col("_parts")[NOWHERE]))
+        .withColumn(
+            "block",
+            (F.col("_part.first") + F.pmod(F.xxhash64("vec_id"), F.col("_part.blocks"))).cast("int"),
+        )
+        .withColumn(
+            "_other",
+            F.explode(
+                F.filter(
+                    F.sequence(F.lit(0), F.col("_blocks") - 1),
+                    lambda x: ~F.col("_part.met")
+                    | (x < F.col("_part.first"))
+                    | (x >= F.col("_part.first") + F.col("_part.blocks")),
+                )
+            ),
+        )
+        .withColumn("x", F.least("block", "_other").cast("int"))
+        .withColumn("y", F.greatest("block", "_other").cast("int"))
+        .drop("_parts", "_part", "_blocks", "_other", "core")
     )
     return paired.groupBy("label", "leaf", "x", "y").applyInPandas(
         partial(_compare, dim, threshold), "vec_id long, links long, with_id long"

@@ -551,6 +551,26 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert embedding_dup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_of_a_hot_group(spark, monkeypatch):
+    """A group of near, unequal vectors far above the leaf size keeps all its links."""
+    monkeypatch.setattr(embedding_dup, "LEAF", 4)
+    monkeypatch.setattr(embedding_dup, "LEAST", 4)
+    monkeypatch.setattr(embedding_dup, "BLOCK", 100)
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((2400, 64)) / 8
+    centre = rng.standard_normal(64) / 8
+    vectors[::3] = 0.95**0.5 * centre + 0.05**0.5 * vectors[::3]
+    frame = spark.createDataFrame(
+        [(i, x.tolist(), 0) for i, x in enumerate(vectors)],
+        "vec_id long, embedding array<double>, label int",
+    )
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dup.near_vectors(frame).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    assert {i: n for i, (n, _) in found.items()} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+    assert {found[i][1] for i in range(0, 2400, 3)} == {0}
+
+
 # --- lines -------------------------------------------------------------------------
 
 
