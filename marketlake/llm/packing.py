@@ -6,7 +6,8 @@ take the largest length left, find the best filling of what remains of its seque
 and use the filling as often as the counts allow.  Spark then gives every piece its
 rank among the pieces of its length, and the rank tells sequence and offset.
 
-The search for a filling is branch and bound over lengths in descending order.  The
+The search for a filling is branch and bound over lengths in descending order, on a
+stack of (length, times used) that is no deeper than there are lengths.  The
 incumbent is the best-fit filling (always the largest length that still fits); a
 branch is dropped when the largest sum that lengths of its kind can reach leaves no
 less waste than the incumbent; a filling without waste ends the search.  A filling is
@@ -39,8 +40,9 @@ def best_filling(room: int, lengths: Sequence[int], counts: dict[int, int], node
     if not fitting:
         return []
     smallest = fitting[-1]
-    best, best_waste, seen = [], room, 0
-    chosen: list[int] = []
+    sum_from = [0] * (len(fitting) + 1)
+    for i in range(len(fitting) - 1, -1, -1):
+        sum_from[i] = min(room, sum_from[i + 1] + fitting[i] * counts[fitting[i]])
 
     def reach(left: int, i: int) -> int:
         """Bound: waste that no filling by lengths from place i on can undercut."""
@@ -49,10 +51,6 @@ def best_filling(room: int, lengths: Sequence[int], counts: dict[int, int], node
         most = sum_from[i]
         return left - most if most < left else 0
 
-    sum_from = [0] * (len(fitting) + 1)
-    for i in range(len(fitting) - 1, -1, -1):
-        sum_from[i] = min(room, sum_from[i + 1] + fitting[i] * counts[fitting[i]])
-
     def place(left: int, start: int) -> int:
         lo, hi = start, len(fitting)
         while lo < hi:
@@ -60,32 +58,28 @@ def best_filling(room: int, lengths: Sequence[int], counts: dict[int, int], node
             lo, hi = (lo, mid) if fitting[mid] <= left else (mid + 1, hi)
         return lo
 
-    def visit(left: int, start: int, used_of_start: int) -> bool:
-        nonlocal best, best_waste, seen
-        seen += 1
+    best, best_waste, seen = [], room, 0
+    chosen: list[list[int]] = []  # place of a length and how often it is used
+    left, i = room, 0
+    while True:
+        # as many as fit of each length from place i on
+        while (i := place(left, i)) < len(fitting) and reach(left, i) < best_waste:
+            uses = min(counts[fitting[i]], left // fitting[i])
+            chosen.append([i, uses])
+            left -= uses * fitting[i]
+            seen += 1
+            i += 1
         if left < best_waste:
-            best, best_waste = chosen.copy(), left
-        if best_waste == 0 or seen > nodes:
-            return True
-        if reach(left, start) >= best_waste:
-            return False
-        for i in range(place(left, start), len(fitting)):
-            n = fitting[i]
-            used = used_of_start if i == start else 0
-            if used >= counts[n]:
-                continue
-            # from here on every filling starts with a length of n or less
-            if reach(left, i) >= best_waste:
-                return False
-            chosen.append(n)
-            done = visit(left - n, i, used + 1)
+            best, best_waste = [tuple(x) for x in chosen], left
+        if best_waste == 0 or seen > nodes or not chosen:
+            break
+        # back: the last length once less, and from here on smaller lengths only
+        chosen[-1][1] -= 1
+        i = chosen[-1][0] + 1
+        left += fitting[i - 1]
+        if chosen[-1][1] == 0:
             chosen.pop()
-            if done:
-                return True
-        return False
-
-    visit(room, 0, 0)
-    return best
+    return [fitting[i] for i, uses in best for _ in range(uses)]
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES):

@@ -212,6 +212,18 @@ def test_filling_search():
         assert all(best.count(n) <= counts[n] for n in best)
 
 
+@pytest.mark.parametrize("histogram", [{1: 5000}, {1: 1500}, {4000: 2, 2: 9000, 3: 1}])
+def test_plan_of_many_short_pieces(histogram):
+    patterns, sequences = packing.plan_sequences(histogram)
+    used = collections.Counter()
+    for _, times, filling in patterns:
+        assert sum(filling) <= 4096
+        for n in filling:
+            used[n] += times
+    assert used == histogram
+    assert sequences == -(-sum(n * c for n, c in histogram.items()) // 4096)
+
+
 def test_plan_uses_every_piece():
     rng = np.random.default_rng(1)
     histogram = collections.Counter(int(x) for x in rng.integers(1, 4097, 3000))
