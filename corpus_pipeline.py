@@ -22,9 +22,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: similarity 0.8 or more."""
     prepared(spark)
-    return near_dup.without_near_duplicates(docs)
+    return near_dup.without_near_duplicates(docs, near_dup.STAGE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Near-duplicate documents by min-max hashing of word shingles.
 
-A document is its set of distinct five-word shingles (64-bit hashes).  Under each of
-PERMUTATIONS random orders both the smallest and the largest element are kept: two
-samples for one hash evaluation, each equal with the chance of the Jaccard similarity.
-Bands of ROWS samples, minima and maxima apart, are the keys of the candidate search; a
-pair at similarity 0.85 shares no band with a chance of (1 - 0.85^7)^32, 4 in a million.
+A document is its set of distinct five-word shingles (64-bit hashes).  Under each of some
+random orders both the smallest and the largest element are kept: two samples for one hash
+evaluation, each equal with the chance of the Jaccard similarity.  Bands of samples, minima
+and maxima apart, are the keys of the candidate search.  Threshold and bands are a Rule:
+with CONTRACT (0.85; 32 bands of 7) a pair at the threshold shares no band with a chance of
+(1 - 0.85^7)^32, 4 in a million, with STAGE (0.80; 40 bands of 6) of (1 - 0.8^6)^40, 5 in a
+million.
 
 1. Documents with equal sets form a class; its smallest id stands for it.
 2. Classes that share a band are joined into clusters, through the smallest class of
@@ -21,6 +23,9 @@ document with the sets of both rows compared; other columns are ignored."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache, partial
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,18 +37,39 @@ from marketlake.llm.common import byte_slices, keep, large_text, split_words
 from marketlake.llm.components import Forest, components
 
 SHINGLE = 5
-PERMUTATIONS, BANDS, ROWS = 112, 32, 7
-LIKE, OF = 85, 100  # linked when OF * intersection >= LIKE * union
 BLOCK = 192  # documents per block of a cluster
 
-_rng = np.random.default_rng(20_240_501)
-_TIMES = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
-_MIX = _rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+@dataclass(frozen=True)
+class Rule:
+    """Linked when of * intersection >= like * union; an even number of bands."""
+
+    like: int
+    of: int
+    bands: int
+    rows: int
+
+
+CONTRACT = Rule(85, 100, 32, 7)
+STAGE = Rule(80, 100, 40, 6)
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.zeros(0, np.uint64)
 
 
+@lru_cache
+def _orders(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors and summands of the random orders, factors of the bands."""
+    rng = np.random.default_rng(20_240_501)
+
+    def draw(*shape):
+        return rng.integers(0, 1 << 63, shape, dtype=np.uint64)
+
+    two, one = np.uint64(2), np.uint64(1)
+    times = draw(bands * rows // 2) * two + one
+    return times, draw(bands * rows // 2), draw(bands, rows) * two + one
+
+
 def _stir(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -77,23 +103,24 @@ def shingle_sets(column) -> list[np.ndarray]:
     return sets
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """BANDS keys of a set that isn't empty."""
-    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(PERMUTATIONS, np.uint64)
+def band_keys(shingles: np.ndarray, rule: Rule = CONTRACT) -> np.ndarray:
+    """Keys of the bands of a set that isn't empty."""
+    times, plus, mix = _orders(rule.bands, rule.rows)
+    low = np.full(len(times), np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(len(times), np.uint64)
     for a in range(0, len(shingles), 2048):
-        values = np.multiply.outer(_TIMES, shingles[a : a + 2048]) + _PLUS[:, None]
+        values = np.multiply.outer(times, shingles[a : a + 2048]) + plus[:, None]
         np.minimum(low, values.min(axis=1), out=low)
         np.maximum(high, values.max(axis=1), out=high)
-    samples = np.concatenate([low, high]).reshape(BANDS, ROWS)
-    return _stir((_stir(samples) * _MIX).sum(axis=1, dtype=np.uint64))
+    samples = np.concatenate([low, high]).reshape(rule.bands, rule.rows)
+    return _stir((_stir(samples) * mix).sum(axis=1, dtype=np.uint64))
 
 
-def _signatures(batches):
+def _signatures(rule: Rule, batches):
     for batch in batches:
         sets = shingle_sets(batch.column(1))
         digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        keys = [band_keys(s).view(np.int64) if len(s) else None for s in sets]
+        keys = [band_keys(s, rule).view(np.int64) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -105,17 +132,17 @@ def _signatures(batches):
         )
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, n_shingles, digest of the set, bands."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _signatures, "doc_id long, n_shingles long, digest binary, bands array<long>"
+        partial(_signatures, rule), "doc_id long, n_shingles long, digest binary, bands array<long>"
     )
 
 
-def _members(batches):
+def _members(rule: Rule, batches):
     for batch in batches:
         sets = shingle_sets(batch.column(2))
-        keys = [band_keys(s).view(np.int64) if len(s) else [] for s in sets]
+        keys = [band_keys(s, rule).view(np.int64) if len(s) else [] for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 *batch.columns[:2],
@@ -126,15 +153,15 @@ def _members(batches):
         )
 
 
-def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+def _alike(x: np.ndarray, y: np.ndarray, rule: Rule) -> bool:
     small, large = sorted((len(x), len(y)))
-    if OF * small < LIKE * large:
+    if rule.of * small < rule.like * large:
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return OF * both >= LIKE * (len(x) + len(y) - both)
+    return rule.of * both >= rule.like * (len(x) + len(y) - both)
 
 
-def _compare(ids, blocks, sets, bands, one: bool) -> list[tuple[int, int]]:
+def _compare(ids, blocks, sets, bands, one: bool, rule: Rule) -> list[tuple[int, int]]:
     """Spanning links of a pair of blocks (or one block)."""
     order = sorted(range(len(ids)), key=lambda i: (ids[i], len(sets[i])))
     forest, links, failed = Forest(len(ids)), [], set()
@@ -149,7 +176,7 @@ def _compare(ids, blocks, sets, bands, one: bool) -> list[tuple[int, int]]:
                     continue  # another task compares the pairs inside a block
                 if (i, j) in failed or forest.find(i) == forest.find(j):
                     continue
-                if _alike(sets[i], sets[j]):
+                if _alike(sets[i], sets[j], rule):
                     forest.union(i, j)
                     links.append((ids[i], ids[j]))
                 else:
@@ -157,7 +184,7 @@ def _compare(ids, blocks, sets, bands, one: bool) -> list[tuple[int, int]]:
     return links
 
 
-def _compare_groups(batches):
+def _compare_groups(rule: Rule, batches):
     """Groups (cluster, x, y) lie together, in order; a group is held at a time."""
     held, key = [], None
 
@@ -169,6 +196,7 @@ def _compare_groups(batches):
             [np.frombuffer(s, np.uint64) for s in sets],
             bands,
             key[1] == key[2],
+            rule,
         )
 
     def batch_of(pairs):
@@ -210,7 +238,7 @@ def block_pairs(members: DataFrame, group: str, size: int) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """Links (a, b) between classes (doc_id, bands), enough to connect what is linked."""
     banded = classes.select("doc_id", F.explode("bands").alias("key"))
     least = (
@@ -225,26 +253,26 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long"), "text")
         .join(clusters.withColumnRenamed("id", "doc_id"), "doc_id")
         .select("doc_id", F.col("component").alias("cluster"), "text")
-        .mapInArrow(_members, "doc_id long, cluster long, shingles binary, bands array<long>")
+        .mapInArrow(partial(_members, rule), "doc_id long, cluster long, shingles binary, bands array<long>")
     )
     paired = block_pairs(keep(members, "cluster-sets"), "cluster", BLOCK)
     return (
         paired.repartition("cluster", "x", "y")
         .sortWithinPartitions("cluster", "x", "y", "doc_id")
         .select("cluster", "x", "y", "doc_id", "block", "shingles", "bands")
-        .mapInArrow(_compare_groups, "a long, b long")
+        .mapInArrow(partial(_compare_groups, rule), "a long, b long")
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents."""
-    signed = keep(signatures(docs), "signatures")
+    signed = keep(signatures(docs, rule), "signatures")
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = keep(
         full.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")),
         "classes",
     )
-    linked = components(links(docs, classes))
+    linked = components(links(docs, classes, rule))
     named = classes.select("digest", "doc_id").join(
         linked.withColumnRenamed("id", "doc_id"), "doc_id", "left"
     )
@@ -264,10 +292,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """The documents with one of each group left, all columns as they are.  Of rows that
     repeat the kept document's id one stays; rows without an id all stay."""
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id")
+    kept = near_duplicates(docs, rule).filter("kept AND doc_id IS NOT NULL").select("doc_id")
     return (
         docs.join(kept, "doc_id", "left_semi")
         .dropDuplicates(["doc_id"])

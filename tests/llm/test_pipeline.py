@@ -48,3 +48,17 @@ def test_odd_rows_pass_every_stage(spark):
                 c.split()[0] for c in schema.split(", ")
             ]
         pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+
+
+def test_near_duplicate_stage_links_from_four_fifths(spark):
+    """Of 204 words, 200 shingles, a run of n words changed at the end: similarity
+    (200 - n) / (200 + n)."""
+    base = [f"w{i}" for i in range(204)]
+    rows = [(k, " ".join(base[: 204 - n] + [f"x{i}" for i in range(n)])) for k, n in enumerate((0, 20, 25))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # 180 / 220 = 0.818 to the first; 175 / 225 = 0.778, and 195 / 205 to the second
+    for pair, left in ((rows[:2], {0}), ([rows[0], rows[2]], {0, 2}), (rows, {0})):
+        found = dict(pipeline.STAGES)["minhash_near_dedup"](
+            spark, docs.filter(docs.doc_id.isin([k for k, _ in pair])), SMALL
+        )
+        assert {r.doc_id for r in found.collect()} == left
