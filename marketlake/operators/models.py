@@ -214,25 +214,18 @@ def factor_model(ratings: DataFrame, rank: int = 8, rounds: int = 5) -> ALS:
     ).fit(ratings)
 
 
-def candidates(ratings: DataFrame, groups: DataFrame, per_group: int = 50) -> DataFrame:
-    """(user, item): for each user the most rated items of every group (``item``,
-    ``group``) that the user has rated something of; users times a fixed number of items,
-    not users times all items."""
-    popular = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).join(groups, "item")
-    best = Window.partitionBy("group").orderBy(F.desc("n"), "item")
-    shown = popular.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= per_group)
-    liked = ratings.join(groups, "item").select("user", "group").distinct()
-    return liked.join(shown.select("group", "item"), "group").select("user", "item").distinct()
-
-
-def recommendations(ratings: DataFrame, offered: DataFrame, top: int) -> DataFrame:
-    """(user, item, score, place): the best of the items offered to each user."""
-    scored = factor_model(ratings).transform(offered)
-    best = Window.partitionBy("user").orderBy(F.desc("prediction"), "item")
-    return (
-        scored.withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= top)
-        .select("user", "item", F.col("prediction").alias("score"), "place")
+def recommendations(ratings: DataFrame, top: int) -> DataFrame:
+    """(user, item, score, place): the best of all items for each user.  Blocks of users
+    meet blocks of items, and each pair of blocks leaves ``top`` items a user."""
+    best = factor_model(ratings).recommendForAllUsers(top)
+    ordered = F.array_sort(
+        F.transform("recommendations", lambda x: F.struct((-x.rating).alias("less"), x.item.alias("item")))
+    )
+    return best.select("user", F.posexplode(ordered).alias("at", "found")).select(
+        "user",
+        "found.item",
+        (-F.col("found.less")).alias("score"),
+        (F.col("at") + 1).alias("place"),
     )
 
 

@@ -209,3 +209,26 @@ def test_bucketed_join_needs_no_shuffle(spark, tmp_path):
         assert "Exchange" not in plan and joined.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_recommended_parts_are_the_best_of_all(spark):
+    import numpy as np
+
+    import __spark_entry__ as driver
+    from conftest import SMALL
+    from marketlake.catalog import learning
+    from marketlake.operators import models
+    from marketlake.session import cut_lineage
+
+    model = models.factor_model(cut_lineage(learning._part_ratings(spark, SMALL)))
+    users, items = (
+        {r.id: np.array(r.features) for r in x.collect()} for x in (model.userFactors, model.itemFactors)
+    )
+    table = np.stack(list(items.values()))
+    found = {}
+    for r in driver.queries()["recommend_parts"](spark, SMALL).collect():
+        found.setdefault(r.user, {})[r.place] = r.score
+    assert found.keys() == users.keys()
+    for user, places in found.items():
+        best = np.sort(table @ users[user])[::-1][:5]
+        assert np.allclose([places[k] for k in range(1, 6)], best, atol=1e-4)
