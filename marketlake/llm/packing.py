@@ -10,13 +10,13 @@ The search for a filling is branch and bound over lengths in descending order, o
 stack of (length, times used) that is no deeper than there are lengths.  The
 incumbent is the best-fit filling (always the largest length that still fits); a
 branch is dropped when the largest sum that lengths of its kind can reach leaves no
-less waste than the incumbent; a filling without waste ends the search.  A filling is
-dominated, and not looked at, if a larger available length could stand in for one of
-its own.  A search that visits more than ``nodes`` branches keeps its incumbent: that
+less waste than the incumbent; a filling without waste ends the search.  Dominated fillings
+are visited too.  A search that visits more than ``nodes`` branches keeps its incumbent: that
 bounds time, not data."""
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Sequence
 from functools import partial
@@ -31,14 +31,20 @@ from marketlake.llm.tokens import encoded
 
 CAPACITY = 4096
 NODES = 3000
+_log = logging.getLogger(__name__)
 
 
 def best_filling(room: int, lengths: Sequence[int], counts: dict[int, int], nodes: int = NODES):
     """Lengths (largest first, repeats listed) with the largest sum within ``room``,
     of ``lengths`` (descending), each used ``counts`` times at most."""
+    return searched_filling(room, lengths, counts, nodes)[0]
+
+
+def searched_filling(room: int, lengths: Sequence[int], counts: dict[int, int], nodes: int):
+    """``best_filling`` and the number of branches visited, above ``nodes`` if cut short."""
     fitting = [n for n in lengths if n <= room and counts[n] > 0]
     if not fitting:
-        return []
+        return [], 0
     smallest = fitting[-1]
     sum_from = [0] * (len(fitting) + 1)
     for i in range(len(fitting) - 1, -1, -1):
@@ -79,7 +85,7 @@ def best_filling(room: int, lengths: Sequence[int], counts: dict[int, int], node
         left += fitting[i - 1]
         if chosen[-1][1] == 0:
             chosen.pop()
-    return [fitting[i] for i, uses in best for _ in range(uses)]
+    return [fitting[i] for i, uses in best for _ in range(uses)], seen
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES):
@@ -90,11 +96,13 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: i
     if any(n > capacity for n in counts):
         raise ValueError("a piece is longer than a sequence")
     lengths = sorted(counts, reverse=True)
-    patterns, sequences = [], 0
+    patterns, sequences, cut = [], 0, 0
     while lengths:
         top = lengths[0]
         counts[top] -= 1
-        filling = [top, *best_filling(capacity - top, lengths, counts, nodes)]
+        rest, seen = searched_filling(capacity - top, lengths, counts, nodes)
+        filling = [top, *rest]
+        cut += seen > nodes
         counts[top] += 1
         need: dict[int, int] = {}
         for n in filling:
@@ -106,6 +114,11 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: i
             lengths = [n for n in lengths if counts[n]]
         patterns.append((sequences, times, filling))
         sequences += times
+    above = sequences - -(-sum(n * c for n, c in histogram.items()) // capacity)
+    _log.info(
+        "%d sequences, %d above the least; %d of %d searches cut at %d branches",
+        sequences, above, cut, len(patterns), nodes,
+    )
     return patterns, sequences
 
 

@@ -212,6 +212,13 @@ def test_filling_search():
         assert all(best.count(n) <= counts[n] for n in best)
 
 
+def test_searches_tell_whether_they_were_cut():
+    lengths = list(range(2000, 1100, -1))
+    found, visits = packing.searched_filling(2100, lengths, dict.fromkeys(lengths, 1), 50)
+    assert found == [2000] and visits > 50
+    assert packing.searched_filling(2000, lengths, dict.fromkeys(lengths, 1), 50) == ([2000], 1)
+
+
 @pytest.mark.parametrize("histogram", [{1: 5000}, {1: 1500}, {4000: 2, 2: 9000, 3: 1}])
 def test_plan_of_many_short_pieces(histogram):
     patterns, sequences = packing.plan_sequences(histogram)
