@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import (
     embedding_dup,
+    exact_dup,
     html_text,
     line_dup,
     mixing,
@@ -200,3 +201,14 @@ def op10(spark, sf_dir):
         _documents(spark, sf_dir).select("doc_id", "text")
     )
     return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+
+
+OP13_SQL = """SELECT doc_id, max(doc_id) OVER same AS keep_id, CAST(count(*) OVER same AS BIGINT) AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(content) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS content FROM documents)
+WINDOW same AS (PARTITION BY content)"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13(spark, sf_dir):
+    return exact_dup.exact_duplicates(_documents(spark, sf_dir))
