@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import (
+    alignment,
     embedding_dup,
     exact_dup,
     html_text,
@@ -203,6 +204,17 @@ def op10(spark, sf_dir):
     return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 
 
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    return alignment.alignment_digests(
+        _documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 OP13_SQL = """SELECT doc_id, max(doc_id) OVER same AS keep_id, CAST(count(*) OVER same AS BIGINT) AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(content) AS text_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS content FROM documents)
