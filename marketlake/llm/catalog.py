@@ -20,6 +20,7 @@ from marketlake.llm import (
     quality_rules,
     token_files,
     warc,
+    whitening,
 )
 from marketlake.llm.common import keep, table
 
@@ -204,6 +205,11 @@ def op10(spark, sf_dir):
     return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 
 
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     import public_tokenizers
