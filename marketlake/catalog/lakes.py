@@ -187,6 +187,90 @@ def lake_compaction(spark, sf):
     )
 
 
+@book.add(
+    "lake_older_version",
+    _HOUR_BARS
+    + """SELECT symbol, epoch_ms(ts) AS timestamp, close, version FROM bars, (SELECT unnest([1, 2, 3]) AS version)
+WHERE version = 2 OR (ts < TIMESTAMP '2024-01-15') = (version = 1)""",
+)
+def lake_older_version(spark, sf):
+    """Each version of a table that has been merged into and refreshed since."""
+    lake = _run_thrice(spark, sf, "lake-versions")
+    parts = [lake.read(spark, v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return millis(rows, "timestamp").select("symbol", "timestamp", "close", "version")
+
+
+@book.add(
+    "lake_changed_rows",
+    _HOUR_BARS
+    + """SELECT symbol, epoch_ms(ts) AS timestamp,
+  CASE WHEN symbol = 'view' THEN close + 1 ELSE close END AS close FROM bars
+WHERE ts >= TIMESTAMP '2024-01-20' OR (ts >= TIMESTAMP '2024-01-15' AND symbol = 'view')""",
+)
+def lake_changed_rows(spark, sf):
+    """The feed after a merge that repeats some rows, changes those of one symbol and adds
+    days: rows that came again as they were are not in it."""
+    bars = _hour_bars(spark, sf).withColumn("updated_at", F.lit(_AT))
+    lake = LakeTable(scratch_path(spark, "lake-feed"), ("symbol", "timestamp"), {"day": day_of()})
+    lake.create(bars.filter(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp")))
+    later = bars.filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp"))
+    raised = F.when(F.col("symbol") == "view", F.col("close") + 1).otherwise(F.col("close"))
+    lake.merge(later.withColumns({"close": raised, "updated_at": F.lit(_AT + dt.timedelta(days=1))}))
+    return millis(lake.changed(spark, since=1), "timestamp").select("symbol", "timestamp", "close")
+
+
+_PARTS, _SUPPLIERS = 40, 7
+
+
+@book.add(
+    "lake_zorder_skipping",
+    f"""SELECT 'l_partkey' AS filtered, count(*) AS matching, TRUE AS skips, TRUE AS skips_with_curve
+FROM lineitem WHERE l_partkey = {_PARTS} UNION ALL
+SELECT 'l_suppkey', count(*), FALSE, TRUE FROM lineitem WHERE l_suppkey = {_SUPPLIERS}""",
+)
+def lake_zorder_skipping(spark, sf):
+    """Files whose range meets a filter on one column, of files sorted by (part, supplier) and of
+    files along the curve over both.  Sorted files skip by the first column only; along the
+    curve at least a third is skipped by either."""
+    rows = driver_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.lit(_AT).alias("updated_at")
+    )
+    lake = LakeTable(
+        scratch_path(spark, "lake-curve"), ("l_orderkey", "l_linenumber"),
+        cluster_by=("l_partkey", "l_suppkey"),
+    )
+    lake.create(rows)
+    filters = {"l_partkey": _PARTS, "l_suppkey": _SUPPLIERS}
+
+    def share_hit():
+        file = F.input_file_name().alias("file")
+        ranges = lake.read(spark).groupBy(file).agg(
+            *[
+                F.lit(v).between(F.min(c), F.max(c)).cast("int").alias(c)
+                for c, v in filters.items()
+            ]
+        )
+        return ranges.agg(*[F.avg(c).alias(c) for c in filters]).first()
+
+    shares = []
+    for by in ((), ("l_partkey", "l_suppkey")):
+        lake.compact(spark, files=32, zorder=by)
+        shares.append(share_hit())
+    table, out = lake.read(spark), None
+    for column, value in filters.items():
+        row = table.filter(F.col(column) == value).agg(F.count(F.lit(1)).alias("matching")).select(
+            F.lit(column).alias("filtered"),
+            "matching",
+            *[
+                F.lit(share[column] <= 2 / 3).alias(name)
+                for name, share in zip(("skips", "skips_with_curve"), shares)
+            ],
+        )
+        out = row if out is None else out.union(row)
+    return out
+
+
 # --- layers ---------------------------------------------------------------------------
 
 
@@ -215,6 +299,69 @@ def layers_gold(spark, sf):
     )
 
 
+def _two_runs(spark, sf, name):
+    """The layers after all days but the last two, and again after those."""
+    root = scratch_path(spark, name)
+    prices = adapters.price_rows(spark, sf)
+    indicators = messages.split_valid(
+        messages.parse_indicators(adapters.indicator_messages(spark, sf)), ["symbol", "timestamp"]
+    ).valid
+    articles = adapters.news_articles(spark, sf)
+    border = F.unix_millis(F.lit("2024-01-29").cast("timestamp"))
+    at = F.lit("2024-01-29").cast("timestamp")
+    early = [prices.filter(F.col("timestamp") < border), indicators.filter(F.col("timestamp") < border)]
+    late = [prices.filter(F.col("timestamp") >= border), indicators.filter(F.col("timestamp") >= border)]
+    layers.run_layers(spark, root, *early, articles.filter(F.col("published_utc") < at), _AT)
+    layers.run_layers(
+        spark, root, *late, articles.filter(F.col("published_utc") >= at), _AT + dt.timedelta(days=1)
+    )
+    return root
+
+
+@book.add(
+    "layers_incremental",
+    V.with_views(*V.GOLD_VIEWS, recursive=True)
+    + f"""SELECT symbol, epoch_ms(ts) AS timestamp, {sql6("avg_close")} AS avg_close,
+  {sql6("avg_ema")} AS avg_ema, {sql6("avg_rsi")} AS avg_rsi, len(news_descriptions) AS articles FROM gold""",
+)
+def layers_incremental(spark, sf):
+    """Two runs, the second with new days only: the rows of one run over everything."""
+    rows = tables.gold_table(_two_runs(spark, sf, "layers-twice")).read(spark)
+    return rounded(millis(rows, "timestamp"), "avg_close", "avg_ema", "avg_rsi").select(
+        "symbol",
+        "timestamp",
+        "avg_close",
+        "avg_ema",
+        "avg_rsi",
+        F.size("news_descriptions").cast("long").alias("articles"),
+    )
+
+
+@book.add(
+    "layers_touched",
+    V.with_views(V.TICKS, V.bars())
+    + """, days AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM bars WHERE ts >= TIMESTAMP '2024-01-29'),
+layers AS (SELECT unnest(['bronze/price', 'silver/price', 'silver/indicators', 'gold/features']) AS layer)
+SELECT layer, 'day=' || day AS partition FROM layers, days""",
+)
+def layers_touched(spark, sf):
+    """The partitions that the second run has rewritten, from the tables' logs: the new days."""
+    root = _two_runs(spark, sf, "layers-touched")
+    found = None
+    for table in (
+        tables.price_table(root, "bronze"),
+        tables.price_table(root, "silver"),
+        tables.indicator_table(root, "silver"),
+        tables.gold_table(root),
+    ):
+        layer = "/".join(table.path.split("/")[-2:])
+        rows = table.history(spark).filter("version > 1").select(
+            F.lit(layer).alias("layer"), F.explode("touched").alias("partition")
+        )
+        found = rows if found is None else found.union(rows)
+    return found
+
+
 @book.add(
     "forecasts_of_symbol",
     _HOUR_BARS

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.plans.serving import latest_per_symbol
 from marketlake.schemas import INDICATORS
 
 PRICE_COLUMNS = [
@@ -122,3 +125,42 @@ def build_gold(
     if dense:
         features = dense_hours(features)
     return finish_gold(fill_hours(features), news)
+
+
+def gold_since(
+    prices: DataFrame,
+    indicators: DataFrame,
+    news: DataFrame,
+    known: DataFrame,
+    start: dt.datetime,
+) -> DataFrame:
+    """The rows of ``build_gold`` from the hour ``start`` on, given the table's rows before it.
+
+    What the fill carries over the border stands in each symbol's last complete row; only
+    symbols without one are read from their beginning."""
+    at = F.lit(start)
+    recent = hourly_features(
+        prices.filter(F.col("timestamp") >= at), indicators.filter(F.col("timestamp") >= at)
+    )
+    complete = known.filter(F.col("timestamp") < at)
+    carried = latest_per_symbol(complete.select("symbol", "timestamp", *FEATURES), 1)
+    begun = recent.select("symbol").distinct().join(carried, "symbol", "left_anti")
+    hours = recent.unionByName(carried)
+    if not begun.isEmpty():
+        early = [
+            rows.filter(F.col("timestamp") < at).join(begun, "symbol", "left_semi")
+            for rows in (prices, indicators)
+        ]
+        hours = hours.unionByName(hourly_features(*early))
+    filled = fill_hours(hours).filter(F.col("timestamp") >= at)
+    return finish_gold(filled, news.filter(F.col("published_utc") >= at))
+
+
+def with_news_again(known: DataFrame, news: DataFrame, touched: DataFrame) -> DataFrame:
+    """The table's rows at the touched (symbol, timestamp) hours, with their articles anew."""
+    rows = known.join(touched, ["symbol", "timestamp"], "left_semi").select(
+        "symbol", "timestamp", *FEATURES
+    )
+    hour = F.date_trunc("hour", "published_utc")
+    there = news.withColumn("timestamp", hour).join(touched, ["symbol", "timestamp"], "left_semi")
+    return finish_gold(rows, there.drop("timestamp"))

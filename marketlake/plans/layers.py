@@ -1,4 +1,8 @@
-"""Bronze to silver to gold to serving, each layer one job over all symbols."""
+"""Bronze to silver to gold to serving, each layer one job over all symbols.
+
+A layer takes what has changed in the one below since it last did: its own commits note the
+versions it has consumed, in the same atomic step as the rows made from them.  So a run after
+one new day reads and rewrites that day, and a failed run is simply repeated."""
 
 from __future__ import annotations
 
@@ -10,10 +14,10 @@ from pyspark.sql import functions as F
 from marketlake.functions.columns import millis_to_timestamp
 from marketlake.operators import indicators as ind
 from marketlake.plans import tables
-from marketlake.plans.gold import build_gold
+from marketlake.plans.gold import build_gold, gold_since, with_news_again
 from marketlake.plans.news import articles_by_symbol
 from marketlake.plans.serving import SERVING_DAYS, front_end, since
-from marketlake.sources.lake import LakeTable
+from marketlake.sources.lake import LakeTable, differing
 
 
 class MissingTable(LookupError):
@@ -43,18 +47,34 @@ def bronze_news(root: str, articles: DataFrame, at: dt.datetime, keep_versions:
     table.merge(stamped(articles, at))
 
 
+def feed(
+    spark: SparkSession, source: LakeTable, target: LakeTable
+) -> tuple[DataFrame | None, dict[str, int]]:
+    """(rows of ``source`` that ``target`` hasn't taken yet or None, the version to note)."""
+    version = source.state(spark).version
+    if version == 0:
+        raise MissingTable(source.path)
+    name = "/".join(source.path.split("/")[-2:])
+    since = target.state(spark).consumed.get(name, 0)
+    rows = source.changed(spark, since, version)
+    return (None if rows is None else rows.drop(*source.partitions)), {name: version}
+
+
 def silver(spark: SparkSession, root: str, at: dt.datetime) -> None:
     """Epoch milliseconds become timestamps."""
     for table in (tables.price_table, tables.indicator_table):
-        rows = _need(spark, table(root, "bronze"))
-        table(root, "silver").merge(
-            stamped(rows.withColumn("timestamp", millis_to_timestamp("timestamp")), at)
-        )
+        target = table(root, "silver")
+        rows, consumed = feed(spark, table(root, "bronze"), target)
+        if rows is not None:
+            timed = rows.withColumn("timestamp", millis_to_timestamp("timestamp"))
+            target.merge(stamped(timed, at), consumed=consumed)
 
 
 def silver_news(spark: SparkSession, root: str, at: dt.datetime) -> None:
-    articles = _need(spark, tables.news_table(root, "bronze"))
-    tables.news_table(root, "silver").merge(stamped(articles_by_symbol(articles), at))
+    target = tables.news_table(root, "silver")
+    articles, consumed = feed(spark, tables.news_table(root, "bronze"), target)
+    if articles is not None:
+        target.merge(stamped(articles_by_symbol(articles), at), consumed=consumed)
 
 
 def indicators_from_bars(spark: SparkSession, root: str) -> DataFrame:
@@ -63,12 +83,49 @@ def indicators_from_bars(spark: SparkSession, root: str) -> DataFrame:
     return ind.long_form(ind.all_indicators(bars))
 
 
+def _first_hour(*feeds: DataFrame | None) -> dt.datetime | None:
+    """Earliest hour among the changed rows."""
+    found = [
+        rows.agg(F.unix_timestamp(F.date_trunc("hour", F.min("timestamp")))).first()[0]
+        for rows in feeds
+        if rows is not None
+    ]
+    hours = [s for s in found if s is not None]
+    return dt.datetime.fromtimestamp(min(hours), dt.timezone.utc) if hours else None
+
+
 def gold(spark: SparkSession, root: str, at: dt.datetime) -> None:
-    prices = _need(spark, tables.price_table(root, "silver"))
-    indicators = _need(spark, tables.indicator_table(root, "silver"))
-    articles = _need(spark, tables.news_table(root, "silver"))
-    features = build_gold(prices, indicators, articles)
-    tables.gold_table(root).merge(stamped(features, at))
+    """Features from the first changed hour on, and the hours whose articles have changed;
+    only rows that come out differently are merged."""
+    target = tables.gold_table(root)
+    sources = [
+        tables.price_table(root, "silver"),
+        tables.indicator_table(root, "silver"),
+        tables.news_table(root, "silver"),
+    ]
+    feeds = [feed(spark, source, target) for source in sources]
+    if all(rows is None for rows, _ in feeds):
+        return
+    consumed = {name: version for _, note in feeds for name, version in note.items()}
+    prices, indicators, articles = (_need(spark, source) for source in sources)
+    known = target.read(spark)
+    if known is None:
+        features = build_gold(prices, indicators, articles)
+        return target.merge(stamped(features, at), consumed=consumed)
+    (new_prices, _), (new_indicators, _), (new_articles, _) = feeds
+    start = _first_hour(new_prices, new_indicators)
+    parts = []
+    if start is not None:
+        parts.append(gold_since(prices, indicators, articles, known, start))
+    if new_articles is not None:
+        hour = F.date_trunc("hour", "published_utc").alias("timestamp")
+        touched = new_articles.select("symbol", hour).distinct()
+        if start is not None:
+            touched = touched.filter(F.col("timestamp") < F.lit(start))
+        parts.append(with_news_again(known, articles, touched))
+    features = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    made = differing(features, known, target.keys)
+    target.merge(stamped(made, at), consumed=consumed)
 
 
 def serving(spark: SparkSession, root: str, at: dt.datetime) -> None:

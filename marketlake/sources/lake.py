@@ -1,33 +1,36 @@
 """Lake tables: parquet folders with keys, merged partition by partition.
 
-A table is a folder with a log beside its data.  Every log row names the data folder that
-holds from then on: a full refresh, or any rewrite of a whole table, writes a new folder
-first and then appends the row that points to it, so a crash in between leaves the old
-state, and no operation touches the log of earlier ones.
+Every write puts its files into a folder of its own and then appends one commit that names the
+partitions which that folder holds from now on (``commits``).  A write that fails or is refused
+leaves the table as it was, over all its partitions; readers of an older version go on reading
+it, and ``read`` takes a version to go back to.
 
 A merge rewrites the partitions its source touches and no others.  This needs the
 partition of a row to follow from its keys; a table keyed by something else than
 time (news) is partitioned by a hash of its keys.  Where the Delta package is
-installed the same call runs Delta's own MERGE."""
+installed the same call runs Delta's own MERGE.
+
+``changed`` is the feed of a table: the rows that differ from an older version, found by
+comparing the partitions touched since with their older files."""
 
 from __future__ import annotations
 
-import datetime as dt
 import importlib.util
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.zorder import curve
 from marketlake.plans.serving import latest_version
 from marketlake.session import cut_lineage, slice_count
+from marketlake.sources.commits import Commit, CommitLog, ConcurrentWrite, State
 
-HISTORY_SCHEMA = (
-    "operation STRING, parameters MAP<STRING, STRING>, batch_id BIGINT, written BIGINT,"
-    " updated BIGINT, inserted BIGINT, table_schema STRING, folder STRING, at TIMESTAMP"
-)
+_FOLDER = "_commit"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def day_of_millis(column: str = "timestamp") -> Column:
@@ -56,8 +59,7 @@ def delta_available(spark: SparkSession) -> bool:
 
 @dataclass(frozen=True)
 class LakeTable:
-    """``partitions`` maps partition columns to the expression that derives them;
-    the first one prunes the merge."""
+    """``partitions`` maps partition columns to the expression that derives them."""
 
     path: str
     keys: tuple[str, ...]
@@ -67,44 +69,107 @@ class LakeTable:
 
     # --- reading ---------------------------------------------------------------
 
-    @property
-    def _log_path(self) -> str:
-        return f"{self.path}/log"
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, f"{self.path}/log")
+
+    def state(self, spark: SparkSession, version: int | None = None) -> State:
+        log = self.log(spark)
+        return log.latest() if version is None else log.state(version)
 
     def history(self, spark: SparkSession) -> DataFrame | None:
-        if not path_exists(spark, self._log_path):
-            return None
-        return spark.read.schema(HISTORY_SCHEMA).parquet(self._log_path)
+        return self.log(spark).history()
 
-    def _new_folder(self) -> str:
-        return f"{self.path}/data-{uuid.uuid4().hex}"
+    def last_operation(self, spark: SparkSession) -> Commit | None:
+        log = self.log(spark)
+        return log.commit(log.latest().version)
 
-    def last_operation(self, spark: SparkSession):
-        log = self.history(spark)
-        return None if log is None else log.orderBy(F.desc("at")).first()
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    def _folder(self, commit: str) -> str:
+        return f"{self._data}/{_FOLDER}={commit}"
+
+    def _rows(self, spark: SparkSession, state: State, only: Iterable[str] | None = None) -> DataFrame:
+        """The partitions of a state, or some of them, each from its own folder.  The schema
+        comes from the log, so older partitions need no footer scan to learn of new columns."""
+        chosen = state.partitions if only is None else state.partitions.keys() & set(only)
+        paths = [f"{self._folder(state.partitions[p])}/{p}".rstrip("/") for p in sorted(chosen)]
+        if not paths:
+            return spark.createDataFrame([], state.schema)
+        return (
+            spark.read.schema(f"{state.schema}, `{_FOLDER}` STRING")
+            .option("basePath", self._data)
+            .parquet(*paths)
+            .drop(_FOLDER)
+        )
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        """The table, or None before the first write.  The schema comes from the
-        history, so older partitions need no footer scan to learn of new columns."""
-        last = self.last_operation(spark)
-        if last is None:
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame | None:
+        """The table, now or as it was at a version; None before the first write."""
+        state = self.state(spark, version)
+        return None if state.schema is None else self._rows(spark, state)
+
+    def changed(
+        self, spark: SparkSession, since: int = 0, upto: int | None = None
+    ) -> DataFrame | None:
+        """Rows of version ``upto`` (the newest) that are new or other than at version
+        ``since``, in columns besides the version columns; None if nothing has been written
+        in between.  Reads the partitions touched meanwhile only.  Where older files have been
+        vacuumed, all rows of these partitions count."""
+        log = self.log(spark)
+        state = log.latest() if upto is None else log.state(upto)
+        moved: set[str] = set()
+        for commit in log.commits(since, state.version):
+            if commit.operation != "COMPACT":
+                moved |= state.partitions.keys() if commit.whole else set(commit.touched)
+        if not moved:
             return None
-        return spark.read.schema(last["table_schema"]).parquet(last["folder"])
+        rows = self._rows(spark, state, moved)
+        before = log.state(since)
+        then = moved & before.partitions.keys()
+        folders = {before.partitions[p] for p in then}
+        if not then or not all(path_exists(spark, self._folder(f)) for f in folders):
+            return rows
+        old = self._rows(spark, before, then)
+        return differing(rows, old, self.keys, (*self.version, *self.partitions))
 
     def applied(self, spark: SparkSession, batch_id: int) -> bool:
-        log = self.history(spark)
-        return log is not None and not log.filter(F.col("batch_id") == batch_id).isEmpty()
+        return self.state(spark).applied(batch_id)
 
     # --- writing ---------------------------------------------------------------
 
     def _partitioned(self, df: DataFrame) -> DataFrame:
         return df.withColumns(self.partitions) if self.partitions else df
 
-    def _write(self, df: DataFrame, folder: str, evenly: bool = True) -> None:
-        names = list(self.partitions)
+    def _write(self, df: DataFrame, commit: str, evenly: bool = True) -> list[str]:
+        """Write a folder of its own; returns the paths of the partitions in it."""
+        spark, folder = df.sparkSession, self._folder(commit)
         if evenly:
             df = self._spread(df)
-        df.write.mode("overwrite").partitionBy(*names).parquet(folder)
+        df.write.partitionBy(*self.partitions).parquet(folder)
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [(root, "")]
+        for name in self.partitions:
+            found = [
+                (s.getPath(), f"{path}/{s.getPath().getName()}".lstrip("/"))
+                for place, path in found
+                for s in fs.listStatus(place)
+                if s.getPath().getName().startswith(f"{name}=")
+            ]
+        return sorted(path for _, path in found)
+
+    def _drop_folder(self, spark: SparkSession, commit: str) -> str:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self._folder(commit))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return path.toString()
+
+    def _append(self, spark: SparkSession, base: State, commit: Commit) -> None:
+        try:
+            self.log(spark).append(base, commit)
+        except ConcurrentWrite:
+            self._drop_folder(spark, commit.folder)
+            raise
 
     def _spread(self, df: DataFrame) -> DataFrame:
         """Few files per partition, and several writers for a very large one.  AQE
@@ -117,108 +182,101 @@ class LakeTable:
             return df.hint("rebalance", *names)
         return df.repartitionByRange(slice_count(spark), *names, *self.keys)
 
-    def _log(
-        self, spark, operation, schema, folder, written, updated=0, inserted=0, batch_id=None, **params
-    ):
-        row = (
-            operation,
-            {k: str(v) for k, v in params.items()},
-            batch_id,
-            written,
-            updated,
-            inserted,
-            ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields),
-            folder,
-            dt.datetime.now(dt.timezone.utc),
-        )
-        spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self._log_path
-        )
-
     # Row counts come from parquet footers, read back after the write.  (Observation
     # objects would count on the way, but a session that has used one can no longer
     # serialise some ML models.)
 
-    def create(self, df: DataFrame, batch_id: int | None = None) -> None:
+    def create(
+        self,
+        df: DataFrame,
+        batch_id: int | None = None,
+        consumed: dict[str, int] | None = None,
+    ) -> None:
         """First write, or full refresh of an existing table."""
         spark = df.sparkSession
-        out, folder = self._partitioned(df), self._new_folder()
-        self._write(out, folder)
-        rows = spark.read.schema(out.schema).parquet(folder).count()
-        self._log(spark, "CREATE", out.schema, folder, rows, inserted=rows, batch_id=batch_id)
-
-    def merge(self, source: DataFrame, batch_id: int | None = None) -> None:
+        base = self.state(spark)
+        out, folder = self._partitioned(df), uuid.uuid4().hex
+        touched = self._write(out, folder)
+        rows = spark.read.schema(out.schema).parquet(self._folder(folder)).count()
+        schema = _schema_text(out)
+        commit = Commit(
+            "CREATE", folder, touched, schema, True, batch_id, rows, 0, rows, {}, consumed or {}
+        )
+        self._append(spark, base, commit)
+
+    def merge(
+        self,
+        source: DataFrame,
+        batch_id: int | None = None,
+        consumed: dict[str, int] | None = None,
+    ) -> None:
         """Update rows whose keys exist, insert the others.
 
         The source may repeat keys (the newest version wins) and may bring new
-        columns or lack some; replaying a ``batch_id`` changes nothing."""
+        columns or lack some; replaying a ``batch_id`` changes nothing.  ``consumed`` notes
+        the versions of other tables that the source was made from."""
         spark = source.sparkSession
-        if batch_id is not None and self.applied(spark, batch_id):
+        base = self.state(spark)
+        if batch_id is not None and base.applied(batch_id):
             return
         newest = latest_version(source, list(self.keys), *self.version)
         if delta_available(spark):
             return self._merge_delta(newest)
-        target = self.read(spark)
-        if target is None:
-            return self.create(newest, batch_id)
+        if base.schema is None:
+            return self.create(newest, batch_id, consumed)
         # used several times below: compute it once, durably
         newest = cut_lineage(self._partitioned(newest))
-        names = list(self.partitions)
-        touched = self._touched(newest, names)
-        target = touched(target)
+        target = self._rows(spark, base, self._met(newest, base))
         old, incoming = target.count(), newest.count()
         kept = target.join(newest.select(*self.keys), list(self.keys), "left_anti")
         merged = kept.unionByName(newest, allowMissingColumns=True)
-        # without partitions the whole table is written anew, in a folder of its own
-        folder = self.last_operation(spark)["folder"] if names else self._new_folder()
-        self._write(merged, folder, evenly=bool(names))
-        written = touched(spark.read.schema(merged.schema).parquet(folder)).count()
+        folder = uuid.uuid4().hex
+        touched = self._write(merged, folder)
+        written = spark.read.schema(merged.schema).parquet(self._folder(folder)).count()
         inserted = written - old
-        self._log(
-            spark,
+        commit = Commit(
             "MERGE",
-            merged.schema,
             folder,
+            touched,
+            _schema_text(merged),
+            False,
+            batch_id,
             written,
-            updated=incoming - inserted,
-            inserted=inserted,
-            batch_id=batch_id,
-            keys=",".join(self.keys),
+            incoming - inserted,
+            inserted,
+            {"keys": ",".join(self.keys)},
+            consumed or {},
         )
+        self._append(spark, base, commit)
 
-    def _touched(self, source: DataFrame, names: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
-        """Restriction of the table to the partitions the source writes to."""
+    def _met(self, source: DataFrame, state: State) -> list[str]:
+        """Partitions of the state that the source writes to.  One row per partition reaches
+        the driver, as in the log."""
+        names = list(self.partitions)
         if not names:
-            return lambda table: table
-        parts = cut_lineage(source.select(*names).distinct())
-        first = names[0]
-        low, high, missing = parts.agg(
-            F.min(first), F.max(first), F.sum(F.col(first).isNull().cast("int"))
-        ).first()
-        if missing:
-            raise ValueError(f"{self.path}: a row without {first} (are its keys null?)")
-
-        # the range prunes the scan, the join picks the partitions in it
-        def restrict(table: DataFrame) -> DataFrame:
-            if low is not None:
-                table = table.filter(F.col(first).between(low, high))
-            return table.join(parts, list(names), "left_semi")
-
-        return restrict
-
-    def vacuum(self, spark: SparkSession) -> list[str]:
-        """Delete data folders that the table has left behind; returns their paths.
-        Not while somebody may still read an older state."""
-        last = self.last_operation(spark)
-        if last is None:
+            return list(state.partitions)
+        rows = source.select(*[F.col(n).cast("string") for n in names]).distinct().collect()
+        if any(r[0] is None for r in rows):
+            raise ValueError(f"{self.path}: a row without {names[0]} (are its keys null?)")
+        wanted = {tuple(_NULL_PARTITION if v is None else v for v in r) for r in rows}
+        return [p for p in state.partitions if _values(p) in wanted]
+
+    def vacuum(self, spark: SparkSession, versions: int = 1) -> list[str]:
+        """Delete the folders that none of the newest ``versions`` versions reads, those of
+        failed writes among them; returns their paths.  Not while somebody may still read an
+        older state, or while a write is under way."""
+        log = self.log(spark)
+        last = log.latest().version
+        if last == 0:
             return []
-        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        held: set[str] = set()
+        for version in range(max(1, last - versions + 1), last + 1):
+            held |= set(log.state(version).partitions.values())
+        root = spark._jvm.org.apache.hadoop.fs.Path(self._data)
         fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        current = last["folder"].rsplit("/", 1)[-1]
-        old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName() not in (current, "log")]
-        for path in old:
-            fs.delete(path, True)
-        return [p.toString() for p in old]
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        commits = [n.partition("=")[2] for n in names if n.startswith(f"{_FOLDER}=")]
+        return [self._drop_folder(spark, c) for c in commits if c not in held]
 
     def _merge_delta(self, source: DataFrame) -> None:
         from delta.tables import DeltaTable
@@ -240,24 +298,59 @@ class LakeTable:
             .execute()
         )
 
-    def compact(self, spark: SparkSession, files: int | None = None, where: Column | None = None) -> None:
-        """Rewrite (the chosen part of) the table as few files sorted by the
-        cluster columns, so that their min/max statistics let scans skip files.
+    def compact(
+        self,
+        spark: SparkSession,
+        files: int | None = None,
+        where: Column | None = None,
+        zorder: Sequence[str] = (),
+    ) -> None:
+        """Rewrite the table, or the partitions in which ``where`` holds for a row, as few
+        files sorted by the cluster columns, so that their min/max statistics let scans skip
+        files.  With ``zorder`` the files follow a space-filling curve over these columns
+        instead, so that a filter on any of them skips files, not only one on the first.
 
         Range partitioning splits a big partition over several tasks."""
-        rows = self.read(spark)
-        if rows is None:
+        base = self.state(spark)
+        if base.schema is None:
             return
-        part = where is not None and bool(self.partitions)
-        if part:
-            rows = rows.filter(where)
-        order = [*self.partitions, *(self.cluster_by or self.keys)]
-        order = list(dict.fromkeys(order))
-        count = rows.count()
+        chosen = list(base.partitions)
+        if where is not None and self.partitions:
+            chosen = self._met(self._rows(spark, base).filter(where), base)
+        rows = self._rows(spark, base, chosen)
+        order = list(dict.fromkeys([*self.partitions, *(self.cluster_by or self.keys)]))
+        if zorder:
+            rows = rows.withColumn("_curve", curve(rows, zorder))
+            order = [*self.partitions, "_curve"]
         sorted_rows = rows.repartitionByRange(files or slice_count(spark), *order).sortWithinPartitions(
             *order
         )
-        # part of a table is written over; a whole one goes to a folder of its own
-        folder = self.last_operation(spark)["folder"] if part else self._new_folder()
-        self._write(sorted_rows, folder, evenly=False)
-        self._log(spark, "COMPACT", sorted_rows.schema, folder, count, cluster_by=",".join(order))
+        folder = uuid.uuid4().hex
+        touched = self._write(sorted_rows.drop("_curve"), folder, evenly=False)
+        written = spark.read.schema(base.schema).parquet(self._folder(folder)).count()
+        how = {"zorder": ",".join(zorder)} if zorder else {"cluster_by": ",".join(order)}
+        commit = Commit(
+            "COMPACT", folder, touched, base.schema, False, None, written, parameters=how
+        )
+        self._append(spark, base, commit)
+
+
+def differing(
+    rows: DataFrame, old: DataFrame, keys: Sequence[str], ignored: Sequence[str] = ()
+) -> DataFrame:
+    """Rows whose keys are not in ``old``, or that differ from it in another column."""
+    same = [F.col(f"new.`{k}`") == F.col(f"old.`{k}`") for k in keys]
+    for c in rows.columns:
+        if c not in (*keys, *ignored):
+            other = F.col(f"old.`{c}`") if c in old.columns else F.lit(None)
+            same.append(F.col(f"new.`{c}`").eqNullSafe(other))
+    return rows.alias("new").join(old.alias("old"), same, "left_anti")
+
+
+def _schema_text(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _values(path: str) -> tuple[str, ...]:
+    """Partition values as text, from a path like day=2024-01-01/hour=3."""
+    return tuple(unquote(part.partition("=")[2]) for part in path.split("/") if part)
