@@ -14,8 +14,9 @@ footers, sidebars, notices, adverts, forms and reader comments around and inside
 
 Defined cases: a null, empty or blank page has an empty text; unclosed, misplaced and unknown
 tags are read as browsers do in the simple cases (paragraphs, list items, table cells end
-when the next one starts); text outside the body's blocks belongs to the body; rows that
-repeat an id are extracted each; other columns are ignored."""
+when the next one starts); a tag or quote that never ends takes the rest of the page with it;
+text outside the body's blocks belongs to the body; rows that repeat an id are extracted each;
+other columns are ignored."""
 
 from __future__ import annotations
 
@@ -30,14 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Tags as browsers' tokenizers read them: a quote opens a value only right after the equals
+# sign, elsewhere it is a plain character; a tag ends at the first > outside such a value.  The
+# quantifiers never give back, so odd markup takes no longer than clean markup.
+_WS = r"\t\n\f\r "
+_VALUE = rf"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^{_WS}>\"'][^{_WS}>]*+"
+_NAMED = rf"([^{_WS}/>][^{_WS}/>=]*+)(?:[{_WS}]*+=[{_WS}]*+({_VALUE})?+)?+"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|</(?![a-zA-Z])[^>]*+(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^{_WS}/>]*+)((?:[{_WS}/]++|{_NAMED})*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTRIBUTE = re.compile(_NAMED, re.S)
+_NAMING = {"class", "id", "role"}
 _LETTERS = re.compile(r"[a-z]+")
-_RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|$)", re.I) for t in
+_RAW = {t: re.compile(rf"</{t}(?=[{_WS}/>]|\Z)[^>]*+(?:>|\Z)", re.I) for t in
         ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg")}
 
 # Block elements of HTML.
@@ -114,7 +122,7 @@ class Page:
         node = len(self.tag)
         self.tag.append(_BLOCK[tag])
         found = _ATTRIBUTE.findall(attributes) if attributes else ()
-        self.words.append(" ".join(found).lower())
+        self.words.append(" ".join(v for n, v in found if n.lower() in _NAMING).lower())
         self.marked.append(attributes)
         self.parent.append(self._stack[-1] if self._stack else -1)
         self.end.append(-1)
