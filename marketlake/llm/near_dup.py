@@ -19,7 +19,8 @@ million.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a null
 doc_id is linked with nothing; rows that repeat a doc_id with another text count as one
-document with the sets of both rows compared; other columns are ignored."""
+document with the sets of both rows compared (``without_near_duplicates`` judges them apart);
+other columns are ignored."""
 
 from __future__ import annotations
 
@@ -30,11 +31,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.llm.common import byte_slices, keep, large_text, split_words
 from marketlake.llm.components import Forest, components
+from marketlake.operators.ordered import POS, number_rows
 
 SHINGLE = 5
 BLOCK = 192  # documents per block of a cluster
@@ -293,12 +296,51 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
-    """The documents with one of each group left, all columns as they are.  Of rows that
-    repeat the kept document's id one stays; rows without an id all stay."""
-    kept = near_duplicates(docs, rule).filter("kept AND doc_id IS NOT NULL").select("doc_id")
+    """The documents with one of each group left, the one with the smallest id, all columns as
+    they are.
+
+    Rows without an id all stay.  Where ids are repeated, a document is an (id, text) pair: its
+    place in the order of ids and texts stands for it, so that unlike texts under one id are
+    judged apart.  Of rows that repeat id and text the first in the order of the other columns
+    stays."""
+    unnamed, docs = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1").isEmpty():
+        kept = near_duplicates(docs, rule).filter("kept").select("doc_id")
+        left = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+        return left.unionByName(unnamed)
+    inner = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
+    text = F.col(inner["text"])
+    named = docs.withColumnsRenamed(inner).withColumns(
+        {
+            "_id": F.col(inner["doc_id"]).cast("long"),
+            "_hash1": F.xxhash64(text),
+            "_hash2": F.xxhash64(F.lit(1), text),
+        }
+    )
+    order = ["_id", "_hash1", "_hash2"]
+    places = number_rows(named.select(*order).distinct(), [], order).rows
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in order]
+    numbered = keep(
+        named.alias("d").join(places.alias("p"), same).select("d.*", F.col(f"p.{POS}").alias("_place")),
+        "numbered-documents",
+    )
+    judged = near_duplicates(
+        numbered.select(F.col("_place").alias("doc_id"), text.alias("text")), rule
+    )
+    kept = judged.filter("kept").select(F.col("doc_id").alias("_place"))
+    others = [
+        F.col(f.name)
+        for f in numbered.select(*inner.values()).schema.fields
+        if not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    # cut to the first row before the shuffle
+    first = F.row_number().over(Window.partitionBy("_place").orderBy(*others))
     return (
-        docs.join(kept, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .unionByName(docs.filter("doc_id IS NULL"))
-        .select(*docs.columns)
+        numbered.withColumn("_copy", first)
+        .filter("_copy = 1")
+        .join(kept, "_place", "left_semi")
+        .select(*inner.values())
+        .withColumnsRenamed({v: k for k, v in inner.items()})
+        .unionByName(unnamed)
     )
