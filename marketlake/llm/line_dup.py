@@ -218,9 +218,11 @@ def _without(at: int, runs_at: int, names: list[str]):
     return strip
 
 
-def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Documents with later copies of repeated line runs deleted; adds _n_lines and
-    _n_removed."""
+def _stripped(docs: DataFrame, min_words: int) -> tuple[DataFrame, dict[str, str]]:
+    """Documents without later copies, with _n_lines and _n_removed, under inner names for
+    their other columns; and the way back to their own."""
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    docs = docs.withColumnsRenamed(own)
     runs = repeated_runs(docs, min_words).alias("r")
     joined = (
         _identified(docs)
@@ -241,12 +243,21 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
             T.StructField("_n_removed", T.LongType()),
         ]
     )
-    return joined.mapInArrow(
+    rows = joined.mapInArrow(
         _without(docs.columns.index("text"), len(docs.columns), names), schema
     )
+    return rows, {v: k for k, v in own.items()}
+
+
+def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Documents with later copies of repeated line runs deleted; adds _n_lines and
+    _n_removed, in place of columns of these names."""
+    rows, back = _stripped(docs.drop("_n_lines", "_n_removed"), min_words)
+    return rows.withColumnsRenamed(back)
 
 
 def deduplicated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Documents without later copies; those of which nothing is left are dropped."""
-    rows = without_repeated_lines(docs, min_words)
-    return rows.filter("_n_removed = 0 OR _n_removed < _n_lines").drop("_n_lines", "_n_removed")
+    rows, back = _stripped(docs, min_words)
+    left = rows.filter("_n_removed = 0 OR _n_removed < _n_lines").drop("_n_lines", "_n_removed")
+    return left.withColumnsRenamed(back)
