@@ -114,14 +114,57 @@ def column_cosines_sampled_error(spark, sf):
     return similarity.mean_error(exact, similarity.sampled_column_cosines(vectors, "embedding"))
 
 
+_DISTANCES = """SELECT a.id AS "left", b.id AS "right", sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) ** 2))) AS distance
+FROM points a JOIN points b ON a.id < b.id"""
+
+
 @book.add("near_vectors")
 def near_vectors(spark, sf):
-    return similarity.near_vectors(_vectors(spark, sf), "vec_id", "embedding", 1.15)
+    """Vectors nearer than most.  Any two of these random vectors are some 1.4 apart, which no
+    hash tells from 1.15, so buckets are large here; ``near_vectors_moved`` has near pairs."""
+    return similarity.near_vectors(_vectors(spark, sf), "vec_id", "embedding", 1.15, recall=0.9)
+
+
+@book.add(
+    "near_vectors_moved",
+    f"""WITH points AS MATERIALIZED (
+  SELECT vec_id * 2 AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings UNION ALL
+  SELECT vec_id * 2 + 1, [CASE WHEN i % 7 = vec_id % 7 THEN embedding[i + 1] + 0.02 * (1 + vec_id % 5) ELSE CAST(embedding[i + 1] AS DOUBLE) END
+    FOR i IN range(len(embedding))] FROM embeddings)
+SELECT "left", "right", {sql6("distance")} AS distance FROM ({_DISTANCES}) WHERE distance <= 0.35""",
+)
+def near_vectors_moved(spark, sf):
+    """Each vector and one that lies near it: found among all, with their distances."""
+    vectors = _vectors(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    step = 0.02 * (1 + F.col("vec_id") % 5)
+    moved = F.transform(
+        "v", lambda x, i: F.when(i % 7 == F.col("vec_id") % 7, x + step).otherwise(x)
+    )
+    points = vectors.select((F.col("vec_id") * 2).alias("id"), "v").union(
+        vectors.select((F.col("vec_id") * 2 + 1).alias("id"), moved)
+    )
+    return rounded(similarity.near_vectors(points, "id", "v", 0.35, recall=0.9999), "distance")
 
 
-@book.add("near_texts")
+@book.add(
+    "near_texts",
+    f"""WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL),
+runs AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 3 THEN w
+    ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END)) AS s FROM split),
+sets AS MATERIALIZED (SELECT min(doc_id) AS id, s FROM runs WHERE len(s) > 0 GROUP BY s),
+items AS MATERIALIZED (SELECT id, len(s) AS n, unnest(s) AS t FROM sets),
+pairs AS (
+  SELECT a.id AS "left", b.id AS "right", count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS likeness
+  FROM items a JOIN items b ON a.t = b.t AND a.id < b.id GROUP BY ALL)
+SELECT "left", "right", {sql6("1 - likeness")} AS distance FROM pairs WHERE likeness >= 0.5
+UNION ALL SELECT id, doc_id, 0 FROM runs JOIN sets USING (s) WHERE id < doc_id""",
+)
 def near_texts(spark, sf):
     """Texts as sets of three-word runs; a shorter text is the set of its words."""
     docs = driver_table(spark, sf, "documents").select("doc_id", text.words("text").alias("tokens"))
     runs = F.when(F.size("tokens") < 3, F.col("tokens")).otherwise(text.ngrams("tokens", 3))
-    return similarity.near_texts(docs.withColumn("tokens", runs), "doc_id", 0.5)
+    found = similarity.near_texts(docs.withColumn("tokens", runs), "doc_id", 0.5, recall=0.9999)
+    return rounded(found, "distance")

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators import near_pairs
 from marketlake.session import cut_lineage
 
 
@@ -84,44 +84,61 @@ def copy_groups(df: DataFrame, key: str, content: str) -> tuple[DataFrame, DataF
     return chosen, members
 
 
-def _ordered_pairs(joined: DataFrame, members: DataFrame, key: str) -> DataFrame:
+def _ordered_pairs(pairs: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """Pairs of representatives, and each copy with its representative: linear in the
     copies, from which all pairs with copies follow."""
-    left, right = F.col(f"datasetA.{key}"), F.col(f"datasetB.{key}")
-    pairs = joined.filter(left < right).select(left.alias("left"), right.alias("right"), "distance")
     copies = members.filter(F.col("representative") < F.col(key)).select(
         F.col("representative").alias("left"), F.col(key).alias("right"), F.lit(0.0)
     )
     return pairs.union(copies)
 
 
+def typical_distance(vectors: DataFrame) -> tuple[int, float]:
+    """(rows, root of the mean squared distance of any two), from ``row`` in one pass."""
+    cells = vectors.select(F.posexplode("row").alias("i", "x"))
+    spread = cells.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.var_pop("x").alias("v"))
+    row = spread.agg(F.max("n").alias("n"), F.sum("v").alias("v")).first()
+    return (row["n"] or 0), math.sqrt(2 * (row["v"] or 0.0))
+
+
 def near_vectors(
-    df: DataFrame, key: str, column: str, within: float, width: float = 2.0, tables: int = 4, seed: int = 1
+    df: DataFrame,
+    key: str,
+    column: str,
+    within: float,
+    width: float | None = None,
+    tables: int | None = None,
+    hashes: int = 1,
+    seed: int = 1,
+    recall: float = near_pairs.RECALL,
 ) -> DataFrame:
     """Pairs of vectors within a Euclidean distance, by random projection; copies pair
-    with the first of them."""
-    chosen, members = copy_groups(df.select(key, column), key, column)
-    vectors = cut_lineage(
-        chosen.select(key, array_to_vector(F.col(column).cast("array<double>")).alias("v"))
-    )
-    model = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed
-    ).fit(vectors)
-    joined = model.approxSimilarityJoin(vectors, vectors, within, "distance")
-    return _ordered_pairs(joined, members, key)
+    with the first of them.  Width, tables and hashes follow from the data and the recall
+    wanted, unless width and tables are given."""
+    chosen, members = copy_groups(df.select(key, column).filter(F.col(column).isNotNull()), key, column)
+    rows = cut_lineage(chosen.select(F.col(key).alias("id"), F.col(column).cast("array<double>").alias("row")))
+    if width and tables:
+        plan = near_pairs.Plan(hashes, tables, width)
+    else:
+        plan = near_pairs.plan_projection(*_planned(rows, within), recall)
+    found = near_pairs.near_pairs(near_pairs.keyed(rows, "projection", plan, seed), "projection", within)
+    return _ordered_pairs(found, members, key)
+
+
+def _planned(rows: DataFrame, within: float) -> tuple[int, float, float]:
+    n, typical = typical_distance(rows)
+    return n, within, typical
 
 
 def near_texts(
-    tokens: DataFrame, key: str, within: float, slots: int = 1 << 18, tables: int = 5, seed: int = 1
+    tokens: DataFrame, key: str, within: float, seed: int = 1, recall: float = near_pairs.RECALL
 ) -> DataFrame:
-    """Pairs of token sets within a Jaccard distance, by min-hash; copies pair with the
-    first of them."""
+    """Pairs of token sets within a Jaccard distance, by min-hash of 64-bit token hashes;
+    copies pair with the first of them."""
     filled = tokens.filter(F.size("tokens") > 0).select(key, F.array_sort(F.array_distinct("tokens")).alias("tokens"))
     chosen, members = copy_groups(filled, key, "tokens")
-    sets = HashingTF(inputCol="tokens", outputCol="v", numFeatures=slots, binary=True).transform(chosen)
-    # Materialised, because the join's explode makes the optimizer test its hashes in
-    # the same filter that drops empty sets, and min-hash refuses an empty set.
-    slim = cut_lineage(sets.select(key, "v"))
-    model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=tables, seed=seed).fit(slim)
-    joined = model.approxSimilarityJoin(slim, slim, within, "distance")
-    return _ordered_pairs(joined, members, key)
+    hashed = F.array_distinct(F.transform("tokens", lambda t: F.xxhash64(t)))
+    rows = cut_lineage(chosen.select(F.col(key).alias("id"), hashed.alias("row")))
+    plan = near_pairs.plan_min_hash(rows.count(), within, recall)
+    found = near_pairs.near_pairs(near_pairs.keyed(rows, "min_hash", plan, seed), "min_hash", within)
+    return _ordered_pairs(found, members, key)
