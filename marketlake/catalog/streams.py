@@ -17,7 +17,7 @@ from marketlake.session import scratch_path
 from marketlake.sources import adapters
 from marketlake.sources.lake import LakeTable, hash_bucket
 from marketlake.sources.tables import driver_table
-from marketlake.streaming import jobs, stateful
+from marketlake.streaming import jobs, late, stateful
 from marketlake.streaming.router import Router, message_stream
 
 book = Book()
@@ -235,3 +235,99 @@ def stream_closing_sessions(spark, sf):
     found = stateful.closing_sessions(_event_stream(spark, sf), 86400, "purchase")
     jobs.append_files(found, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
+
+
+# --- rows in any order, and what is left in the state ------------------------------------
+
+
+def _unsorted_files(spark, sf, name, files=4):
+    """The events in files that follow no order of time: the later half of the month first."""
+    root = scratch_path(spark, name)
+    events = driver_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    half = F.when(F.dayofmonth("ts") >= 15, F.lit(0)).otherwise(F.lit(1))
+    part = half * (files // 2) + F.pmod(F.xxhash64("event_id"), F.lit(files // 2))
+    rows = events.select("event_id", "ts", "user_id", "event_type", "value", part.alias("part"))
+    for n in range(files):
+        rows.filter(F.col("part") == n).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/inbox")
+    return root
+
+
+_TIMED = _EVENTS.replace("TIMESTAMP_NTZ", "TIMESTAMP")
+
+
+def _one_file_a_batch(spark, root):
+    return jobs.file_stream(spark, f"{root}/inbox", _TIMED, maxFilesPerTrigger="1")
+
+
+@book.add(
+    "stream_windows_with_late",
+    _windows(600, 300)
+    + """SELECT start, "end", event_type AS word, count(*) AS n, TRUE AS some_were_late FROM windowed GROUP BY ALL""",
+)
+def stream_windows_with_late(spark, sf):
+    """Windows counted in time plus those of rows set aside as late: the batch answer."""
+    root = _unsorted_files(spark, sf, "stream-late-windows")
+    sink = late.WindowTotals(f"{root}/out", "event_type", "10 minutes", "5 minutes", "1 hour")
+    jobs.run_available(_one_file_a_batch(spark, root), sink, f"{root}/checkpoint")
+    aside = sink.late(spark)
+    some = F.lit(aside.count() > 0).alias("some_were_late")
+    missed = aside.groupBy("start", "end", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    counted = sink.table.read(spark).select("start", "end", "event_type", "n")
+    total = counted.union(missed).groupBy("start", "end", F.col("event_type").alias("word"))
+    return millis(total.agg(F.sum("n").alias("n")), "start", "end").withColumn("some_were_late", some)
+
+
+@book.add(
+    "stream_sessions_with_late",
+    "SELECT user_id, count(*) AS events, TRUE AS some_were_late FROM events GROUP BY 1",
+)
+def stream_sessions_with_late(spark, sf):
+    """Events in closed and open sessions, plus those set aside as late: all of a user's."""
+    root = _unsorted_files(spark, sf, "stream-late-sessions")
+    sink = late.SessionTotals(f"{root}/out", "user_id", "30 minutes", "1 day")
+    jobs.run_available(_one_file_a_batch(spark, root), sink, f"{root}/checkpoint")
+    aside = sink.late(spark)
+    some = F.lit(aside.count() > 0).alias("some_were_late")
+    held = sink.closed.read(spark).select("user_id", "events").union(
+        sink.open.read(spark).select("user_id", "events")
+    )
+    every = held.union(aside.select("user_id", F.lit(1).cast("long")))
+    return every.groupBy("user_id").agg(F.sum("events").alias("events")).withColumn("some_were_late", some)
+
+
+@book.add(
+    "stream_seeded_state",
+    """SELECT event_type AS word, count(*) + 1000 AS n FROM events GROUP BY 1
+UNION ALL SELECT 'never seen', 7""",
+)
+def stream_seeded_state(spark, sf):
+    """Counts on top of an initial state, over a restart, read from the state itself."""
+    root = _unsorted_files(spark, sf, "stream-seeded", files=2)
+    seed = driver_table(spark, sf, "events").select(F.col("event_type").alias("word")).distinct()
+    seed = seed.withColumn("n", F.lit(1000)).union(spark.createDataFrame([("never seen", 7)], "word string, n int"))
+    for _ in range(2):  # the second start finds nothing new and the same state
+        words = _one_file_a_batch(spark, root).select(F.col("event_type").alias("word"))
+        counts = stateful.seeded_counts(words, seed)
+        jobs.run_available(counts, jobs.replace_table(f"{root}/out"), f"{root}/checkpoint", "update")
+    state = stateful.stored_state(spark, f"{root}/checkpoint", "total")
+    return state.select("word", F.col("value.n").alias("n"))
+
+
+@book.add(
+    "stream_open_sessions",
+    """SELECT user_id, start AS first, "end" AS last, events FROM ("""
+    + _ISLANDS.format(
+        gap=86400 * 10**6,
+        close="OR prev_type = 'purchase'",
+        duration=_DURATION,
+        closed="bool_or(event_type = 'purchase')",
+    )
+    + """) WHERE NOT closed AND "end" + 86400000 > (SELECT epoch_ms(max(ts)) - 10000 FROM events)""",
+)
+def stream_open_sessions(spark, sf):
+    """Sessions that are still open when the stream stops, read from the state."""
+    root = scratch_path(spark, "stream-open")
+    found = stateful.closing_sessions(_event_stream(spark, sf), 86400, "purchase")
+    jobs.append_files(found, f"{root}/out", f"{root}/checkpoint")
+    state = stateful.stored_state(spark, f"{root}/checkpoint", "open")
+    return state.select("user_id", "value.first", "value.last", "value.events")

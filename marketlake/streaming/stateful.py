@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -30,6 +32,104 @@ def running_counts(words: DataFrame, seed: DataFrame) -> DataFrame:
     )
 
 
+def seconds_of(interval: str) -> int:
+    """Seconds of "10 minutes" and the like."""
+    count, unit = interval.split()
+    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+class _SeededCount(StatefulProcessor):
+    """A count per key that begins at the key's row of the initial state."""
+
+    def init(self, handle) -> None:
+        self._total = handle.getValueState("total", "n long")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self._total.update((int(initialState["n"].sum()),))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        total = self._total.get()[0] if self._total.exists() else 0
+        total += sum(int(part["n"].sum()) for part in rows)
+        self._total.update((total,))
+        yield pd.DataFrame({"word": [key[0]], "n": [total]})
+
+    def close(self) -> None:
+        pass
+
+
+def _counted_in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = batch.column(0).value_counts()
+        yield pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "n"])
+
+
+def seeded_counts(words: DataFrame, seed: DataFrame) -> DataFrame:
+    """(word, n): running counts whose state holds the seed from the first batch on, also of
+    words that never come (``running_counts`` joins the seed and needs it in every batch).
+
+    Every Arrow batch is counted before the shuffle, so a frequent word sends a row per batch.
+    ``seed``: word, n; it is read when the query first starts."""
+    use_rocksdb(words.sparkSession)
+    counted = words.select("word").filter("word IS NOT NULL").mapInArrow(_counted_in_batches, "word string, n long")
+    return counted.groupBy("word").transformWithStateInPandas(
+        statefulProcessor=_SeededCount(),
+        outputStructType="word string, n long",
+        outputMode="Update",
+        timeMode="None",
+        initialState=seed.groupBy("word").agg(F.sum("n").cast("long").alias("n")).groupBy("word"),
+    )
+
+
+class _LastSeen(StatefulProcessor):
+    """For each key a map of items to the time they were last seen; an item that isn't seen for
+    ``ttl_ms`` is forgotten."""
+
+    def __init__(self, ttl_ms: int):
+        self._ttl = ttl_ms
+
+    def init(self, handle) -> None:
+        self._seen = handle.getMapState("seen", "item string", "ms long", self._ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest: dict[str, int] = {}
+        for part in rows:
+            for item, ms in part.groupby("item")["ms"].max().items():
+                newest[item] = max(newest.get(item, ms), ms)
+        for item, ms in newest.items():
+            if self._seen.containsKey((item,)):
+                ms = max(int(ms), self._seen.getValue((item,))[0])
+            self._seen.updateValue((item,), (int(ms),))
+        items = sorted((k[0], v[0]) for k, v in self._seen.iterator())
+        yield pd.DataFrame(
+            {"user_id": [key[0]], "items": [len(items)], "newest": [max(ms for _, ms in items)]}
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def items_last_seen(events: DataFrame, item: str, ttl: str) -> DataFrame:
+    """(user_id, items, newest): how many different items a user has been seen with, as far as
+    they haven't been forgotten, and the newest time.  What is forgotten depends on the clock, so
+    the query goes on without new rows; run it with a time or a once trigger."""
+    use_rocksdb(events.sparkSession)
+    slim = events.select("user_id", F.col(item).alias("item"), F.unix_millis("ts").alias("ms"))
+    return slim.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=_LastSeen(seconds_of(ttl) * 1000),
+        outputStructType="user_id long, items long, newest long",
+        outputMode="Update",
+        timeMode="ProcessingTime",
+    )
+
+
+def stored_state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
+    """Keys and values of a state variable, as a stopped or running query left them in its
+    checkpoint."""
+    rows = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    values = [c for c in ("value", "user_map_key", "user_map_value", "map_value", "list_element") if c in rows.columns]
+    return rows.select("key.*", *values)
+
+
 class _ClosingSession(StatefulProcessor):
     """One open session per key: first, last (ms) and number of events.
 
@@ -55,25 +155,32 @@ class _ClosingSession(StatefulProcessor):
             self._handle.registerTimer(at)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # one micro-batch of one key
-        events = pd.concat(list(rows)).sort_values(["ms", "event_id"])
-        session = tuple(self._open.get()) if self._open.exists() else None
-        done = []
-        for ms, kind in zip(events["ms"], events["event_type"]):
-            ms = int(ms)
-            if session and ms - session[1] >= self._gap:
-                done.append((*session, False))
-                session = None
-            session = (min(session[0], ms), max(session[1], ms), session[2] + 1) if session else (ms, ms, 1)
-            if kind == self._closing:
-                done.append((*session, True))
-                session = None
-        if session:
-            self._open.update(session)
-            self._set_timer(session[1] + self._gap)
-        else:
+        # one micro-batch of one key: gaps and closing events are marked on whole columns,
+        # and what is looped over are sessions
+        events = pd.concat(list(rows), ignore_index=True).sort_values(["ms", "event_id"])
+        ms = events["ms"].to_numpy(np.int64)
+        closes = (events["event_type"] == self._closing).to_numpy()
+        starts = np.append(True, (np.diff(ms) >= self._gap) | closes[:-1])
+        first = np.flatnonzero(starts)
+        last = np.append(first[1:], len(ms)) - 1
+        found = [
+            (int(ms[a]), int(ms[b]), int(b - a + 1), bool(closes[b])) for a, b in zip(first, last)
+        ]
+        if self._open.exists():
+            begun = tuple(self._open.get())
+            if found[0][0] - begun[1] >= self._gap:
+                found.insert(0, (*begun, False))
+            else:
+                a, b, n, closed = found[0]
+                found[0] = (min(begun[0], a), max(begun[1], b), begun[2] + n, closed)
+        done = found if found[-1][3] else found[:-1]
+        if done is found:
             self._open.clear()
             self._set_timer(None)
+        else:
+            session = found[-1][:3]
+            self._open.update(session)
+            self._set_timer(session[1] + self._gap)
         yield self._frame(key, done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.sessions import sessions
 from marketlake.sources.lake import LakeTable
-from marketlake.streaming import jobs, online, stateful
+from marketlake.streaming import jobs, late, online, stateful
 
 SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double"
 
@@ -148,3 +148,96 @@ def test_running_significance(spark):
     assert test.done and test.p_value < 0.001
     for t, freedom, p in ((2.0, 10, 0.0733880), (12.706205, 1, 0.05), (1.959964, 1e7, 0.05)):
         assert abs(online.t_test_p_value(t, freedom) - p) < 1e-5
+
+
+# --- late rows, initial state, state read back ---------------------------------------------
+
+
+def _at(seconds):
+    return dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
+
+
+def test_windows_keep_late_rows_aside(spark, tmp_path):
+    box, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    sink = late.WindowTotals(str(tmp_path / "out"), "event_type", "10 seconds", "10 seconds", "5 seconds")
+
+    def run(*rows):
+        land(spark, box, rows)
+        jobs.run_available(jobs.file_stream(spark, box, SCHEMA), sink, cp)
+
+    run((1, 1, 1, "a", 0.0), (2, 100, 1, "a", 0.0))
+    run((3, 2, 1, "a", 0.0), (4, 101, 1, "a", 0.0), (5, 93, 1, "a", 0.0), (6, 300, 1, "a", 0.0))
+    start = F.unix_seconds("start").alias("start")
+    counted = {r.start: r.n for r in sink.table.read(spark).select(start, "n").collect()}
+    assert counted == {0: 1, 100: 2, 90: 1, 300: 1}
+    aside = sink.late(spark).select("event_id", start, "batch").collect()
+    assert [tuple(r) for r in aside] == [(3, 0, 1)]
+    # a replayed batch changes nothing
+    before = sink.table.state(spark)
+    sink(spark.createDataFrame([(9, _at(100), 1, "a", 0.0)], SCHEMA), 1)
+    assert sink.table.state(spark) == before and sink.late(spark).count() == 1
+
+
+def test_sessions_keep_late_rows_aside(spark, tmp_path):
+    sink = late.SessionTotals(str(tmp_path), "user_id", "10 seconds", "5 seconds")
+
+    def batch(n, *rows):
+        sink(spark.createDataFrame([(i, _at(s), u, "a", 0.0) for i, s, u in rows], SCHEMA), n)
+
+    batch(0, (1, 0, 1), (2, 4, 1), (3, 30, 1), (4, 0, 2))
+    batch(1, (5, 1, 1), (6, 38, 1), (7, 22, 1), (8, 60, 2))
+    batch(2, (9, 16, 1), (10, 47, 1), (11, 200, 3))
+    start, end = F.unix_seconds("start").alias("start"), F.unix_seconds("end").alias("end")
+    found = sink.closed.read(spark).select("user_id", start, end, "events").collect()
+    # the row at 47 is not late, but the session up to 38 has been closed
+    want = [(1, 0, 4, 2), (1, 22, 38, 3), (1, 47, 47, 1), (2, 0, 0, 1), (2, 60, 60, 1)]
+    assert sorted(map(tuple, found)) == want
+    assert [(r.user_id, r.events) for r in sink.open.read(spark).collect()] == [(3, 1)]
+    assert sorted((r.event_id, r.batch) for r in sink.late(spark).collect()) == [(5, 1), (9, 2)]
+
+
+def test_late_and_counted_rows_add_up(spark, tmp_path):
+    """The given events in eight batches, in no order of time."""
+    events = spark.read.parquet(f"{SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
+    windows = late.WindowTotals(str(tmp_path / "w"), "event_type", "1 hour", "1 hour", "2 days")
+    users = late.SessionTotals(str(tmp_path / "s"), "user_id", "30 minutes", "2 days")
+    for n in range(4):
+        part = events.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == n % 2).filter(
+            (F.dayofmonth("ts") >= 15) == (n // 2 == 0)
+        )
+        windows(part, n)
+        users(part, n)
+    total = events.count()
+    assert windows.table.read(spark).agg(F.sum("n")).first()[0] + windows.late(spark).count() == total
+    held = [users.open.read(spark), users.closed.read(spark)]
+    assert sum(t.agg(F.sum("events")).first()[0] or 0 for t in held) + users.late(spark).count() == total
+    assert windows.late(spark).count() > 0 and users.late(spark).count() > 0
+
+
+def test_seeded_counts_live_in_the_state(spark, tmp_path):
+    box, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    table = LakeTable(str(tmp_path / "out"), ("word",))
+    seed = spark.createDataFrame([("a", 10), ("z", 1), ("z", 2)], "word string, n long")
+    for words in (["a", "b", None], ["a", "a"]):
+        spark.createDataFrame([(w,) for w in words], "word string").write.mode("append").parquet(box)
+        stream = stateful.seeded_counts(jobs.file_stream(spark, box, "word string"), seed)
+        jobs.run_available(stream, jobs.upsert_into(table), cp, "update")
+    assert {r.word: r.n for r in table.read(spark).collect()} == {"a": 13, "b": 1}
+    state = stateful.stored_state(spark, cp, "total").select("word", "value.n").collect()
+    assert {r.word: r.n for r in state} == {"a": 13, "b": 1, "z": 3}
+
+
+def test_items_last_seen_are_a_map(spark, tmp_path):
+    box, cp, out = (str(tmp_path / n) for n in ("in", "cp", "out"))
+    table = LakeTable(out, ("user_id",))
+    for rows in ([(1, 5, 1, "a", 0.0), (2, 9, 1, "b", 0.0), (3, 1, 2, "a", 0.0)], [(4, 7, 1, "a", 0.0), (5, 2, 1, "c", 0.0)]):
+        land(spark, box, rows)
+        stream = stateful.items_last_seen(jobs.file_stream(spark, box, SCHEMA), "event_type", "7 days")
+        # with a clock of its own, such a query never comes to an end by itself
+        jobs.start(stream, jobs.upsert_into(table), cp, "update", once=True).awaitTermination(60)
+    got = {r.user_id: (r.items, r.newest) for r in table.read(spark).collect()}
+    assert got == {1: (3, 9000), 2: (1, 1000)}
+    state = stateful.stored_state(spark, cp, "seen")
+    seen = {(r.user_id, r.user_map_key.item): r.user_map_value["value"].ms if "value" in r.user_map_value.asDict() else r.user_map_value.ms for r in state.collect()}
+    assert seen == {(1, "a"): 7000, (1, "b"): 9000, (1, "c"): 2000, (2, "a"): 1000}
