@@ -1,23 +1,32 @@
 """Best-fit packing of token pieces into sequences, by bin completion.
 
 Piece lengths lie between 1 and the capacity, so a histogram of them is a bounded
-table, however many documents there are.  Bin completion works on that histogram:
-take the largest length left, find the best filling of what remains of its sequence,
-and use the filling as often as the counts allow.  Spark then gives every piece its
-rank among the pieces of its length, and the rank tells sequence and offset.
-
-The search for a filling is branch and bound over lengths in descending order, on a
-stack of (length, times used) that is no deeper than there are lengths.  The
-incumbent is the best-fit filling (always the largest length that still fits); a
+table, however many documents there are.  The plan is made on that histogram; Spark then
+gives every piece its rank among the pieces of its length, and the rank tells sequence and
+offset.
+
+Two best-fit plans are the incumbents: best fit decreasing (each piece, from the largest on,
+into the fullest sequence that takes it), and the greedy completion (around the largest piece
+left, the filling with the least waste, as often as the counts allow).  Unless one of them
+needs no more than ceil(tokens / capacity) sequences, branch and bound over whole plans
+follows: around the largest piece left it enumerates fillings and branches on the undominated
+ones, least waste first.  A filling is dominated if its pieces fit into the places of another
+filling's pieces, or if one of its pieces can give way to a larger one that is left.  A branch
+ends as soon as its sequences have wasted more than a plan with one sequence fewer than the
+incumbent may waste in all.
+
+The enumeration is branch and bound over lengths in descending order, on a
+stack of (length, times used) that is no deeper than there are lengths; a
 branch is dropped when the largest sum that lengths of its kind can reach leaves no
-less waste than the incumbent; a filling without waste ends the search.  Dominated fillings
-are visited too.  A search that visits more than ``nodes`` branches keeps its incumbent: that
-bounds time, not data."""
+less waste than the worst filling kept.  Budgets bound time, not data: ``nodes`` branches for
+a filling, PLAN_NODES for the search over plans; then the incumbent stands."""
 
 from __future__ import annotations
 
 import logging
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Sequence
 from functools import partial
 
@@ -31,6 +40,8 @@ from marketlake.llm.tokens import encoded
 
 CAPACITY = 4096
 NODES = 3000
+PLAN_NODES = 200_000  # branches of all enumerations of the search over plans together
+FILLINGS = 4  # undominated fillings branched on
 _log = logging.getLogger(__name__)
 
 
@@ -88,38 +99,213 @@ def searched_filling(room: int, lengths: Sequence[int], counts: dict[int, int],
     return [fitting[i] for i, uses in best for _ in range(uses)], seen
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES):
-    """(patterns, number of sequences); a pattern is (first sequence, times, lengths).
-
-    Zero lengths take no room and are no part of the plan."""
-    counts = {n: c for n, c in histogram.items() if n > 0}
-    if any(n > capacity for n in counts):
-        raise ValueError("a piece is longer than a sequence")
+Patterns = list[tuple[int, int, list[int]]]  # (first sequence, times, lengths)
+
+
+def _used(patterns: Patterns) -> int:
+    return patterns[-1][0] + patterns[-1][1] if patterns else 0
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Patterns:
+    """Each piece, from the largest on, goes into the fullest sequence that takes it.  Equal
+    sequences are one group: the pieces of a length fill group after group."""
+    groups: dict[int, list[tuple[int, tuple[int, ...]]]] = {}  # room left -> (times, lengths)
+    rooms: list[int] = []  # ascending
+
+    def put(room: int, times: int, lengths: tuple[int, ...]) -> None:
+        if room not in groups:
+            insort(rooms, room)
+            groups[room] = []
+        groups[room].append((times, lengths))
+
+    for n in sorted(counts, reverse=True):
+        left = counts[n]
+        while left:
+            at = bisect_left(rooms, n)
+            room = rooms[at] if at < len(rooms) else capacity
+            if at < len(rooms):
+                times, lengths = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[at]
+            else:
+                times, lengths = -(-left // (capacity // n)), ()
+            per = min(room // n, left)
+            full = min(times, left // per)
+            put(room - per * n, full, (*lengths, *[n] * per))
+            left -= full * per
+            times -= full
+            if times and left and left < per:
+                put(room - left * n, 1, (*lengths, *[n] * left))
+                times, left = times - 1, 0
+            if times and lengths:
+                put(room, times, lengths)
+    patterns, first = [], 0
+    for room in rooms:
+        for times, lengths in groups[room]:
+            patterns.append((first, times, list(lengths)))
+            first += times
+    return patterns
+
+
+def _times(filling: Sequence[int], counts: dict[int, int]) -> int:
+    need = Counter(filling)
+    return min(counts[n] // k for n, k in need.items())
+
+
+def greedy_completion(counts: dict[int, int], capacity: int, nodes: int) -> tuple[Patterns, int]:
+    """The best filling around the largest piece left, again and again; and how many of the
+    searches were cut short."""
+    counts = dict(counts)
     lengths = sorted(counts, reverse=True)
-    patterns, sequences, cut = [], 0, 0
+    patterns, first, cut = [], 0, 0
     while lengths:
         top = lengths[0]
         counts[top] -= 1
         rest, seen = searched_filling(capacity - top, lengths, counts, nodes)
+        counts[top] += 1
         filling = [top, *rest]
         cut += seen > nodes
-        counts[top] += 1
-        need: dict[int, int] = {}
+        times = _times(filling, counts)
         for n in filling:
-            need[n] = need.get(n, 0) + 1
-        times = min(counts[n] // k for n, k in need.items())
-        for n, k in need.items():
-            counts[n] -= times * k
-        if any(counts[n] == 0 for n in need):
+            counts[n] -= times
+        if any(counts[n] == 0 for n in filling):
             lengths = [n for n in lengths if counts[n]]
-        patterns.append((sequences, times, filling))
-        sequences += times
-    above = sequences - -(-sum(n * c for n, c in histogram.items()) // capacity)
+        patterns.append((first, times, filling))
+        first += times
+    return patterns, cut
+
+
+def dominates(places: Sequence[int], pieces: Sequence[int]) -> bool:
+    """Whether the pieces fit into places of these sizes, by best fit (which may miss a way)."""
+    rooms = sorted(places)
+    for n in sorted(pieces, reverse=True):
+        at = bisect_left(rooms, n)
+        if at == len(rooms):
+            return False
+        insort(rooms, rooms.pop(at) - n)
+    return True
+
+
+def undominated(room: int, lengths: Sequence[int], counts: dict[int, int], most_waste: int, nodes: int):
+    """Up to FILLINGS undominated fillings of ``room``, least waste first, none with more than
+    ``most_waste``; and the branches visited.  ``lengths`` descend."""
+    fitting = [n for n in lengths if n <= room and counts[n] > 0]
+    ascending = fitting[::-1]
+    found: list[tuple[int, list[int]]] = []
+    limit, seen = most_waste, 0
+
+    def swaps(filling: list[int], waste: int) -> bool:
+        """A piece can give way to a larger one that is left."""
+        need = Counter(filling)
+        for n in need:
+            at = bisect_right(ascending, n + waste) - 1
+            while at >= 0 and ascending[at] > n:
+                if need[ascending[at]] < counts[ascending[at]]:
+                    return True
+                at -= 1
+        return False
+
+    sums = [0] * (len(fitting) + 1)
+    for i in range(len(fitting) - 1, -1, -1):
+        sums[i] = min(room, sums[i + 1] + fitting[i] * counts[fitting[i]])
+    chosen: list[list[int]] = []
+    left, i = room, 0
+    while True:
+        while i < len(fitting):
+            if fitting[i] > left:
+                i = len(fitting) - bisect_right(ascending, left)
+                continue
+            if left - sums[i] > limit:
+                break
+            uses = min(counts[fitting[i]], left // fitting[i])
+            chosen.append([i, uses])
+            left -= uses * fitting[i]
+            seen += 1
+            i += 1
+        if left <= limit:
+            filling = [fitting[k] for k, uses in chosen for _ in range(uses)]
+            if not swaps(filling, left) and not any(dominates(kept, filling) for _, kept in found):
+                found = [f for f in found if not dominates(filling, f[1])]
+                insort(found, (left, filling))
+                if len(found) > FILLINGS:
+                    found.pop()
+                    limit = found[-1][0]
+        if seen > nodes or not chosen:
+            return [f for _, f in found], seen
+        chosen[-1][1] -= 1
+        i = chosen[-1][0] + 1
+        left += fitting[i - 1]
+        if chosen[-1][1] == 0:
+            chosen.pop()
+
+
+def better_plan(counts: dict[int, int], capacity: int, incumbent: int, nodes: int, budget: int) -> Patterns | None:
+    """A plan with fewer sequences than ``incumbent``, if the search finds one in its budget:
+    depth first over undominated fillings, bounded by the waste of the sequences together."""
+    total = sum(n * c for n, c in counts.items())
+    counts = dict(counts)
+    trail: list[tuple[list[list[int]], int, int, list[int]]] = []  # other fillings, waste, times, own
+    allowed, waste, seen = (incumbent - 1) * capacity - total, 0, 0
+    while True:
+        lengths = sorted((n for n, c in counts.items() if c), reverse=True)
+        if not lengths:
+            patterns, first = [], 0
+            for _, _, times, filling in trail:
+                patterns.append((first, times, filling))
+                first += times
+            return patterns
+        top = lengths[0]
+        counts[top] -= 1
+        fillings, visited = undominated(
+            capacity - top, lengths, counts, allowed - waste, min(nodes, max(0, budget - seen))
+        )
+        counts[top] += 1
+        seen += visited + 1
+        options = [[top, *f] for f in fillings]
+        while True:
+            if options:
+                filling, *others = options
+                used = sum(filling)
+                times = _times(filling, counts)
+                if used < capacity:  # no more sequences with this waste than are allowed
+                    times = min(times, max(1, (allowed - waste) // (capacity - used)))
+                for n in filling:
+                    counts[n] -= times
+                waste += times * (capacity - used)
+                trail.append((others, waste - times * (capacity - used), times, filling))
+                if waste <= allowed:
+                    break
+            if not trail or seen > budget:
+                return None
+            others, waste, times, filling = trail.pop()
+            for n in filling:
+                counts[n] += times
+            options = others
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES):
+    """(patterns, number of sequences); a pattern is (first sequence, times, lengths).
+
+    Zero lengths take no room and are no part of the plan."""
+    counts = {n: c for n, c in histogram.items() if n > 0 and c > 0}
+    if any(n > capacity for n in counts):
+        raise ValueError("a piece is longer than a sequence")
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    best = best_fit_decreasing(counts, capacity)
+    cut = 0
+    if _used(best) > least:
+        greedy, cut = greedy_completion(counts, capacity, nodes)
+        best = min(best, greedy, key=_used)
+    while _used(best) > least:
+        found = better_plan(counts, capacity, _used(best), nodes, PLAN_NODES)
+        if found is None:
+            break
+        best = found
     _log.info(
-        "%d sequences, %d above the least; %d of %d searches cut at %d branches",
-        sequences, above, cut, len(patterns), nodes,
+        "%d sequences, %d above the least; %d greedy searches cut at %d branches",
+        _used(best), _used(best) - least, cut, nodes,
     )
-    return patterns, sequences
+    return best, _used(best)
 
 
 def _slots(patterns) -> dict[str, np.ndarray]:
