@@ -168,6 +168,20 @@ def udtf_words(spark, sf):
     return found.select("pair.*", "word", "place")
 
 
+@book.add(
+    "udtf_sessions",
+    f"""SELECT event_id, user_id, CAST(coalesce(sum(CASE WHEN gap >= 1800 THEN 1 ELSE 0 END) OVER w, 0) AS BIGINT) AS session,
+  {sql6("gap")} AS gap FROM (
+  SELECT event_id, user_id, ts, epoch_us(ts) / 1e6 - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) / 1e6 AS gap FROM events)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)""",
+)
+def udtf_sessions(spark, sf):
+    """A table function over a table: its columns, and two more."""
+    _events(spark, sf).select("event_id", "user_id", "ts").createOrReplaceTempView("udtf_events")
+    found = udfs.mark_sessions(spark, "udtf_events", "user_id", "ts", 1800)
+    return rounded(found, "gap").drop("ts")
+
+
 # --- files ---------------------------------------------------------------------------------
 
 _FLAT = "event_id BIGINT, ts_text STRING, user_id BIGINT, event_type STRING, value DOUBLE"

@@ -114,6 +114,22 @@ def column_cosines_sampled_error(spark, sf):
     return similarity.mean_error(exact, similarity.sampled_column_cosines(vectors, "embedding"))
 
 
+@book.add(
+    "column_cosines_sampled",
+    f"""WITH cells AS MATERIALIZED ({_UNNESTED}),
+norms AS (SELECT i, sqrt(sum(x * x)) AS norm FROM cells GROUP BY i),
+kept AS MATERIALIZED (
+  SELECT vec_id, i, x / least(2, norm) AS y FROM cells JOIN norms USING (i)
+  WHERE CAST('0x' || substr(md5(vec_id || ':' || i), 1, 8) AS BIGINT) / 4294967296.0 < least(1, 2 / norm)),
+pairs AS (SELECT a.i AS i, b.i AS j, sum(a.y * b.y) AS cosine FROM kept a JOIN kept b USING (vec_id) WHERE a.i < b.i GROUP BY ALL)
+SELECT i, j, {sql6("cosine")} AS cosine FROM pairs""",
+)
+def column_cosines_sampled(spark, sf):
+    """Estimates from the entries that the hash of row and column keeps, about two thirds."""
+    found = similarity.sampled_column_cosines(_vectors(spark, sf), "embedding", key="vec_id", gamma=4.0)
+    return rounded(found, "cosine")
+
+
 _DISTANCES = """SELECT a.id AS "left", b.id AS "right", sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) ** 2))) AS distance
 FROM points a JOIN points b ON a.id < b.id"""
 

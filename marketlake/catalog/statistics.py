@@ -331,3 +331,38 @@ def sample_random(spark, sf):
 @book.add("sample_stratified")
 def sample_stratified(spark, sf):
     return stats.stratified_sample(_events(spark, sf), "event_type", {"purchase": 0.5, "view": 0.05}, 7)
+
+
+@book.add(
+    "chi_square_significance",
+    f"""WITH cells AS (SELECT l_returnflag AS x, l_linenumber AS y, count(*) AS o FROM lineitem GROUP BY ALL),
+sums AS (SELECT *, sum(o) OVER (PARTITION BY x) AS r, sum(o) OVER (PARTITION BY y) AS c, sum(o) OVER () AS n FROM cells),
+tested AS (SELECT max(n) * (sum(o * o / (r * c)) - 1) AS statistic, (count(DISTINCT x) - 1) * (count(DISTINCT y) - 1) AS freedom FROM sums)
+SELECT {sql6("statistic")} AS statistic, freedom,
+  {sql6("exp(-statistic / 2) * list_sum([pow(statistic / 2, j) / gamma(j + 1) FOR j IN range(CAST(freedom / 2 AS BIGINT))])")} AS p_value
+FROM tested""",
+)
+def chi_square_significance(spark, sf):
+    """The oracle adds up the closed form that even degrees of freedom have."""
+    tested = stats.chi_square(_lines(spark, sf), "l_returnflag", "l_linenumber")
+    return rounded(stats.with_chi_square_chance(tested), "statistic", "p_value")
+
+
+_PHI = """CASE WHEN z = 0 THEN 0.5 ELSE 0.5 + sign(z) * list_sum([
+  exp((2 * k + 1) * ln(abs(z)) - z * z / 2 - 0.5 * ln(2 * pi()) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi())) FOR k IN range(160)]) END"""
+
+
+@book.add(
+    "kolmogorov_smirnov_chance",
+    f"""WITH counted AS (SELECT value AS v, count(*) AS n FROM events GROUP BY 1),
+placed AS (SELECT (v - 50) / 50 AS z, n, sum(n) OVER (ORDER BY v) AS upto, sum(n) OVER () AS total FROM counted),
+theory AS (SELECT *, {_PHI} AS phi FROM placed),
+found AS (SELECT max(greatest(upto / total - phi, phi - (upto - n) / total)) AS distance, max(total) AS n FROM theory),
+scaled AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * distance AS l FROM found)
+SELECT {sql6("distance")} AS distance, CAST(n AS BIGINT) AS n,
+  {sql6("greatest(0, least(1, list_sum([CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * j * j * l * l) FOR j IN range(1, 101)])))")} AS p_value
+FROM scaled""",
+)
+def kolmogorov_smirnov_chance(spark, sf):
+    """Distance of the values from a normal distribution, and the chance of such a distance."""
+    return rounded(stats.ks_normal(_events(spark, sf), "value", 50.0, 50.0), "distance", "p_value")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators.distributions import chi_square_tail, kolmogorov_tail, normal_cdf
 from marketlake.operators.ordered import counted_values, number_rows, running_totals
 
 
@@ -260,6 +261,20 @@ def ks_statistic(df: DataFrame, column: str, cdf: Callable[[Column], Column]) ->
     return rows.agg(F.max(F.greatest(above, below)).alias("distance"))
 
 
+def with_chi_square_chance(tested: DataFrame) -> DataFrame:
+    """Add ``p_value`` to (statistic, freedom)."""
+    return tested.withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("freedom")))
+
+
+def ks_normal(df: DataFrame, column: str, mean: float, deviation: float) -> DataFrame:
+    """Distance from a normal distribution, number of values and ``p_value``."""
+    n = df.agg(F.count(column)).first()[0]
+    found = ks_statistic(df, column, lambda v: normal_cdf((v - mean) / deviation))
+    return found.withColumn("n", F.lit(n).cast("long")).withColumn(
+        "p_value", kolmogorov_tail(F.col("distance"), F.col("n"))
+    )
+
+
 def kernel_density(df: DataFrame, column: str, points: Sequence[float], bandwidth: float) -> DataFrame:
     """Gaussian kernel density at a few points: one sum per point, in one pass."""
     scale = 1 / (bandwidth * math.sqrt(2 * math.pi))
