@@ -1,7 +1,11 @@
 """WARC archives of pages: a deterministic sharded writer and its reader.
 
 Pages are range-sorted by page_id; each task writes its range as WARC 1.1 files, one gzip
-member per record, and starts a new file when the compressed size passes a limit.  Record
+member per record, and starts a new file when the compressed size passes a limit.  A file
+begins with a warcinfo record.  The block of a response is an HTTP message: a status line and
+headers made anew, and the html as its body; the payload digest is that of the html, the block
+digest that of the whole block.  A URL stands in its header percent-encoded where a header
+can't hold it as it is, and as written in WARC-Source-URL then.  Record
 ids, lengths and digests are worked out anew from the payload; nothing depends on the
 clock, so a repeated task writes the same bytes.  Files appear under their final names
 when complete; the manifest lists those that count, and readers go by the manifest.
@@ -22,7 +26,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,15 +42,45 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6f1f3c1a-5d53-4c0e-9a55-0d6f3f6f2b11")
 _READ = 1 << 20
+_IN_URLS = ":/?#[]@!$&()*+,;=%~"
 
 
 def _record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}/{digest}')}>"
 
 
+def _header_block(lines: list[str], body: bytes) -> bytes:
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def _info(name: str) -> bytes:
+    body = "software: marketlake\r\nformat: WARC File Format 1.1\r\n".encode()
+    return _header_block(
+        [
+            "WARC/1.1",
+            "WARC-Type: warcinfo",
+            f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_SPACE, name)}>",
+            f"WARC-Date: {DATE}",
+            f"WARC-Filename: {name}",
+            "Content-Type: application/warc-fields",
+            f"Content-Length: {len(body)}",
+        ],
+        body,
+    )
+
+
+def _message(payload: bytes) -> bytes:
+    head = (
+        "HTTP/1.1 200 OK\r\n"
+        "Content-Type: text/html; charset=utf-8\r\n"
+        f"Content-Length: {len(payload)}\r\n\r\n"
+    )
+    return head.encode() + payload
+
+
 def _record(page_id, url, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     kind = "response" if refers_to is None else "revisit"
-    body = payload if refers_to is None else b""
+    body = _message(payload) if refers_to is None else b""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
@@ -54,10 +88,13 @@ def _record(page_id, url, payload: bytes, digest: str, refers_to: int | None) ->
         f"WARC-Date: {DATE}",
     ]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}")
+        target = quote(url, safe=_IN_URLS)
+        lines.append(f"WARC-Target-URI: {target}")
+        if target != url:
+            lines.append(f"WARC-Source-URL: {quote(url, safe='')}")
     lines.append(f"WARC-Payload-Digest: sha256:{digest}")
     if refers_to is None:
-        lines.append(f"WARC-Block-Digest: sha256:{digest}")
+        lines.append(f"WARC-Block-Digest: sha256:{hashlib.sha256(body).hexdigest()}")
     else:
         lines.append(f"WARC-Profile: {PROFILE}")
         lines.append(f"WARC-Refers-To: {_record_id(refers_to, digest)}")
@@ -66,10 +103,10 @@ def _record(page_id, url, payload: bytes, digest: str, refers_to: int | None) ->
         lines.append(f"WARC-Page-ID: {page_id}")
     lines += [
         f"WARC-Payload-Length: {len(payload)}",
-        "Content-Type: text/html; charset=utf-8",
+        "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(body)}",
     ]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    return _header_block(lines, body)
 
 
 def _member(record: bytes) -> bytes:
@@ -140,6 +177,7 @@ def write_warc(
                 if out is None:
                     name = f"part-{task:06d}-{len(files):04d}.warc.gz"
                     out, records = CommittedFile(folder, name), 0
+                    out.write(_member(_info(name)))
                 out.write(_member(_record(page_id, url, payload, digest, known.get(digest))))
                 records += 1
                 if out.tell() >= roll_bytes:
@@ -184,11 +222,22 @@ def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("WARC file ends inside a record")
 
 
-def _digest_checked(headers: dict[str, str], body: bytes) -> str:
-    named = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-    if headers["WARC-Type"] == "response" and hashlib.sha256(body).hexdigest() != named:
-        raise ValueError(f"payload of {headers['WARC-Record-ID']} doesn't match its digest")
-    return named
+def _payload_of(headers: dict[str, str], body: bytes) -> bytes | None:
+    """The html in a response's message, its digests checked; None for a revisit."""
+    if headers["WARC-Type"] != "response":
+        return None
+    head, _, payload = body.partition(b"\r\n\r\n")
+    for name, data in (("WARC-Payload-Digest", payload), ("WARC-Block-Digest", body)):
+        if headers[name] != f"sha256:{hashlib.sha256(data).hexdigest()}":
+            raise ValueError(f"{name} of {headers['WARC-Record-ID']} doesn't match")
+    if not head.startswith(b"HTTP/1.1 200 "):
+        raise ValueError(f"no HTTP message in {headers['WARC-Record-ID']}")
+    return payload
+
+
+def _url_of(headers: dict[str, str]) -> str | None:
+    written = headers.get("WARC-Source-URL")
+    return headers.get("WARC-Target-URI") if written is None else unquote(written)
 
 
 def read_warc(folder: str, manifest: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -220,16 +269,19 @@ def read_warc(folder: str, manifest: DataFrame, with_payload: bool = False) -> D
                 rows, held = [], 0
                 with fs.open_input_stream(f"{inner}/{name}", compression=None) as source:
                     for headers, body in read_records(source):
+                        if headers["WARC-Type"] == "warcinfo":
+                            continue
+                        payload = _payload_of(headers, body)
                         row = [
                             number(headers.get("WARC-Page-ID")),
-                            headers.get("WARC-Target-URI"),
+                            _url_of(headers),
                             int(headers["WARC-Payload-Length"]),
-                            _digest_checked(headers, body),
+                            headers["WARC-Payload-Digest"].removeprefix("sha256:"),
                             headers["WARC-Type"],
                             number(headers.get("WARC-Refers-To-Page")),
                         ]
                         if with_payload:
-                            row.append(body if headers["WARC-Type"] == "response" else None)
+                            row.append(payload)
                             held += len(body)
                         rows.append(row)
                         if len(rows) == 10_000 or held > 16 << 20:

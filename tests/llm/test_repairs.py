@@ -6,7 +6,7 @@ import pytest
 
 pytest.importorskip("marketlake.llm")
 
-from marketlake.llm import html_text, line_dup, near_dup  # noqa: E402
+from marketlake.llm import html_text, line_dup, near_dup, warc  # noqa: E402
 
 A = " ".join(f"a{i}" for i in range(60))
 B = " ".join(f"b{i}" for i in range(60))
@@ -126,3 +126,32 @@ def test_long_odd_markup_is_read_in_one_pass():
     page = "<p " + "a='x\" " * 200_000
     assert html_text.Page(page).runs == []
     assert len(html_text.Page("<p " * 100_000 + "x=" * 100_000).runs) <= 1
+
+
+# --- archives --------------------------------------------------------------------------
+
+
+def test_responses_hold_http_messages(spark, tmp_path):
+    """Read as other tools do: a warcinfo record, then HTTP messages, URLs as written."""
+    urls = ["http://a/\u00e9 x", "http://b/\r\nInjected: 1", "http://c/%41?q=1#f", None, "", "http://d/'\"<>"]
+    rows = [(i, url, f"<p>{i}</p>\r\n\r\n<!-- -->") for i, url in enumerate(urls)]
+    rows.append((9, "http://e/", None))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder, manifest = warc.write_warc(frame, str(tmp_path / "w"), roll_bytes=600)
+    found = {r.page_id: r for r in warc.read_warc(folder, manifest, with_payload=True).collect()}
+    assert {i: (r.url, bytes(r.payload).decode()) for i, r in found.items()} == {
+        i: (url, html or "") for i, url, html in rows
+    }
+    files = [r.file for r in manifest.collect()]
+    assert len(files) > 1
+    for file in files:
+        with open(tmp_path / "w" / file, "rb") as source:
+            (info, body), *records = warc.read_records(source)
+        assert info["WARC-Type"] == "warcinfo" and info["WARC-Filename"] == file and b"software" in body
+        for headers, message in records:
+            assert headers["Content-Type"] == "application/http; msgtype=response"
+            status, *fields = message.partition(b"\r\n\r\n")[0].decode().split("\r\n")
+            assert status == "HTTP/1.1 200 OK"
+            named = dict(f.split(": ", 1) for f in fields)
+            assert int(named["Content-Length"]) == int(headers["WARC-Payload-Length"])
+            assert "\n" not in headers.get("WARC-Target-URI", "")
