@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlake.catalog.entry import Book, rounded, sql6
-from marketlake.operators import stats
+from marketlake.operators import scaling, stats, wide
 from marketlake.sources.tables import driver_table
 
 book = Book()
@@ -366,3 +366,44 @@ FROM scaled""",
 def kolmogorov_smirnov_chance(spark, sf):
     """Distance of the values from a normal distribution, and the chance of such a distance."""
     return rounded(stats.ks_normal(_events(spark, sf), "value", 50.0, 50.0), "distance", "p_value")
+
+
+_SHARES = [0.1, 0.25, 0.5, 0.75, 0.9]
+
+
+@book.add(
+    "quantiles_per_group",
+    f"""SELECT event_type, share, count(value) AS n, TRUE AS within_bound
+FROM events, (SELECT unnest({_SHARES}) AS share) GROUP BY ALL""",
+)
+def quantiles_per_group(spark, sf):
+    """Sketched quantiles per event type, and whether their exact ranks are within the bound."""
+    events, accuracy = _events(spark, sf), 200
+    sketched = scaling.group_quantiles(events, ["event_type"], "value", _SHARES, accuracy)
+    shares = F.array(*[F.lit(s) for s in _SHARES])
+    found = sketched.select("event_type", "n", F.inline(F.arrays_zip(shares.alias("share"), F.col("borders").alias("border"))))
+    value, border = F.col("value"), F.col("border")
+    ranked = events.join(found, "event_type").groupBy("event_type", "share", "n").agg(
+        F.count_if(value < border).alias("below"), F.count_if(value <= border).alias("upto")
+    )
+    slack = F.col("n") / accuracy + 1
+    wanted = F.col("share") * F.col("n")
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return ranked.select("event_type", "share", "n", within.alias("within_bound"))
+
+
+@book.add(
+    "singular_energy_wide",
+    f"""SELECT {sql6("sum(x * x)")} AS energy, {sql6("sum(v)")} AS variance FROM (
+  SELECT i, x, 0 AS v FROM (SELECT unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+  UNION ALL SELECT i, 0, var_samp(x) FROM (
+    SELECT unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY i)""",
+)
+def singular_energy_wide(spark, sf):
+    """All singular values, and all variances of the principal components, found by blocks of
+    directions; their sums are the table's energy and variance."""
+    vectors = driver_table(spark, sf, "embeddings")
+    energy = wide.decompose(vectors, "embedding", 64)
+    spread = wide.decompose(vectors, "embedding", 64, centred=True)
+    rows = [(float((energy.values**2).sum()), float(spread.variances().sum()))]
+    return rounded(spark.createDataFrame(rows, "energy double, variance double"), "energy", "variance")

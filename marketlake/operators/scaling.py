@@ -90,6 +90,35 @@ def quantile_bins(df: DataFrame, column: str, bins: int) -> Column:
     return bucketed(column, [float("-inf"), *inner, float("inf")])
 
 
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float], accuracy: int = 1_000
+) -> DataFrame:
+    """keys, ``n`` and ``borders``: quantiles per group from a sketch.
+
+    The sketches of a group's rows are made where the rows are and merged, so no row is sorted
+    or sent, and a hot group costs a sketch per task.  A border's rank is off by n / accuracy at
+    most."""
+    return df.groupBy(*keys).agg(
+        F.count(column).alias("n"),
+        F.percentile_approx(column, [float(s) for s in shares], accuracy).alias("borders"),
+    )
+
+
+def group_quantile_bins(
+    df: DataFrame, keys: Sequence[str], column: str, bins: int, output: str, accuracy: int = 1_000
+) -> DataFrame:
+    """Add the row's quantile bin (from 0) within its group; null for a null value."""
+    borders = group_quantiles(df, keys, column, [k / bins for k in range(1, bins)], accuracy)
+    named = borders.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "borders")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    below = F.size(F.filter("borders", lambda b: b < F.col(column)))
+    return (
+        df.join(named, same, "left")
+        .withColumn(output, F.when(F.col(column).isNotNull(), below))
+        .drop("borders", *[f"_key_{k}" for k in keys])
+    )
+
+
 def imputed(df: DataFrame, columns: Sequence[str], strategy: str = "mean") -> DataFrame:
     """Nulls become the column's mean, median or most frequent value."""
     if strategy == "mean":
