@@ -17,7 +17,7 @@ from marketlake.session import scratch_path
 from marketlake.sources import adapters
 from marketlake.sources.lake import LakeTable, hash_bucket
 from marketlake.sources.tables import driver_table
-from marketlake.streaming import jobs, late, stateful
+from marketlake.streaming import jobs, late, online, stateful
 from marketlake.streaming.router import Router, message_stream
 
 book = Book()
@@ -331,3 +331,107 @@ def stream_open_sessions(spark, sf):
     jobs.append_files(found, f"{root}/out", f"{root}/checkpoint")
     state = stateful.stored_state(spark, f"{root}/checkpoint", "open")
     return state.select("user_id", "value.first", "value.last", "value.events")
+
+
+# --- models and a test that learn from the stream -----------------------------------------
+
+
+def _learnt(spark, name, stream, model_of):
+    """Run a model over the stream and read its state back from where it keeps it."""
+    root = scratch_path(spark, name)
+    model = model_of(f"{root}/state")
+    jobs.run_available(stream, model, f"{root}/checkpoint")
+    return model.kept.after(spark, model.kept.last)
+
+
+@book.add(
+    "stream_online_kmeans",
+    f"""SELECT CASE WHEN value < 55 THEN 0 ELSE 1 END AS cluster, count(*) AS n, {sql6("avg(value)")} AS centre
+FROM events GROUP BY 1""",
+)
+def stream_online_kmeans(spark, sf):
+    """Centres that begin at 10 and 100 and move to the mean of the points nearest to them."""
+    points = _event_stream(spark, sf).select(F.array("value").alias("features"))
+    state = _learnt(
+        spark, "stream-kmeans", points, lambda path: online.OnlineKMeans([[10.0], [100.0]], path=path)
+    )
+    rows = [(k, int(n), float(c[0])) for k, (n, c) in enumerate(zip(state["weights"], state["centres"]))]
+    return rounded(spark.createDataFrame(rows, "cluster int, n long, centre double"), "centre")
+
+
+_STEPS, _RATE = 20, 0.5
+
+
+@book.add(
+    "stream_online_linear",
+    f"""WITH RECURSIVE rows AS (SELECT value / 100 AS x, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 10 AS y FROM events),
+sums AS (SELECT avg(x) AS x, avg(x * x) AS xx, avg(y) AS y, avg(x * y) AS xy FROM rows),
+steps AS (
+  SELECT 1 AS turn, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b
+  UNION ALL
+  SELECT turn + 1, a - {_RATE} / sqrt(turn) * (a + b * x - y), b - {_RATE} / sqrt(turn) * (a * x + b * xx - xy)
+  FROM steps, sums WHERE turn <= {_STEPS})
+SELECT {sql6("a")} AS intercept, {sql6("b")} AS slope FROM steps WHERE turn = {_STEPS} + 1""",
+)
+def stream_online_linear(spark, sf):
+    """Weights after the gradient steps of the one batch that the events come in."""
+    driver_table(spark, sf, "events")
+    stream = jobs.file_stream(spark, sf, _EVENTS + ", props STRING", pathGlobFilter="events.parquet")
+    number = F.get_json_object("props", "$.k").cast("double") / 10
+    rows = stream.select(
+        F.array(F.lit(1.0), F.col("value") / 100).alias("features"), number.alias("label")
+    )
+    state = _learnt(
+        spark, "stream-linear", rows,
+        lambda path: online.OnlineLinear(2, "linear", step=_RATE, rounds=_STEPS, path=path),
+    )
+    found = spark.createDataFrame([tuple(state["weights"])], "intercept double, slope double")
+    return rounded(found, "intercept", "slope")
+
+
+@book.add(
+    "stream_online_logistic",
+    "SELECT TRUE AS steps_down, TRUE AS sign_is_right",
+)
+def stream_online_logistic(spark, sf):
+    """Events above a value against the others: the loss falls below that of a coin, and the
+    weight of the value is positive."""
+    labelled = _event_stream(spark, sf).select(
+        F.array(F.lit(1.0), F.col("value") / 100).alias("features"),
+        (F.col("value") > 40).cast("double").alias("label"),
+    )
+    state = _learnt(
+        spark, "stream-logistic", labelled,
+        lambda path: online.OnlineLinear(2, "logistic", step=1.0, rounds=15, path=path),
+    )
+    a, b = state["weights"]
+    events = driver_table(spark, sf, "events")
+    chance = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("value") / 100)))
+    loss = F.avg(-F.when(F.col("value") > 40, F.log(chance)).otherwise(F.log(1 - chance)))
+    return events.agg((loss < 0.6931).alias("steps_down"), F.lit(b > 0).alias("sign_is_right"))
+
+
+@book.add(
+    "stream_running_test",
+    f"""WITH arms AS (SELECT user_id % 2 AS arm, count(value) AS n, avg(value) AS mean, var_samp(value) AS var FROM events GROUP BY 1),
+sides AS (SELECT a.n AS n0, b.n AS n1, a.mean AS m0, b.mean AS m1, (a.mean - b.mean) / sqrt(a.var / a.n + b.var / b.n) AS t
+  FROM arms a JOIN arms b ON a.arm = 0 AND b.arm = 1)
+SELECT n0, n1, {sql6("m0")} AS mean0, {sql6("m1")} AS mean1, abs(t) > 1.9602 AS significant FROM sides""",
+)
+def stream_running_test(spark, sf):
+    """Even against odd users: what the test holds of both arms, and its verdict."""
+    rows = _event_stream(spark, sf).select((F.col("user_id") % 2).alias("arm"), "value")
+    held = {}
+
+    def test_at(path):
+        held["test"] = online.RunningTest(path=path)
+        return held["test"]
+
+    state = _learnt(spark, "stream-test", rows, test_at)
+    arms = state["batches"][-1]
+    (n0, t0, _), (n1, t1, _) = arms["0"], arms["1"]
+    found = [(int(n0), int(n1), t0 / n0, t1 / n1, bool(held["test"].done))]
+    return rounded(
+        spark.createDataFrame(found, "n0 long, n1 long, mean0 double, mean1 double, significant boolean"),
+        "mean0", "mean1",
+    )

@@ -20,24 +20,31 @@ from marketlake.sources.lake import path_exists
 
 class _Kept:
     """State as one JSON row per batch; a replayed batch starts from the state
-    before it and overwrites its own row."""
+    before it and overwrites its own row.  Only the last two are kept and one is read."""
 
     def __init__(self, path: str | None):
         self.path = path
         self.last = -1
 
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.path}/batch={batch_id}"
+
     def save(self, spark: SparkSession, batch_id: int, state: dict) -> None:
         if self.path:
             rows = spark.createDataFrame([(json.dumps(state),)], "state string")
-            rows.write.mode("overwrite").json(f"{self.path}/batch={batch_id}")
+            rows.write.mode("overwrite").json(self._folder(batch_id))
+            old = spark._jvm.org.apache.hadoop.fs.Path(self._folder(batch_id - 2))
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
         self.last = batch_id
 
     def before(self, spark: SparkSession, batch_id: int) -> dict | None:
-        if not self.path or not path_exists(spark, self.path):
+        """The state after the batch before this one (batches are numbered without gaps)."""
+        return self.after(spark, batch_id - 1)
+
+    def after(self, spark: SparkSession, batch_id: int) -> dict | None:
+        if not self.path or not path_exists(spark, self._folder(batch_id)):
             return None
-        saved = spark.read.schema("state string, batch long").json(self.path)
-        row = saved.filter(F.col("batch") < batch_id).orderBy(F.desc("batch")).first()
-        return None if row is None else json.loads(row["state"])
+        return json.loads(spark.read.schema("state string").json(self._folder(batch_id)).first()["state"])
 
 
 def _partial_sums(batch: DataFrame, column: str, label: str | None, compute: Callable) -> list:
@@ -120,25 +127,47 @@ class OnlineLinear:
         state = self.kept.before(spark, batch_id)
         if state:
             self.weights = np.array(state["weights"])
-        batch = batch.select(self.column, self.label).persist()
-        try:
-            for turn in range(1, self.rounds + 1):
-                weights, logistic = self.weights, self.kind == "logistic"
-
-                def gradient(matrix, labels):
-                    score = matrix @ weights
-                    guess = 1 / (1 + np.exp(-score)) if logistic else score
-                    return {0: (float(len(labels)), matrix.T @ (guess - labels))}
-
-                found = _partial_sums(batch, self.column, self.label, gradient)
-                if not found:
-                    break
-                _, n, total = found[0]
-                self.weights = weights - self.step / math.sqrt(turn) * np.array(total) / n
-        finally:
+        batch = batch.select(self.column, self.label)
+        if self.kind == "linear":
+            self._linear(batch)
+        else:
+            self._logistic(batch.persist())
             batch.unpersist()
         self.kept.save(spark, batch_id, {"weights": self.weights.tolist()})
 
+    def _step(self, turn: int, gradient: np.ndarray) -> None:
+        self.weights = self.weights - self.step / math.sqrt(turn) * gradient
+
+    def _linear(self, batch: DataFrame) -> None:
+        """One pass: X'X and X'y hold all that the gradients need (width x width numbers)."""
+        width = len(self.weights)
+
+        def products(matrix, labels):
+            both = np.column_stack([matrix, labels])
+            return {0: (float(len(labels)), (matrix.T @ both).ravel())}
+
+        found = _partial_sums(batch, self.column, self.label, products)
+        if not found:
+            return
+        _, n, total = found[0]
+        total = np.array(total).reshape(width, width + 1) / n
+        for turn in range(1, self.rounds + 1):
+            self._step(turn, total[:, :-1] @ self.weights - total[:, -1])
+
+    def _logistic(self, batch: DataFrame) -> None:
+        for turn in range(1, self.rounds + 1):
+            weights = self.weights
+
+            def gradient(matrix, labels):
+                guess = 1 / (1 + np.exp(-(matrix @ weights)))
+                return {0: (float(len(labels)), matrix.T @ (guess - labels))}
+
+            found = _partial_sums(batch, self.column, self.label, gradient)
+            if not found:
+                break
+            _, n, total = found[0]
+            self._step(turn, np.array(total) / n)
+
 
 # --- significance ---------------------------------------------------------------------------
 
