@@ -1,10 +1,12 @@
 """Token-ID files: patched frame-of-reference blocks in shard files.
 
-A shard holds the ids of consecutive documents.  Ids are cut into blocks of 1,024;
+A shard holds the ids of consecutive documents; a task starts a new one when it has written
+ROLL_TOKENS ids, at a document's end.  Ids are cut into blocks of 1,024;
 a block keeps its minimum, packs the differences at the width that fits 98 % of
 them, and lists position and value of the others.  The shard's index has block
 starts, minima, widths and exception counts, and the documents' ids and lengths, so
-a reader can go to any block or document.  Little-endian throughout:
+a reader can go to any block or document; it reads the index, and then the blocks some at a
+time.  Little-endian throughout:
 
     magic | blocks (packed 64-bit words, exception positions u16, values u32) |
     index arrays | index length u64 | magic
@@ -34,6 +36,7 @@ FITS = 0.98
 MAGIC = b"PFORIDS1"
 _LANE = 64  # values per group of packed words: a group is as many words as the width
 _FLUSH = 512 * BLOCK
+ROLL_TOKENS = 1 << 26
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -147,27 +150,43 @@ class ShardWriter:
         return sum(map(len, self.docs)), self.tokens, size
 
 
-def read_shard(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(document, its ids) in file order.  Blocks are decoded some at a time."""
-    end = len(data) - len(MAGIC)
-    if data[: len(MAGIC)] != MAGIC or data[end:] != MAGIC:
+def read_shard(source) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(document, its ids) in file order, from a seekable file or the bytes of one.  The index
+    and _FLUSH ids are held at a time, and the document that is read."""
+    if isinstance(source, bytes):
+        source = io.BytesIO(source)
+    tail = len(MAGIC) + 8
+
+    def part(start: int, n: int) -> bytes:
+        source.seek(start)
+        return source.read(n)
+
+    source.seek(0, 2)
+    size = source.tell()
+    ends = part(max(0, size - tail), tail)
+    if size < tail or part(0, len(MAGIC)) != MAGIC or ends[8:] != MAGIC:
         raise ValueError("not a complete token file")
-    length = int.from_bytes(data[end - 8 : end], "little")
-    body = io.BytesIO(data[end - 8 - length : end - 8])
+    length = int.from_bytes(ends[:8], "little")
+    blocks_end = size - tail - length
+    body = io.BytesIO(part(blocks_end, length))
     total, starts, low, widths, counts, docs, named, lengths = (np.load(body) for _ in range(8))
-    raw = np.frombuffer(data, np.uint8)
+    bounds = np.append(starts, blocks_end)
+    step = _FLUSH // BLOCK
 
     def decoded() -> Iterator[np.ndarray]:
-        for a in range(0, len(starts), _FLUSH // BLOCK):
-            some = slice(a, a + _FLUSH // BLOCK)
+        for a in range(0, len(starts), step):
+            some = slice(a, a + step)
+            begin = int(bounds[a])
+            data = part(begin, int(bounds[min(a + step, len(starts))]) - begin)
+            raw = np.frombuffer(data, np.uint8)
             out = np.empty((len(starts[some]), BLOCK), np.uint32)
             for width in np.unique(widths[some]):
                 rows = np.flatnonzero(widths[some] == width)
-                size = BLOCK * int(width) // 8
-                at = starts[some][rows]
-                part = _unpack(raw[at[:, None] + np.arange(size)], int(width))
-                out[rows] = part.astype(np.uint32) + low[some][rows][:, None]
-                for row, start in zip(rows, at + size):
+                packed = BLOCK * int(width) // 8
+                at = starts[some][rows] - begin
+                values = _unpack(raw[at[:, None] + np.arange(packed)], int(width))
+                out[rows] = values.astype(np.uint32) + low[some][rows][:, None]
+                for row, start in zip(rows, at + packed):
                     n = int(counts[some][row])
                     places = np.frombuffer(data, "<u2", n, start)
                     out[row, places] = np.frombuffer(data, "<u4", n, start + 2 * n)
@@ -189,39 +208,53 @@ def read_shard(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    folder: str | None = None,
+    roll_tokens: int = ROLL_TOKENS,
 ) -> tuple[str, DataFrame]:
     """Tokenise documents (doc_id, text) and write shards in ascending doc_id order.
 
-    Documents are range-partitioned; each task tokenises its range and writes one
-    shard under a temporary name first.  Returns the folder and its manifest: shard,
-    file, docs, tokens, bytes, first_token (the ids in all shards before it)."""
+    Documents are range-partitioned; each task tokenises its range and writes its shards
+    under temporary names first.  Returns the folder and its manifest: shard (task and number
+    in it), file, docs, tokens, bytes, first_token (the ids in all shards before it)."""
     folder = folder or scratch_path(docs.sparkSession, "token-files")
 
     def write(batches):
-        writer, name = None, f"shard-{TaskContext.get().partitionId():07d}.pfor"
+        task = TaskContext.get().partitionId()
+        writer, name, written = None, "", 0
+
+        def closed():
+            n, tokens, size = writer.close()
+            columns = {"shard": (task << 32) + written, "file": name, "docs": n, "tokens": tokens, "bytes": size}
+            return pa.RecordBatch.from_pydict({k: [v] for k, v in columns.items()})
+
         for batch in batches:
             doc_ids = batch.column(0)
             for first, ids, offsets in encoded(batch.column(1), tokenizer):
-                writer = writer or ShardWriter(folder, name)
-                lengths = np.diff(offsets)
-                ends = offsets[1:]
-                writer.add(
-                    doc_ids.slice(first, len(lengths)),
-                    np.insert(ids, ends, end_id),
-                    lengths + 1,
-                )
+                ids = np.insert(ids, offsets[1:], end_id)
+                bounds = offsets + np.arange(len(offsets))
+                row = 0
+                while row < len(bounds) - 1:
+                    if writer is None:
+                        name = f"shard-{task:07d}-{written:05d}.pfor"
+                        writer = ShardWriter(folder, name)
+                    room = roll_tokens - writer.tokens
+                    # whole documents, one at least
+                    upto = int(np.searchsorted(bounds, bounds[row] + room, side="right")) - 1
+                    upto = max(upto, row + 1)
+                    writer.add(
+                        doc_ids.slice(first + row, upto - row),
+                        ids[bounds[row] : bounds[upto]],
+                        np.diff(bounds[row : upto + 1]),
+                    )
+                    if upto < len(bounds) - 1 or writer.tokens >= roll_tokens:
+                        yield closed()
+                        writer, written = None, written + 1
+                    row = upto
         if writer:
-            n, tokens, size = writer.close()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "shard": [int(name[6:13])],
-                    "file": [name],
-                    "docs": [n],
-                    "tokens": [tokens],
-                    "bytes": [size],
-                }
-            )
+            yield closed()
 
     shards = keep(
         docs.select(F.col("doc_id").cast("long"), "text")
@@ -230,7 +263,7 @@ def write_token_files(
         .mapInArrow(write, "shard long, file string, docs long, tokens long, bytes long"),
         "token-manifest",
     )
-    # one row per shard, that is per task of the job above
+    # one row per shard, as in the manifest
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return folder, shards.withColumn(
         "first_token", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long"))
@@ -245,11 +278,10 @@ def read_token_files(folder: str, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{inner}/{row['file']}") as source:
-                    data = source.read()
-                found = [
-                    (doc, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4")))
-                    for doc, ids in read_shard(data)
-                ]
+                    found = [
+                        (doc, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4")))
+                        for doc, ids in read_shard(source)
+                    ]
                 doc_ids, sizes, sums = zip(*found) if found else ((), (), ())
                 n = np.array(sizes, np.int64)
                 yield pa.RecordBatch.from_arrays(

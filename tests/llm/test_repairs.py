@@ -6,7 +6,8 @@ import pytest
 
 pytest.importorskip("marketlake.llm")
 
-from marketlake.llm import html_text, line_dup, near_dup, warc  # noqa: E402
+from marketlake.llm import html_text, line_dup, near_dup, token_files, warc  # noqa: E402
+from marketlake.llm.catalog import tokenizer_path  # noqa: E402
 
 A = " ".join(f"a{i}" for i in range(60))
 B = " ".join(f"b{i}" for i in range(60))
@@ -155,3 +156,25 @@ def test_responses_hold_http_messages(spark, tmp_path):
             named = dict(f.split(": ", 1) for f in fields)
             assert int(named["Content-Length"]) == int(headers["WARC-Payload-Length"])
             assert "\n" not in headers.get("WARC-Target-URI", "")
+
+
+# --- token files -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("roll", [1, 50, 3_000, 1 << 26])
+def test_shards_roll_at_document_ends(spark, roll):
+    """Any limit gives the same documents; a task writes several shards; few blocks are read at
+    a time."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(60)))) for i in range(80)]
+    rows += [(40, None), (None, "without id"), (81, "x " * 3_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = token_files.write_token_files(frame, tokenizer_path(), 2)
+    rolled = token_files.write_token_files(frame, tokenizer_path(), 2, roll_tokens=roll)
+    want, got = (sorted(map(tuple, token_files.read_token_files(*x).collect()), key=str) for x in (plain, rolled))
+    assert got == want and len(got) == len(rows)
+    shards = rolled[1].collect()
+    assert all(r.tokens <= roll or r.docs == 1 for r in shards)
+    assert len({r.file for r in shards}) == len(shards)
+    if roll == 1:
+        assert len(shards) == len(rows)
