@@ -6,8 +6,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marketlake.catalog import views as V
 from marketlake.catalog.entry import Book, r6, rounded, sql6
 from marketlake.operators import models, scaling
+from marketlake.operators.ordered import CHUNK, POS, WARMUP, halo_chunks, number_rows
 from marketlake.operators.text import words
 from marketlake.plans import gold
 from marketlake.session import cut_lineage
@@ -293,8 +295,11 @@ def next_hour(spark, sf):
 
 
 def _past(rows):
-    """Training rows: the label is known, and lies before the split."""
-    split = F.lit("2024-01-25").cast("timestamp")
+    """Training rows: the label is known, and lies in the first four fifths of the time."""
+    first, last = rows.agg(F.unix_seconds(F.min("timestamp")), F.unix_seconds(F.max("timestamp"))).first()
+    if first is None:
+        return rows, rows
+    split = F.timestamp_seconds(F.lit(first + (last - first) * 4 // 5))
     past, later = models.split_by_time(rows, "timestamp", split)
     return past.filter("label > 0"), later
 
@@ -369,3 +374,81 @@ def choose_by_cross_validation(spark, sf):
 def choose_by_split_validation(spark, sf):
     train, later = _past(next_hour(spark, sf))
     return models.split_validated(train, later)[0].select("symbol", "timestamp", "label", "prediction")
+
+
+# --- properties that fitted models must have -----------------------------------------------------------
+
+_HOURS = """hours AS (SELECT symbol, date_trunc('hour', ts) AS ts, avg(close) AS close FROM bars GROUP BY ALL),
+ahead AS (SELECT *, lead(close) OVER w AS label, lag(close) OVER w AS previous FROM hours WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
+rows AS (SELECT * FROM ahead WHERE previous IS NOT NULL),
+border AS (SELECT epoch(min(ts)) + (CAST(epoch(max(ts)) AS BIGINT) - CAST(epoch(min(ts)) AS BIGINT)) * 4 // 5 AS split_at FROM rows),
+past AS (SELECT * FROM rows, border WHERE epoch(ts) < split_at AND label > 0)"""
+
+
+@book.add(
+    "regress_general_residuals",
+    V.with_views(V.TICKS, V.bars(), _HOURS)
+    + "SELECT feature, count(*) AS n, TRUE AS orthogonal FROM past,"
+    " (SELECT unnest(['constant', 'avg_close', 'previous', 'avg_volume', 'avg_transactions']) AS feature) GROUP BY 1",
+)
+def regress_general_residuals(spark, sf):
+    """Least squares leave residuals that are orthogonal to every feature."""
+    train, _ = _past(next_hour(spark, sf))
+    fitted = models.regress(train, train, "general")
+    residual = F.col("label") - F.col("prediction")
+    features = ["constant", "avg_close", "previous", "avg_volume", "avg_transactions"]
+    values = fitted.withColumn("constant", F.lit(1.0))
+    sums = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.count(F.lit(1)).alias("n"),
+            (F.abs(F.sum(residual * F.col(c))) <= 1e-8 * F.sum(F.abs(residual * F.col(c)))).alias("orthogonal"),
+        )
+        for c in features
+    ]
+    return values.agg(F.array(*sums).alias("s")).select(F.inline("s"))
+
+
+@book.add("cluster_kmeans_nearest", "SELECT vec_id, TRUE AS nearest FROM embeddings")
+def cluster_kmeans_nearest(spark, sf):
+    """Every vector is in the cluster whose centre is the nearest to it."""
+    rows = _embeddings(spark, sf)
+    model = models.CLUSTERERS["kmeans"](5).fit(rows)
+    scored = models.as_arrays(model.transform(rows), "features")
+    centres = [F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()]
+
+    def distance(centre):
+        gaps = F.zip_with("features", centre, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x)
+
+    distances = F.array(*[distance(c) for c in centres])
+    own = F.element_at("_distances", F.col("prediction") + 1)
+    return scored.withColumn("_distances", distances).select(
+        "vec_id", (own <= F.array_min("_distances") + 1e-9).alias("nearest")
+    )
+
+
+@book.add(
+    "regress_isotonic_order",
+    V.with_views(V.TICKS, V.bars(), _HOURS)
+    + """SELECT count(*) AS n, TRUE AS ordered, """
+    + sql6("avg(label)")
+    + " AS mean FROM past",
+)
+def regress_isotonic_order(spark, sf):
+    """Predictions rise with the feature, and their mean is the labels' mean."""
+    train, _ = _past(next_hour(spark, sf))
+    fitted = models.regress(train, train, "isotonic").select("avg_close", "prediction")
+    # predictions per value of the feature, then compared with those of the value before
+    steps = fitted.groupBy("avg_close").agg(
+        F.min("prediction").alias("low"), F.max("prediction").alias("high"), F.sum("prediction").alias("sum"), F.count(F.lit(1)).alias("n")
+    )
+    chunks = halo_chunks(number_rows(steps, [], ["avg_close"]), 1)
+    before = F.lag("high").over(Window.partitionBy(CHUNK).orderBy(POS))
+    marked = chunks.withColumn("_falls", (F.col("low") < before - 1e-9) | (F.col("low") < F.col("high") - 1e-9))
+    found = marked.filter(~F.col(WARMUP)).agg(
+        F.sum("n").alias("n"),
+        (F.coalesce(F.max(F.col("_falls").cast("int")), F.lit(0)) == 0).alias("ordered"),
+        (F.sum("sum") / F.sum("n")).alias("mean"),
+    )
+    return rounded(found, "mean")
