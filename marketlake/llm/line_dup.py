@@ -1,20 +1,14 @@
-"""Line deduplication: repeated runs of lines, found over line-id sequences by distributed
-prefix doubling; later copies are deleted.
-
-All documents' lines stand one after the other in one sequence of positions, in the order
-of doc_id.  The suffix at a position is known by the class of its first 2^k lines.  Round 0
-classes single lines; round k+1 puts together the classes at p and p + 2^k.  A class is
-named by its first position, and a suffix whose class has no other member drops out, since
-no longer prefix of it can repeat.  A class of length L is a longest-common-prefix interval
-of the suffix array: the suffixes that agree for L lines.  (Their order inside the array is
-not needed, so classes are named, not ranked.)
-
-A run of lines counts if it has at least MIN_WORDS words.  Each such run is the union of
-its shortest parts that still have that many words, taken from each start and to each end;
-a part of L lines is classed by the two classes of length 2^k <= L that cover it.  A part
-that has occurred at an earlier position, without overlap, is a later copy, and its lines
-go.  So exactly the lines inside repeated runs of MIN_WORDS words or more are deleted, but
-for the first occurrence.
+"""Line deduplication: a suffix array over the sequence of line ids, by distributed prefix
+doubling; intervals of common prefixes show the maximal repeated runs of lines, and later
+copies are deleted.
+
+All documents' lines stand one after the other in one sequence, in the order of doc_id,
+with a free place after each document.  Lines that occur once end every run and take no
+part.  ``suffix_runs`` ranks the suffixes, measures the prefixes they share with their
+neighbours and gives the longest run from each line that stands at an earlier place without
+overlap.  Such a run of at least MIN_WORDS words is a later copy and its lines go, so
+exactly the lines inside repeated runs of MIN_WORDS words or more are deleted, but for the
+first occurrence.
 
 Defined cases: a null text has no lines and stays null; a blank text is one line without
 words and stays; lines are compared byte by byte; rows that repeat both doc_id and text are
@@ -26,10 +20,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.llm import suffix_runs
 from marketlake.llm.common import keep
 from marketlake.operators.ordered import number_rows, running_totals
 
@@ -42,37 +37,33 @@ def _long(x: int) -> int:
     return x - 2 * _SIGN if x >= _SIGN else x
 
 
-def _shortest(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each line, the lines of the shortest run from it, and to it, that has
-    ``least`` words; 0 where there is none."""
+def _ahead(words: np.ndarray, least: int) -> np.ndarray:
+    """For each line, the lines of the shortest run from it that has ``least`` words; 0
+    where there is none."""
     upto = np.concatenate([[0], np.cumsum(words)])
-    n, at = len(words), np.arange(len(words))
     end = np.searchsorted(upto, upto[:-1] + least)
-    start = np.searchsorted(upto, upto[1:] - least, side="right") - 1
-    return np.where(end <= n, end - at, 0), np.where(upto[1:] >= least, at + 1 - start, 0)
+    return np.where(end <= len(words), end - np.arange(len(words)), 0)
 
 
 def _lines_of(least: int):
-    names = ["doc_id", "text_hash", "line", "n_lines", "id1", "id2", "ahead", "back"]
+    names = ["doc_id", "text_hash", "line", "n_lines", "id1", "id2", "ahead"]
 
     def lines(batches):
         for batch in batches:
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(5)]
             doc = []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 if text is None:
                     continue
                 parts = text.encode().split(b"\n")
                 words = np.fromiter((len(p.split()) for p in parts), np.int64, len(parts))
-                ahead, back = _shortest(words, least)
                 digests = [xxhash.xxh3_128_intdigest(p) for p in parts]
                 doc += [i] * len(parts)
                 rows[0] += range(len(parts))
                 rows[1] += [len(parts)] * len(parts)
                 rows[2] += [_long(d >> 64) for d in digests]
                 rows[3] += [_long(d & (2 * _SIGN - 1)) for d in digests]
-                rows[4] += ahead.tolist()
-                rows[5] += back.tolist()
+                rows[4] += _ahead(words, least).tolist()
             at = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -93,54 +84,23 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def _positions(lines: DataFrame) -> DataFrame:
-    """doc_id, text_hash, first: the position of each document's first line."""
+    """doc_id, text_hash, first: the place of each document's first line, with one place
+    left free after each document."""
     documents = (
         lines.filter("line = 0")
         .select("doc_id", "text_hash", "n_lines", F.col("doc_id").isNull().alias("_last"))
         .distinct()
+        .withColumn("places", F.col("n_lines") + 1)
     )
     numbered = number_rows(documents, [], ["_last", "doc_id", "text_hash"])
-    return running_totals(numbered, ["n_lines"]).select(
-        "doc_id", "text_hash", (F.col("cum_n_lines") - F.col("n_lines")).alias("first")
+    return running_totals(numbered, ["places"]).select(
+        "doc_id", "text_hash", (F.col("cum_places") - F.col("places")).alias("first")
     )
 
 
-def _doubled(classes: DataFrame, half: int) -> DataFrame:
-    """(p, c) of twice the length, for suffixes whose class has another member."""
-    pairs = keep(
-        classes.alias("a")
-        .join(classes.select((F.col("p") - half).alias("p"), F.col("c").alias("d")).alias("b"), "p")
-        .select("p", "c", "d"),
-        "suffix-pairs",
-    )
-    named = (
-        pairs.groupBy("c", "d")
-        .agg(F.min("p").alias("name"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-    )
-    return keep(pairs.join(named, ["c", "d"]).select("p", F.col("name").alias("c")), "suffixes")
-
-
-def _later(windows: DataFrame, classes: DataFrame, half: int) -> DataFrame:
-    """Of windows (start, n) with half <= n < 2 * half, those that occurred before."""
-    named = (
-        windows.join(classes.select(F.col("p").alias("start"), F.col("c").alias("x")), "start")
-        .withColumn("q", F.col("start") + F.col("n") - half)
-        .join(classes.select(F.col("p").alias("q"), F.col("c").alias("y")), "q")
-        .select("start", "n", "x", "y")
-    )
-    first = named.groupBy("n", "x", "y").agg(
-        F.min("start").alias("earliest"), F.count(F.lit(1)).alias("m")
-    )
-    return (
-        named.join(first.filter("m > 1").drop("m"), ["n", "x", "y"])
-        .filter("start >= earliest + n")
-        .select("start", "n")
-    )
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_hash, runs: (line, lines) of each document's later copies."""
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, line, ahead, first, p, id1, id2): lines that occur more than once,
+    with their places in the sequence of all lines."""
     split, schema = _lines_of(min_words)
     lines = keep(
         _identified(docs).select("_doc", "_text_hash", "text").mapInArrow(split, schema), "lines"
@@ -148,45 +108,43 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = lines.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = lines.join(shared.drop("n"), ["id1", "id2"]).alias("l")
     firsts = _positions(lines).alias("f")
-    placed = keep(
+    return keep(
         again.join(
             firsts,
             F.col("l.doc_id").eqNullSafe(F.col("f.doc_id"))
             & (F.col("l.text_hash") == F.col("f.text_hash")),
         )
-        .select("l.*", (F.col("first") + F.col("line")).alias("p"))
+        .select("l.*", "first", (F.col("first") + F.col("line")).alias("p"))
         .drop("n_lines")
         .distinct(),
         "repeated-lines",
     )
-    named = placed.groupBy("id1", "id2").agg(F.min("p").alias("c"))
-    classes = keep(placed.join(named, ["id1", "id2"]).select("p", "c"), "suffixes")
-    windows = keep(
-        placed.filter("ahead > 0")
-        .select(F.col("p").alias("start"), F.col("ahead").alias("n"))
-        .union(
-            placed.filter("back > 0").select(
-                (F.col("p") - F.col("back") + 1).alias("start"), F.col("back").alias("n")
-            )
-        )
-        .distinct(),
-        "windows",
+
+
+def maximal_copies(lines: DataFrame, size: int = suffix_runs.CHUNK) -> DataFrame:
+    """(doc_id, text_hash, line, n): runs of lines with enough words that stand at an earlier
+    place without overlap, and that no such run a line longer holds."""
+    order, rounds = suffix_runs.suffix_order(lines.select("p", "first", "id1", "id2"))
+    if not rounds:
+        return lines.select("doc_id", "text_hash", "line", F.lit(0).cast("long").alias("n")).limit(0)
+    copies = suffix_runs.earlier_copies(suffix_runs.common_prefixes(order, rounds), size)
+    in_text = Window.partitionBy("first").orderBy("p")
+    held = (F.lag("p").over(in_text) == F.col("p") - 1) & (
+        F.lag("n").over(in_text) == F.col("n") + 1
     )
-    longest = windows.agg(F.max("n")).first()[0] or 0
-    half, marks = 1, None
-    while half <= longest:
-        some = windows.filter((F.col("n") >= half) & (F.col("n") < 2 * half))
-        found = keep(_later(some, classes, half), "later-copies")
-        marks = found if marks is None else marks.union(found)
-        half *= 2
-        if half <= longest:
-            classes = _doubled(classes, half // 2)
-            if classes.isEmpty():
-                break
-    if marks is None:
-        marks = windows
     return (
-        marks.join(placed.select(F.col("p").alias("start"), "doc_id", "text_hash", "line"), "start")
+        copies.join(lines.drop("id1", "id2"), "p")
+        .filter("ahead > 0 AND n >= ahead")
+        .withColumn("held", F.coalesce(held, F.lit(False)))
+        .filter("NOT held")
+        .select("doc_id", "text_hash", "line", "n")
+    )
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text_hash, runs: (line, n) of each document's later copies."""
+    return (
+        maximal_copies(repeated_lines(docs, min_words))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("line", "n")).alias("runs"))
     )
