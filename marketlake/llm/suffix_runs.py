@@ -6,14 +6,13 @@ document's first item, the ids naming the item.  Documents are at least one plac
 Only items that occur more than once need to be given; a place without a row is an item
 like no other, so no common prefix reaches past the end of a document.
 
-``suffix_order`` ranks suffixes by prefix doubling, two doublings a round: rows are sorted by
-their rank and those of the suffixes 4^k, 2 * 4^k and 3 * 4^k places on, and a class of equals
-has the rank of its first row; suffixes alone in their class are done.  The order among
-different items is that of their ids.
+``suffix_order`` ranks suffixes by prefix doubling: rows are sorted by (rank, rank of the
+suffix 2^k places on) and a class of equals has the rank of its first row; suffixes alone in
+their class are done.  The order among different items is that of their ids.
 
 ``common_prefixes`` takes each suffix's prefix shared with its predecessor in that order.
 Where the predecessors of p - 1 and p follow one another, the prefix is one shorter than at
-p - 1; the others are found by falling steps through the classes of the rounds.
+p - 1; the others are found by halving steps through the classes of the rounds.
 
 ``earlier_copies`` reads the intervals of the prefixes: the suffixes around a rank between
 which all common prefixes have n items or more are those that agree for n items.  The longest
@@ -36,14 +35,10 @@ CHUNK = 1 << 16
 _FAR = 1 << 62
 _ALONE = -1
 
-# A round puts this many classes together; it reads those of the places ahead.
-_AHEAD = ("d1", "d2", "d3")
-_FACTOR = 1 + len(_AHEAD)
-
 
 def suffix_order(items: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(p, first, c, r): rank r of each suffix, from 0, and class c of its first item; and
-    for each round k the classes (p, r) of the first 4^k items that have several members."""
+    for each round k the classes (p, r) of the first 2^k items that have several members."""
     numbered = number_rows(items, [], ["id1", "id2", "p"]).rows
     named = numbered.groupBy("id1", "id2").agg(
         F.min(POS).alias("r"), F.count(F.lit(1)).alias("n")
@@ -57,21 +52,20 @@ def suffix_order(items: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         several = ranks.filter("n > 1")
         if several.isEmpty():
             return ranks.drop("n"), rounds
-        step = _FACTOR ** len(rounds)
+        ahead = 1 << len(rounds)
         rounds.append(several.select("p", "r"))
-        in_text = Window.partitionBy("first").orderBy("p")
-        ahead = {
-            d: F.coalesce(F.first("r").over(in_text.rangeBetween(i * step, i * step)), F.lit(_ALONE))
-            for i, d in enumerate(_AHEAD, 1)
-        }
-        pairs = keep(ranks.withColumns(ahead).filter("n > 1").drop("n"), "suffix-pairs")
-        rows = number_rows(pairs, [], ["r", *_AHEAD, "p"]).rows
-        parts = rows.groupBy("r", *_AHEAD).agg(
+        pairs = several.drop("n").join(
+            ranks.select((F.col("p") - ahead).alias("p"), F.col("r").alias("d")), "p", "left"
+        )
+        rows = number_rows(
+            pairs.withColumn("d", F.coalesce("d", F.lit(_ALONE))), [], ["r", "d", "p"]
+        ).rows
+        parts = rows.groupBy("r", "d").agg(
             F.min(POS).alias("part"), F.count(F.lit(1)).alias("n")
         )
         whole = parts.groupBy("r").agg(F.min("part").alias("whole"))
-        alone = F.least(*_AHEAD) == _ALONE
-        parted = rows.join(parts.join(whole, "r"), ["r", *_AHEAD]).select(
+        alone = F.col("d") == _ALONE
+        parted = rows.join(parts.join(whole, "r"), ["r", "d"]).select(
             "p",
             "first",
             "c",
@@ -98,33 +92,22 @@ def common_prefixes(ranks: DataFrame, rounds: list[DataFrame]) -> DataFrame:
         .select("p", "first", "r", "q", "head"),
         "neighbours",
     )
-    heads = keep(
-        rows.filter("head").select("p", "q", F.lit(0).cast("long").alias("shared")), "heads"
-    )
+    heads = rows.filter("head").select("p", "q", F.lit(0).cast("long").alias("shared"))
     for k in reversed(range(len(rounds))):
-        step = _FACTOR**k
         here = rounds[k].select(F.col("p").alias("at"), F.col("r").alias("x"))
         there = rounds[k].select(F.col("p").alias("at_q"), F.col("r").alias("y"))
-        equal = (
-            heads.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(_FACTOR - 2))))
-            .withColumn("at", F.col("p") + F.col("shared") + F.col("i") * step)
-            .withColumn("at_q", F.col("q") + F.col("shared") + F.col("i") * step)
-            .join(here, "at")
-            .join(there, "at_q")
-            .filter("x = y")
-            .groupBy("p")
-            .agg(F.collect_set("i").alias("steps"))
-        )
-        # equal steps count up to the first unequal one
-        run = F.array_min(
-            F.array_except(F.sequence(F.lit(0), F.lit(_FACTOR - 1)), F.col("steps"))
-        )
-        heads = keep(
-            heads.join(equal, "p", "left").select(
-                "p", "q", (F.col("shared") + F.coalesce(run, F.lit(0)) * step).alias("shared")
-            ),
-            "heads",
+        heads = (
+            heads.join(here, F.col("p") + F.col("shared") == F.col("at"), "left")
+            .join(there, F.col("q") + F.col("shared") == F.col("at_q"), "left")
+            .select(
+                "p",
+                "q",
+                (F.col("shared") + F.when(F.col("x") == F.col("y"), 1 << k).otherwise(0))
+                .alias("shared"),
+            )
         )
+        if k % 4 == 0:
+            heads = keep(heads, "head-prefixes")
     begun = rows.join(
         heads.select("p", F.struct(F.col("p").alias("at"), "shared").alias("begun")), "p", "left"
     )
