@@ -27,13 +27,13 @@ _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
 
 def _event_stream(spark, sf):
     driver_table(spark, sf, "events")  # pins the session's settings
-    rows = jobs.file_stream(spark, sf, _EVENTS, pathGlobFilter="events.parquet")
+    rows = jobs.table_stream(spark, sf, "events", _EVENTS)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _text_stream(spark, sf, table):
     driver_table(spark, sf, table)
-    return jobs.file_stream(spark, sf, "text STRING", pathGlobFilter=f"{table}.parquet")
+    return jobs.table_stream(spark, sf, table, "text STRING")
 
 
 @book.add(
@@ -376,7 +376,7 @@ SELECT {sql6("a")} AS intercept, {sql6("b")} AS slope FROM steps WHERE turn = {_
 def stream_online_linear(spark, sf):
     """Weights after the gradient steps of the one batch that the events come in."""
     driver_table(spark, sf, "events")
-    stream = jobs.file_stream(spark, sf, _EVENTS + ", props STRING", pathGlobFilter="events.parquet")
+    stream = jobs.table_stream(spark, sf, "events", _EVENTS + ", props STRING")
     number = F.get_json_object("props", "$.k").cast("double") / 10
     rows = stream.select(
         F.array(F.lit(1.0), F.col("value") / 100).alias("features"), number.alias("label")

@@ -22,6 +22,12 @@ def file_stream(spark: SparkSession, folder: str, schema: str, fmt: str = "parqu
     return spark.readStream.format(fmt).options(**options).schema(schema).load(folder)
 
 
+def table_stream(spark: SparkSession, folder: str, table: str, schema: str) -> DataFrame:
+    """Rows of the parquet table ``table`` in a folder, whether it is one file or many."""
+    # a glob of one alternative: as a plain path, a single file is no base path for a stream
+    return file_stream(spark, f"{folder.rstrip('/')}/{{{table}.parquet}}", schema)
+
+
 def word_counts(lines: DataFrame) -> DataFrame:
     """Running count per word; use complete or update mode."""
     return text.word_counts(lines)

@@ -6,6 +6,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from marketlake.operators.sessions import sessions
 from marketlake.sources.lake import LakeTable
 from marketlake.streaming import jobs, late, online, stateful
@@ -241,3 +242,14 @@ def test_items_last_seen_are_a_map(spark, tmp_path):
     state = stateful.stored_state(spark, cp, "seen")
     seen = {(r.user_id, r.user_map_key.item): r.user_map_value["value"].ms if "value" in r.user_map_value.asDict() else r.user_map_value.ms for r in state.collect()}
     assert seen == {(1, "a"): 7000, (1, "b"): 9000, (1, "c"): 2000, (2, "a"): 1000}
+
+
+@pytest.mark.parametrize("name", ["stream_word_counts", "stream_sentiment", "stream_excluded_words", "stream_page_counts"])
+def test_streams_read_tables_of_many_files(spark, tmp_path, name):
+    for table in ("conversations", "documents", "labels", "benchmark", "events"):
+        rows = spark.read.parquet(f"{SMALL}/{table}.parquet")
+        rows.repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    run = driver.queries()[name]
+    whole = run(spark, SMALL)
+    parts = run(spark, str(tmp_path))
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect())) != []
