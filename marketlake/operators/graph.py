@@ -116,8 +116,9 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     """(id, triangles) for every vertex.
 
     Edges point from the vertex of lower degree to the one of higher degree.  No
-    vertex then has more than sqrt(2 * edges) outgoing ones, so the two-edge paths
-    stay within edges ** 1.5 however large a hub is."""
+    vertex then has more than sqrt(2 * edges) outgoing ones, however large a hub is.
+    The outgoing ends of a vertex travel as one list to each vertex that points to it
+    and are compared there: no path of two edges becomes a row unless it closes."""
     simple = cut_lineage(
         edges.filter("src != dst")
         .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
@@ -135,11 +136,14 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     low_first = F.struct("da", "a") < F.struct("db", "b")
     low = F.struct(F.col("a").alias("u"), F.col("b").alias("v"))
     high = F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
-    pointed = cut_lineage(ranked.select(F.when(low_first, low).otherwise(high).alias("e")).select("e.*"))
-    onward = pointed.select(F.col("u").alias("v"), F.col("v").alias("w"))
-    closing = pointed.select("u", F.col("v").alias("w"))
-    # edges follow one total order, so each triangle is one path u, v, w and one edge u, w
-    triangles = pointed.join(onward, "v").join(closing, ["u", "w"])
+    pointed = ranked.select(F.when(low_first, low).otherwise(high).alias("e")).select("e.*")
+    ends = cut_lineage(pointed.groupBy("u").agg(F.array_sort(F.collect_list("v")).alias("out")))
+    # edges follow one total order, so each triangle is one edge u, v and an end w of both
+    onward = ends.select(F.col("u").alias("v"), F.col("out").alias("onward"))
+    carried = ends.select("u", F.explode("out").alias("v")).join(onward, "v")
+    triangles = carried.join(ends, "u").select(
+        "u", "v", F.explode(F.array_intersect("onward", "out")).alias("w")
+    )
     counted = (
         triangles.select(F.explode(F.array("u", "v", "w")).alias("id"))
         .groupBy("id")

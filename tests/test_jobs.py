@@ -36,6 +36,15 @@ def test_components_of_a_long_chain(spark):
     assert set(got.values()) == {0, 1000} and sum(v == 0 for v in got.values()) == 201
 
 
+def test_triangle_paths_are_not_rows(spark):
+    """A hub of 300 ends over one triangle: 300 paths meet in it, one closes."""
+    star = [(0, k) for k in range(1, 301)] + [(1, 2)]
+    found = graph.triangle_counts(edges(spark, star))
+    plan = found._jdf.queryExecution().toString()
+    assert "array_intersect" in plan and "onward" in plan
+    assert {r.id: r.triangles for r in found.collect() if r.triangles} == {0: 1, 1: 1, 2: 1}
+
+
 def test_triangles_against_brute_force(spark):
     rng = np.random.default_rng(5)
     pairs = {tuple(sorted(map(int, p))) for p in rng.integers(0, 30, (160, 2)) if p[0] != p[1]} | {(0, k) for k in range(1, 30)}
