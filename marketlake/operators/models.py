@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,11 +21,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.similarity import gram
 from marketlake.operators.stats import hash_share
+from marketlake.session import cut_by_key
 
 # --- assembling features ------------------------------------------------------------
 
@@ -196,9 +198,45 @@ def silhouette(scored: DataFrame) -> float:
     return ClusteringEvaluator().evaluate(scored)
 
 
+def power_iteration(edges: DataFrame, rounds: int = 10, seed: int = 1) -> DataFrame:
+    """(id, x) after rounds over undirected edges (src, dst, weight): a vertex takes the weighted
+    mean of its neighbours, and all are scaled so that the mean of abs(x) is 1.  x begins as a
+    normal number drawn from the hash of the vertex.  Stops early once x moves as much as it did
+    in the round before."""
+
+    def drawn(salt: int) -> Column:
+        return (F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(1 << 32)) + 0.5) / float(1 << 32)
+
+    sides = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = edges.select(F.explode(F.array_distinct(sides)).alias("e"), "weight").select("e.*", "weight")
+    links = cut_by_key(both, "src")
+    normal = F.sqrt(-2 * F.log(drawn(0))) * F.cos(2 * math.pi * drawn(1))
+    state = cut_by_key(links.select(F.col("src").alias("id")).distinct().withColumn("x", normal), "id")
+    n, scale = state.agg(F.count(F.lit(1)), F.avg(F.abs("x"))).first()
+    state = state.withColumn("x", F.col("x") / F.lit(scale or 1.0))
+    moved = 0.0
+    for _ in range(rounds):
+        taken = (
+            links.join(state.select(F.col("id").alias("src"), "x"), "src")
+            .groupBy(F.col("dst").alias("id"))
+            .agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x"))
+        )
+        held = cut_by_key(taken.join(state.withColumnRenamed("x", "old"), "id"), "id")
+        scale = held.agg(F.avg(F.abs("x"))).first()[0] or 1.0
+        step = held.withColumn("x", F.col("x") / F.lit(scale))
+        before, moved = moved, step.agg(F.avg(F.abs(F.col("x") - F.col("old")))).first()[0] or 0.0
+        state = step.select("id", "x")
+        if abs(moved - before) < max(1e-5 / max(n, 1), 1e-8):
+            break
+    return state
+
+
 def cluster_graph(edges: DataFrame, k: int) -> DataFrame:
-    """Power iteration over weighted edges (src, dst, weight)."""
-    return K.PowerIterationClustering(k=k, maxIter=10, weightCol="weight").assignClusters(edges)
+    """(id, cluster) by power iteration over weighted edges (src, dst, weight).  Edges stay in
+    joins that can spill; no graph is held in memory."""
+    points = power_iteration(edges).withColumn("features", array_to_vector(F.array("x")))
+    found = K.KMeans(k=k, seed=1, maxIter=20).fit(points).transform(points)
+    return found.select("id", F.col("prediction").alias("cluster"))
 
 
 def factor_model(ratings: DataFrame, rank: int = 8, rounds: int = 5) -> ALS:

@@ -15,6 +15,7 @@ from marketlake.functions import udfs
 from marketlake.operators import graph, mining, models, scaling, similarity, stats
 from marketlake.operators.ordered import exact_quantiles
 from marketlake.plans import layers
+from marketlake.session import cut_by_key
 from marketlake.sources import files
 
 EDGES = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (7, 8), (8, 9)]
@@ -58,6 +59,38 @@ def test_triangles_against_brute_force(spark):
     assert got == want
 
 
+def test_power_iteration_equals_matrix_products(spark):
+    """Two cliques with a weak tie: the same points however the edges lie, and two clusters."""
+    ties = [(a, b, 1.0 + a % 3) for c in (0, 20) for a in range(c, c + 12) for b in range(a + 1, c + 12)] + [(0, 20, 0.01)]
+    frames = [spark.createDataFrame(rows, "src long, dst long, weight double") for rows in (ties, ties[::-1])]
+    start = {r.id: r.x for r in models.power_iteration(frames[0], 0).collect()}
+    ids = sorted(start)
+    place = {v: k for k, v in enumerate(ids)}
+    w = np.zeros((len(ids), len(ids)))
+    for a, b, x in ties:
+        w[place[a], place[b]] = w[place[b], place[a]] = x
+    want = np.array([start[v] for v in ids])
+    for _ in range(5):
+        want = w @ want / w.sum(axis=1)
+        want /= np.abs(want).mean()
+    for frame, n in zip(frames, (1, 5)):
+        got = {r.id: r.x for r in models.power_iteration(frame.repartition(n), 5).collect()}
+        np.testing.assert_allclose([got[v] for v in ids], want, rtol=1e-9)
+        found = models.cluster_graph(frame, 2).collect()
+        sides = {c: {r.cluster for r in found if (r.id >= 20) == c} for c in (False, True)}
+        assert len(found) == 24 and len(sides[False]) == len(sides[True]) == 1 and sides[False] != sides[True]
+
+
+def test_rounds_do_not_shuffle_the_edges(spark):
+    """Edges are dealt once: in the plan of a round, what is checkpointed as links has no exchange."""
+    dealt = cut_by_key(edges(spark, [(k % 50, k) for k in range(2000)]), "src")
+    ends = spark.range(50).withColumnRenamed("id", "src").hint("merge")
+    joined = dealt.join(ends, "src")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_shortest_paths_prefer_cheap_detours(spark):
     df = spark.createDataFrame([(1, 2, 10), (1, 3, 1), (3, 4, 1), (4, 2, 1), (9, 1, 1)], "src long, dst long, weight long")
     got = {r.id: r.distance for r in graph.shortest_paths(df, 1).collect()}
