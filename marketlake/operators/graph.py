@@ -1,14 +1,15 @@
 """Graph measures on edge tables (``src``, ``dst``).
 
 Every loop keeps its state in a reliable checkpoint, so a round never replays the
-rounds before it and survives lost executors.  Only counters reach the driver."""
+rounds before it and survives lost executors.  Edges are dealt by their source once and
+stay there: a round shuffles what it sends, not the edges.  Only counters reach the driver."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import cut_lineage
+from marketlake.session import cut_by_key, cut_lineage
 
 RESET, DAMPING = 0.15, 0.85
 
@@ -47,34 +48,35 @@ def pagerank(
     Runs ``rounds`` rounds; with a ``tolerance``, until no rank moves by more, and
     raises if ``rounds`` are not enough.  Lineage is cut and movement checked every
     ``keep`` rounds."""
-    edges = edges.select("src", "dst")
-    share = edges.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
-    links = cut_lineage(edges.join(share, "src"))
+    links = cut_by_key(edges.select("src", "dst"), "src")
+    share = links.groupBy(F.col("src").alias("id")).agg((1.0 / F.count(F.lit(1))).alias("share"))
     # a vertex without in-links still takes part: it receives nothing
-    floor = cut_lineage(vertices(edges)).withColumn("part", F.lit(0.0))
-    ranks = floor.select("id", F.lit(1.0).alias("rank"))
+    floor = cut_lineage(vertices(links).join(share, "id", "left").withColumn("part", F.lit(0.0)))
+    ranks = floor.select("id", F.lit(1.0).alias("rank"), "share")
     for step in range(1, rounds + 1):
         sent = links.join(ranks.withColumnRenamed("id", "src"), "src").select(
-            F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part")
+            F.col("dst").alias("id"),
+            F.lit(None).cast("double").alias("share"),
+            (F.col("rank") * F.col("share")).alias("part"),
         )
         updated = (
             sent.unionByName(floor)
             .groupBy("id")
-            .agg((RESET + DAMPING * F.sum("part")).alias("rank"))
+            .agg((RESET + DAMPING * F.sum("part")).alias("rank"), F.max("share").alias("share"))
         )
         phase = step % keep
         if phase == 0 or (tolerance is not None and phase == keep - 1):
             updated = cut_lineage(updated)
         if tolerance is not None and phase == 0:
-            moved = updated.join(ranks.withColumnRenamed("rank", "old"), "id").agg(
+            moved = updated.join(ranks.select("id", F.col("rank").alias("old")), "id").agg(
                 F.max(F.abs(F.col("rank") - F.col("old")))
             )
             if moved.first()[0] <= tolerance:
-                return updated
+                return updated.drop("share")
         ranks = updated
     if tolerance is not None:
         raise RuntimeError(f"ranks still move by more than {tolerance} after {rounds} rounds")
-    return ranks
+    return ranks.drop("share")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -83,7 +85,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     A round takes the smallest label among the neighbours whose label has just fallen,
     and then jumps to the label's own label, which halves long chains; the number of
     rounds grows with the logarithm of the longest path, not with its length."""
-    links = cut_lineage(both_ways(edges))
+    links = cut_by_key(both_ways(edges), "src")
     # before the first message a vertex knows itself and its neighbours
     labels = cut_lineage(
         links.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component"))
@@ -155,7 +157,7 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
 def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     """(id, distance) from one vertex over edges with a non-negative ``weight``.
     Only vertices whose distance just fell are relaxed again."""
-    links = cut_lineage(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    links = cut_by_key(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")), "src")
     best = front = cut_lineage(
         vertices(links).filter(F.col("id") == source).select("id", F.lit(0).cast("bigint").alias("distance"))
     )
