@@ -102,3 +102,16 @@ def test_cases(spark):
     assert {(r.left, r.right): round(r.distance, 6) for r in found.collect()} == {(1, 2): 0.0, (1, 5): 0.1}
     no_texts = spark.createDataFrame([], "id long, tokens array<string>")
     assert similarity.near_texts(no_texts, "id", 0.5).collect() == []
+
+
+def test_sketches_are_dealt_and_bound_all_near_pairs(spark):
+    points = planted(np.random.default_rng(7), n=300, near=100) * 50
+    keys = near_pairs.keyed(frame(spark, points), "projection", near_pairs.Plan(1, 2, 100.0))
+    assert not {"row", "keys"} & set(near_pairs._dealt(keys, 16).columns)
+    sketches = [bytes(r.sketch) for r in near_pairs.sketched(keys, "projection").orderBy("id").collect()]
+    assert len(sketches[0]) == 16 + 64
+    every = np.arange(len(points))
+    likely = near_pairs._vector_bound(sketches, 15.0)(every, every)
+    want = exact(points, 15.0)
+    assert want and all(likely[a, b] for a, b in want)
+    assert np.triu(likely, 1).sum() < len(want) + 20
