@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, HashingTF, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators import skipgrams
 from marketlake.session import cut_lineage, slice_count
 
 # fixed values: very common words of the four languages, and the URL pattern
@@ -121,21 +123,39 @@ def hashed_tfidf(tokens: DataFrame, features: int = 1 << 16) -> DataFrame:
 
 
 def word_vectors(
-    tokens: DataFrame, size: int = 16, min_count: int = 1, rounds: int = 1, seed: int = 1
+    tokens: DataFrame, size: int = 16, rounds: int = 1, seed: int = 1, block: int = 8192
 ) -> DataFrame:
-    """Mean word vector per document.  Every partition trains on its part of the
-    documents, and the parts are averaged after each round."""
-    parts = slice_count(tokens.sparkSession)
-    model = Word2Vec(
-        inputCol="tokens",
-        outputCol="vector",
-        vectorSize=size,
-        minCount=min_count,
-        seed=seed,
-        maxIter=rounds,
-        numPartitions=parts,
-    ).fit(tokens)
-    return model.transform(tokens).select("doc_id", vector_to_array("vector").alias("vector"))
+    """Mean word vector per document, of all words; a token holds no space.  Blocks of about
+    ``block`` documents train on their part, and a word's vectors are averaged over its blocks
+    after each round.
+
+    The vectors stay rows, one per word: a block holds those of its own words, the driver none."""
+    blocks = max(1, math.ceil(tokens.count() / block))
+    texts = tokens.select(
+        "doc_id",
+        F.coalesce(F.array_join("tokens", " "), F.lit("")).alias("words"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
+    )
+    # dealt by number: adaptive plans would put small blocks into one task, but training takes long
+    slices = slice_count(tokens.sparkSession)
+    dealt, held = texts.repartition(slices, "block").groupBy("block"), None
+    for k in range(rounds):
+        last = k == rounds - 1
+        first, later = skipgrams.training(size, seed + k, last)
+        if held is None:
+            trained = dealt.applyInArrow(first, skipgrams.VECTORS)
+        else:
+            trained = held.groupBy("block").cogroup(dealt).applyInArrow(later, skipgrams.VECTORS)
+        means = [F.avg(F.col("vector")[i]).cast("float") for i in range(size if last else 2 * size)]
+        # dealt before they are added up: sums take more room than vectors, and few words meet in a task
+        held = (
+            trained.repartition(slices, "word")
+            .groupBy("word")
+            .agg(F.collect_list("block").alias("blocks"), F.array(*means).alias("vector"))
+            .select(F.explode("blocks").alias("block"), "word", "vector")
+        )
+    means = skipgrams.document_means(size)
+    return held.groupBy("block").cogroup(dealt).applyInArrow(means, "doc_id long, vector array<double>")
 
 
 def topics(tokens: DataFrame, k: int = 5, slots: int = 1 << 16, rounds: int = 5, seed: int = 1) -> DataFrame:

@@ -274,3 +274,40 @@ def test_recommended_parts_are_the_best_of_all(spark):
     for user, places in found.items():
         best = np.sort(table @ users[user])[::-1][:5]
         assert np.allclose([places[k] for k in range(1, 6)], best, atol=1e-4)
+
+
+def test_word_vectors_stay_rows_and_tell_topics_apart(spark):
+    """Texts of two kinds in many blocks; texts without words, null and a single word too."""
+    import numpy as np
+
+    from marketlake.operators import skipgrams, text
+
+    draw = np.random.default_rng(1)
+    kinds = [[f"{k}{i}" for i in range(40)] for k in "ab"]
+    rows = [(i, [str(w) for w in draw.choice(kinds[i % 2], 30)]) for i in range(600)]
+    rows += [(600, []), (601, None), (602, ["alone"])]
+    tokens = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    for rounds in (1, 3):
+        found = {r.doc_id: np.array(r.vector) for r in text.word_vectors(tokens, 8, rounds, block=100).collect()}
+        assert found.keys() == {r[0] for r in rows}
+        assert not found[600].any() and not found[601].any()
+        start = skipgrams._start(["alone"], 8)[0]
+        assert np.allclose(found[602], start, atol=0.05) and all(v.shape == (8,) for v in found.values())
+    table = np.stack([found[i] for i in range(600)])
+    unit = table / np.linalg.norm(table, axis=1, keepdims=True)
+    likeness = unit @ unit.T
+    assert likeness[::2, ::2].mean() > likeness[::2, 1::2].mean() + 0.2
+
+
+def test_word_vectors_leave_the_vocabulary_on_the_executors(spark):
+    """As many words again must not grow what the driver fetches."""
+    from unittest import mock
+
+    from pyspark.ml.feature import Word2Vec
+
+    from marketlake.operators import text
+
+    tokens = spark.range(400).selectExpr("id AS doc_id", "transform(sequence(1, 50), i -> concat('w', id * 50 + i)) AS tokens")
+    with mock.patch.object(Word2Vec, "fit", side_effect=AssertionError("the vocabulary on the driver")):
+        vectors = text.word_vectors(tokens)
+        assert vectors.count() == 400
