@@ -255,12 +255,19 @@ def news_first_seen(spark, sf):
   CAST(sum(length(description)) AS BIGINT) AS chars FROM symbol_news GROUP BY symbol""",
 )
 def news_by_symbol(spark, sf):
+    """Articles are counted by symbol and publisher first: the few symbols would otherwise each
+    send all of their texts to one task of the join."""
     symbols = adapters.ticks(spark, sf).select("symbol")
-    rows = news.articles_by_symbol(adapters.news_articles(spark, sf), symbols)
+    counted = (
+        news.articles_by_symbol(adapters.news_articles(spark, sf))
+        .groupBy("symbol", "publisher")
+        .agg(F.count(F.lit(1)).alias("articles"), F.sum(F.length("description")).alias("chars"))
+    )
+    rows = news.of_symbols(counted, symbols)
     return rows.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("articles"),
-        F.count_distinct("publisher").alias("publishers"),
-        F.sum(F.length("description")).alias("chars"),
+        F.sum("articles").alias("articles"),
+        F.count("publisher").alias("publishers"),
+        F.sum("chars").alias("chars"),
     )
 
 

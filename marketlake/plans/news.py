@@ -17,13 +17,16 @@ def first_seen(articles: DataFrame, order: list[str]) -> DataFrame:
     return articles.withColumn("_seen", F.row_number().over(w)).filter("_seen = 1").drop("_seen")
 
 
-def articles_by_symbol(articles: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
+def articles_by_symbol(articles: DataFrame) -> DataFrame:
     """One row per (symbol, article), for all symbols at once.
 
-    A null or empty ``tickers`` list yields nothing.  ``symbols`` restricts the
-    output to followed symbols."""
-    rows = articles.withColumn("symbol", F.explode(F.array_distinct("tickers")))
-    return rows.join(symbols.select("symbol").distinct(), "symbol", "left_semi") if symbols is not None else rows
+    A null or empty ``tickers`` list yields nothing."""
+    return articles.withColumn("symbol", F.explode(F.array_distinct("tickers")))
+
+
+def of_symbols(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+    """The rows of followed symbols."""
+    return rows.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def articles_for(articles: DataFrame, symbol: str) -> DataFrame:

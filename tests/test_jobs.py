@@ -253,6 +253,25 @@ def test_bucketed_join_needs_no_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_grow_with_the_tables(spark):
+    from marketlake.sources import files
+
+    assert files.bucket_count(spark.range(10), spark.range(1000)) == 8
+    assert files.bucket_count(spark.range(10), spark.range(1001), least=1, rows=100) == 11
+
+
+def test_news_texts_stay_out_of_the_join_on_symbols(spark):
+    import __spark_entry__ as driver
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = driver.queries()["news_by_symbol"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = plan.index("Join LeftSemi")
+    assert "Aggregate [symbol" in plan[joined : plan.index("Generate", joined)]
+
+
 def test_recommended_parts_are_the_best_of_all(spark):
     import numpy as np
 
