@@ -391,11 +391,13 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
 def tables_bucketed(spark, sf):
     """Orders and lines bucketed on the order key: their join needs no shuffle."""
     names = {}
-    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    buckets = files.bucket_count(*[driver_table(spark, sf, name) for name in keys])
+    for name, key in keys.items():
         names[name] = f"bucketed_{name}_{uuid.uuid4().hex}"
         rows = driver_table(spark, sf, name).withColumn("order_key", F.col(key))
         path = scratch_path(spark, f"bucketed-{name}")
-        files.save_bucketed(rows, names[name], path, ["order_key"], 8, ["order_key"])
+        files.save_bucketed(rows, names[name], path, ["order_key"], buckets, ["order_key"])
     joined = spark.table(names["orders"]).join(spark.table(names["lineitem"]), "order_key")
     return joined.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_linenumber").cast("long").alias("numbers")

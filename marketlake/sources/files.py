@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,6 +82,12 @@ def save_bucketed(
     writer.option("path", path).saveAsTable(table)
 
 
+def bucket_count(*tables: DataFrame, least: int = 8, rows: int = 2_000_000) -> int:
+    """Buckets for tables that are joined on their buckets: one holds about ``rows`` rows of the
+    largest at most, so a task's memory does not grow with the tables."""
+    return max(least, *[math.ceil(t.count() / rows) for t in tables])
+
+
 def external_table(spark: SparkSession, table: str, path: str, fmt: str, schema: str, partitions: Sequence[str] = ()) -> DataFrame:
     """Table over existing files; partition folders are found and registered."""
     by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
