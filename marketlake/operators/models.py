@@ -24,6 +24,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators import inner_products
 from marketlake.operators.similarity import gram
 from marketlake.operators.stats import hash_share
 from marketlake.session import cut_by_key
@@ -253,18 +254,9 @@ def factor_model(ratings: DataFrame, rank: int = 8, rounds: int = 5) -> ALS:
 
 
 def recommendations(ratings: DataFrame, top: int) -> DataFrame:
-    """(user, item, score, place): the best of all items for each user.  Blocks of users
-    meet blocks of items, and each pair of blocks leaves ``top`` items a user."""
-    best = factor_model(ratings).recommendForAllUsers(top)
-    ordered = F.array_sort(
-        F.transform("recommendations", lambda x: F.struct((-x.rating).alias("less"), x.item.alias("item")))
-    )
-    return best.select("user", F.posexplode(ordered).alias("at", "found")).select(
-        "user",
-        "found.item",
-        (-F.col("found.less")).alias("score"),
-        (F.col("at") + 1).alias("place"),
-    )
+    """(user, item, score, place): the best of all items for each user."""
+    model = factor_model(ratings)
+    return inner_products.largest(model.userFactors, model.itemFactors, top)
 
 
 def recommendation_error(train: DataFrame, test: DataFrame) -> float:

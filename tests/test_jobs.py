@@ -330,3 +330,42 @@ def test_word_vectors_leave_the_vocabulary_on_the_executors(spark):
     with mock.patch.object(Word2Vec, "fit", side_effect=AssertionError("the vocabulary on the driver")):
         vectors = text.word_vectors(tokens)
         assert vectors.count() == 400
+
+
+def test_largest_inner_products_equal_brute_force(spark, monkeypatch):
+    """In many blocks, with copies, users without a direction, and fewer items than places."""
+    import numpy as np
+
+    from marketlake.operators import inner_products
+
+    draw = np.random.default_rng(1)
+    monkeypatch.setattr(inner_products, "FIRST", 50)
+    users = np.vstack([draw.normal(size=(297, 4)), np.zeros((1, 4)), np.ones((2, 4))]).astype(np.float32)
+    for count in (700, 3):
+        items = (draw.normal(size=(count, 4)) * draw.uniform(0.1, 3, (count, 1))).astype(np.float32)
+        items[: count // 10] = items[count // 2]
+        frames = [
+            spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(t)], "id int, features array<float>")
+            for t in (users, items)
+        ]
+        found = {}
+        for r in inner_products.largest(*frames, 5, block=64).collect():
+            assert np.isclose(users[r.user] @ items[r.item], r.score, atol=1e-4)
+            found.setdefault(r.user, {}).setdefault(r.place, (r.item, r.score))
+        for user, vector in enumerate(users):
+            best = np.sort(items @ vector)[::-1][:5]
+            places = found[user]
+            assert len({item for item, _ in places.values()}) == len(best)
+            assert np.allclose([places[k + 1][1] for k in range(len(best))], best, atol=1e-4)
+
+
+def test_recommendations_do_not_score_every_pair(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALSModel
+
+    import __spark_entry__ as driver
+
+    def all_pairs(*_):
+        raise AssertionError("every user against every item")
+
+    monkeypatch.setattr(ALSModel, "recommendForAllUsers", all_pairs)
+    assert not driver.queries()["recommend_parts"](spark, SMALL).isEmpty()
