@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +29,39 @@ def frequent_sets(
     ``rows`` (basket, item).
 
     Rare items leave before baskets are formed, so a basket holds at most the
-    frequent items: no more than rows / (support * baskets) of them."""
+    frequent items: no more than rows / (support * baskets) of them.  Equal baskets
+    become one row with a count.  Sets grow by one later item of the basket; baskets that
+    hold a set and agree in what may follow are one row again."""
     # support and baskets both read the rows: join and scan them once
     pairs, _, least = frequent_items(cut_lineage(rows.select("basket", "item")), min_support)
-    baskets = cut_lineage(pairs.groupBy("basket").agg(F.collect_set("item").alias("items")))
-    kept = max(baskets.count(), 1)
-    # half a count below the bound: rounding can then not move it
-    model = FPGrowth(
-        itemsCol="items", minSupport=(least - 0.5) / kept, minConfidence=min_confidence
-    ).fit(baskets)
-    return model.freqItemsets, model.associationRules
+    baskets = pairs.groupBy("basket").agg(F.array_sort(F.collect_set("item")).alias("rest"))
+    none = F.array().cast(baskets.schema["rest"].dataType)
+    state = baskets.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).withColumn("items", none)
+    found = []
+    while True:
+        grown = state.select("items", "rest", "n", F.posexplode("rest").alias("at", "item")).select(
+            F.concat("items", F.array("item")).alias("items"),
+            F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"),
+            "n",
+        )
+        grown = cut_lineage(grown.groupBy("items", "rest").agg(F.sum("n").alias("n")))
+        often = grown.groupBy("items").agg(F.sum("n").alias("freq")).filter(F.col("freq") >= least)
+        often = cut_lineage(often)
+        found.append(often)
+        if often.isEmpty():
+            break
+        state = grown.filter(F.size("rest") > 0).join(often.select("items"), "items", "left_semi")
+    sets = found[0]
+    for more in found[1:]:
+        sets = sets.union(more)
+    wholes = sets.filter(F.size("items") > 1).select("items", "freq", F.explode("items").alias("item"))
+    rules = wholes.select(
+        F.array_remove("items", F.col("item")).alias("antecedent"),
+        F.array("item").alias("consequent"),
+        F.col("freq").alias("both"),
+    ).join(sets.withColumnRenamed("items", "antecedent"), "antecedent")
+    rules = rules.select("antecedent", "consequent", (F.col("both") / F.col("freq")).alias("confidence"))
+    return sets, rules.filter(F.col("confidence") >= min_confidence)
 
 
 def sequential_patterns(

@@ -369,3 +369,36 @@ def test_recommendations_do_not_score_every_pair(spark, monkeypatch):
 
     monkeypatch.setattr(ALSModel, "recommendForAllUsers", all_pairs)
     assert not driver.queries()["recommend_parts"](spark, SMALL).isEmpty()
+
+
+def test_frequent_sets_of_any_length_equal_counting(spark, monkeypatch):
+    from itertools import combinations
+
+    import numpy as np
+    from pyspark.ml import fpm
+
+    from marketlake.operators import mining
+
+    def tree(*_):
+        raise AssertionError("a tree that takes each basket by itself")
+
+    monkeypatch.setattr(fpm.FPGrowth, "fit", tree)
+    draw = np.random.default_rng(1)
+    baskets = [sorted(set(draw.choice(list("abcdefgh"), draw.integers(1, 7)).tolist())) for _ in range(200)]
+    rows = [(i, x) for i, b in enumerate(baskets) for x in [*b, b[0]]] + [(999, None)]
+    frame = spark.createDataFrame(rows, "basket int, item string")
+    sets, rules = mining.frequent_sets(frame, 0.02, 0.3)
+    want = {}
+    for b in baskets:
+        for k in range(1, len(b) + 1):
+            for c in combinations(b, k):
+                want[c] = want.get(c, 0) + 1
+    want = {c: n for c, n in want.items() if n >= np.ceil(0.02 * 201)}
+    assert {tuple(r["items"]): r.freq for r in sets.collect()} == want and max(map(len, want)) > 3
+    sure = {
+        (tuple(x for x in c if x != y), (y,)): n / want[tuple(x for x in c if x != y)]
+        for c, n in want.items() if len(c) > 1 for y in c
+    }
+    assert {(tuple(r.antecedent), tuple(r.consequent)): r.confidence for r in rules.collect()} == {
+        k: v for k, v in sure.items() if v >= 0.3
+    }
