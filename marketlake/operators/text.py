@@ -23,10 +23,14 @@ STOP_WORDS = [
 URL_PATTERN = r"^https?://([^/:]+)/([a-z]{2})/(\d+)([^?#]*)"
 
 
+def pieces(text: Column | str) -> Column:
+    column = F.col(text) if isinstance(text, str) else text
+    return F.split(F.lower(column), r"[^\p{L}]+")
+
+
 def words(text: Column | str) -> Column:
     """Lower-case runs of letters."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(column), r"[^\p{L}]+"), lambda w: w != "")
+    return F.filter(pieces(text), lambda w: w != "")
 
 
 def word_counts(lines: DataFrame, column: str = "text") -> DataFrame:
@@ -83,7 +87,8 @@ def url_rollup(pages: DataFrame) -> DataFrame:
 
 
 def tokens_without(docs: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    kept = F.filter(words("text"), lambda w: ~w.isin(*stop_words))
+    # the empty pieces around words leave in the same pass
+    kept = F.filter(pieces("text"), lambda w: ~w.isin("", *stop_words))
     return docs.select("doc_id", kept.alias("tokens"))
 
 
@@ -100,7 +105,8 @@ def term_weights(tokens: DataFrame) -> DataFrame:
     """(doc_id, term, tf, tfidf) with idf = ln((documents + 1) / (df + 1)).
 
     The number of documents is one value and goes in as a literal; document
-    frequencies are joined by term, and AQE splits the terms nearly all share."""
+    frequencies are joined by term, and AQE splits the terms nearly all share.  They are one
+    row a term, so a task hashes its own and the counts need no sort."""
     total = tokens.count()
     # texts are parsed once; a term's documents are then the rows that count it
     tf = cut_lineage(
@@ -110,7 +116,7 @@ def term_weights(tokens: DataFrame) -> DataFrame:
     )
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log((F.lit(float(total)) + 1) / (F.col("df") + 1))
-    return tf.join(df, "term").select("doc_id", "term", "tf", weight.alias("tfidf"))
+    return tf.join(df.hint("shuffle_hash"), "term").select("doc_id", "term", "tf", weight.alias("tfidf"))
 
 
 def hashed_tfidf(tokens: DataFrame, features: int = 1 << 16) -> DataFrame:

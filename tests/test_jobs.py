@@ -402,3 +402,10 @@ def test_frequent_sets_of_any_length_equal_counting(spark, monkeypatch):
     assert {(tuple(r.antecedent), tuple(r.consequent)): r.confidence for r in rules.collect()} == {
         k: v for k, v in sure.items() if v >= 0.3
     }
+
+
+def test_term_weights_are_joined_without_sorting_the_counts(spark):
+    import __spark_entry__ as driver
+
+    plan = driver.queries()["term_weights"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
