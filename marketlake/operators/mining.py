@@ -64,56 +64,116 @@ def frequent_sets(
     return sets, rules.filter(F.col("confidence") >= min_confidence)
 
 
+# Sequences of at most so many items are handled as lists, longer ones item by item.
+LISTED = 100
+
+
 def sequential_patterns(
-    events: DataFrame, min_support: float, max_length: int | None = None
+    events: DataFrame, min_support: float, max_length: int | None = None, listed: int = LISTED
 ) -> DataFrame:
     """(pattern, length, freq): item sequences that appear, in order and with gaps,
     in at least ``min_support`` of the sequences.  ``events``: ``who``, ``item`` and
-    the order columns ``ts``, ``event_id``.
+    the order columns ``ts``, ``event_id``.  Null is no item.
 
     Patterns of any length are found, unless ``max_length`` asks for short ones only.
 
     A sequence holds a pattern when, matched from the left, every item has a next
-    place; only that earliest place is kept.  Patterns grow by one item through a
-    forward as-of join on (who, item), so no sequence is ever collected."""
-    numbered = number_rows(events.select("who", "item", "ts", "event_id"), ["who"], ["ts", "event_id"])
-    placed = cut_lineage(numbered.rows.select("who", "item", F.col(POS).alias("place")))
-    people = placed.agg(F.count_distinct("who")).first()[0]
+    place; only that earliest place is kept.  Sequences of at most ``listed`` items are
+    lists: equal lists become one row with a count, and so do those that hold a pattern
+    and agree in what follows it.  In longer ones patterns grow by one item through a
+    forward as-of join on (who, item), so no long sequence is ever collected."""
+    rows = events.filter("who IS NOT NULL").select("who", "item", "ts", "event_id")
+    lengths = rows.groupBy("who").agg(F.count(F.lit(1)).alias("n"))
+    people, longest = lengths.agg(F.count(F.lit(1)), F.max("n")).first()
     least = max(1, math.ceil(min_support * people))
+    rows = rows.filter("item IS NOT NULL")
+    lists, places = rows, None
+    if (longest or 0) > listed:
+        busy = cut_lineage(lengths.filter(F.col("n") > listed).select("who"))
+        lists = rows.join(busy, "who", "left_anti")
+        numbered = number_rows(rows.join(busy, "who", "left_semi"), ["who"], ["ts", "event_id"])
+        places = cut_lineage(numbered.rows.select("who", "item", F.col(POS).alias("place")))
+    lists = _counted_lists(lists)
+
+    def often(short: DataFrame, long: DataFrame | None) -> DataFrame:
+        held = short.select("pattern", "n")
+        if long is not None:
+            held = held.union(long.select("pattern", F.lit(1).cast("long")))
+        freq = held.groupBy("pattern").agg(F.sum("n").alias("freq"))
+        return cut_lineage(freq.filter(F.col("freq") >= least))
 
     def supported(state: DataFrame) -> DataFrame:
-        often = (
-            state.groupBy("pattern").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
-        )
-        return cut_lineage(state.join(often, "pattern"))
-
-    first = placed.groupBy("who", "item").agg(F.min("place").alias("place"))
-    items = supported(first.withColumn("pattern", F.array("item"))).drop("freq", "pattern", "place")
-    state = supported(first.select("who", F.array("item").alias("pattern"), "place"))
-    found = [state.select("pattern", "freq").distinct()]
-    next_places = placed.join(items.select("who", "item"), ["who", "item"], "left_semi")
-    length = 1
-    while max_length is None or length < max_length:
-        length += 1
-        tries = state.select("who", "pattern", "place").join(items, "who")
-        matched = asof_join(
-            tries,
-            next_places,
-            on="place",
-            keys=["who", "item"],
-            left_tie=F.xxhash64("pattern"),
-            right_tie=F.lit(0),
-            direction="forward",
-            exact=False,
-        ).filter("right_place IS NOT NULL")
-        grown = matched.select(
-            "who", F.concat("pattern", F.array("item")).alias("pattern"), F.col("right_place").alias("place")
-        )
-        state = supported(grown)
-        if state.isEmpty():
+        return state.join(found[-1].select("pattern"), "pattern", "left_semi")
+
+    short = lists.select(F.explode(F.array_distinct("rest")).alias("item"), "n")
+    long = None if places is None else places.groupBy("who", "item").agg(F.min("place").alias("place"))
+    one = F.array("item").alias("pattern")
+    found = [often(short.select(one, "n"), None if long is None else long.select(one))]
+    items = found[0].select(F.col("pattern")[0].alias("item"))
+    none = F.array().cast(found[0].schema["pattern"].dataType).alias("pattern")
+    short = _grown_lists(_only_items(lists, items).select(none, "rest", "n"))
+    if long is not None:
+        places = places.join(items, "item", "left_semi")
+        long = cut_lineage(long.join(items, "item", "left_semi"))
+        pairs = long.select("who", "item")
+        long = long.select("who", one, "place")
+    while max_length is None or len(found) < max_length:
+        short = cut_lineage(_grown_lists(supported(short)))
+        if long is not None:
+            long = cut_lineage(_grown_places(supported(long), pairs, places))
+        more = often(short, long)
+        if more.isEmpty():
             break
-        found.append(state.select("pattern", "freq").distinct())
+        found.append(more)
     result = found[0]
     for more in found[1:]:
         result = result.union(more)
     return result.select("pattern", F.size("pattern").alias("length"), "freq")
+
+
+def _counted_lists(rows: DataFrame) -> DataFrame:
+    """(rest, n): the items of each ``who`` in order, and how many have the same."""
+    entries = F.array_sort(F.collect_list(F.struct("ts", "event_id", "item")))
+    lists = rows.groupBy("who").agg(entries.getField("item").alias("rest"))
+    return cut_lineage(lists.groupBy("rest").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _only_items(lists: DataFrame, items: DataFrame) -> DataFrame:
+    """The counted lists without other items."""
+    single = lists.withColumn("_list", F.monotonically_increasing_id()).select(
+        "_list", "n", F.posexplode("rest").alias("at", "item")
+    )
+    entries = F.array_sort(F.collect_list(F.struct("at", "item")))
+    kept = single.join(items, "item", "left_semi").groupBy("_list", "n").agg(entries.alias("kept"))
+    return kept.groupBy(F.col("kept.item").alias("rest")).agg(F.sum("n").alias("n"))
+
+
+def _grown_lists(state: DataFrame) -> DataFrame:
+    """(pattern, rest, n) with every pattern longer by each item that follows it, and what
+    follows that item's first place."""
+    tries = state.select("pattern", "rest", "n", F.explode(F.array_distinct("rest")).alias("item"))
+    after = F.array_position("rest", F.col("item")).cast("int") + 1
+    grown = tries.select(
+        F.concat("pattern", F.array("item")).alias("pattern"),
+        F.slice("rest", after, F.size("rest")).alias("rest"),
+        "n",
+    )
+    return grown.groupBy("pattern", "rest").agg(F.sum("n").alias("n"))
+
+
+def _grown_places(state: DataFrame, items: DataFrame, places: DataFrame) -> DataFrame:
+    """(who, pattern, place) with every pattern longer by each item of ``who`` that has a later
+    place: the earliest."""
+    matched = asof_join(
+        state.select("who", "pattern", "place").join(items, "who"),
+        places,
+        on="place",
+        keys=["who", "item"],
+        left_tie=F.xxhash64("pattern"),
+        right_tie=F.lit(0),
+        direction="forward",
+        exact=False,
+    ).filter("right_place IS NOT NULL")
+    return matched.select(
+        "who", F.concat("pattern", F.array("item")).alias("pattern"), F.col("right_place").alias("place")
+    )

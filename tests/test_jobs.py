@@ -118,6 +118,44 @@ def test_patterns_equal_prefix_span(spark):
     assert got == {("".join(i[0] for i in r.sequence), r.freq) for r in spans.collect()}
 
 
+def _pattern_events(spark, rows):
+    df = spark.createDataFrame([(w, i, k) for k, (w, i) in enumerate(rows)], "who long, item string, event_id long")
+    return df.withColumn("ts", F.timestamp_seconds("event_id"))
+
+
+def test_patterns_of_short_sequences_need_no_join_per_length(spark, monkeypatch):
+    """Equal sequences are one row with a count; only long ones are joined item by item."""
+    monkeypatch.setattr(mining, "asof_join", None)
+    df = _pattern_events(spark, [(w, i) for w in range(40) for i in ("ab" if w % 2 else "aab")])
+    got = {("".join(r.pattern), r.length, r.freq) for r in mining.sequential_patterns(df, 0.5).collect()}
+    assert got == {("a", 1, 40), ("b", 1, 40), ("ab", 2, 40), ("aa", 2, 20), ("aab", 3, 20)}
+
+
+def test_patterns_of_short_and_long_sequences_add_up(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(w), "abcdx"[rng.integers(5)]) for w in rng.integers(0, 9, 60)]
+    # x is rare, nobody's row and a null item hold no pattern; the last one has null items only
+    rows = [(w, i) for w, i in rows if i != "x" or w == 3] + [(None, "a"), (4, None), (99, None)]
+    sequences = {}
+    for w, i in rows:
+        if w is not None:
+            sequences.setdefault(w, []).append(i)
+
+    def held(pattern, sequence):
+        rest = iter(sequence)
+        return all(item in rest for item in pattern)
+
+    least, want, grown = max(1, -(-4 * len(sequences) // 10)), {}, [""]
+    while grown:
+        tries = [(p + i, sum(held(p + i, s) for s in sequences.values())) for p in grown for i in "abcdx"]
+        grown = [p for p, n in tries if n >= least]
+        want |= {p: n for p, n in tries if n >= least}
+    assert max(map(len, want)) >= 3
+    for listed in (0, 6, 100):
+        found = mining.sequential_patterns(_pattern_events(spark, rows), 0.4, listed=listed)
+        assert {"".join(r.pattern): r.freq for r in found.collect()} == want
+
+
 def test_near_pairs_against_all_pairs(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(40, 8))
