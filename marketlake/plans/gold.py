@@ -77,19 +77,28 @@ def hourly_features(prices: DataFrame, indicators: DataFrame) -> DataFrame:
 def hourly_news(news: DataFrame) -> DataFrame:
     """Descriptions per symbol and hour in publication order.
 
-    ``news`` has one row per (symbol, article)."""
+    ``news`` has one row per (symbol, article).  Its hour is named before the texts are dealt
+    out, so that a join on symbol and hour finds them where they are."""
     entry = F.struct("published_utc", "id", "description")
     return (
-        news.groupBy("symbol", _hour("published_utc"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(
-            "symbol",
-            F.col("w.start").alias("timestamp"),
-            F.col("entries.description").alias("news_descriptions"),
-        )
+        news.select("symbol", F.window("published_utc", "1 hour")["start"].alias("timestamp"), entry.alias("entry"))
+        .groupBy("symbol", "timestamp")
+        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+        .select("symbol", "timestamp", F.col("entries.description").alias("news_descriptions"))
     )
 
 
+def news_of_hours(news: DataFrame, hours: DataFrame) -> DataFrame:
+    """The articles from the first to the last hour in which ``hours`` has a ``timestamp``; the
+    others meet no feature and would only be dealt out."""
+    first, last = hours.agg(*[F.unix_micros(f("timestamp")) for f in (F.min, F.max)]).first()
+    if first is None:
+        return news.limit(0)
+    hour = 3_600_000_000
+    start, end = (F.timestamp_micros(F.lit(h * hour)) for h in (first // hour, last // hour + 1))
+    return news.filter((F.col("published_utc") >= start) & (F.col("published_utc") < end))
+
+
 def dense_hours(features: DataFrame) -> DataFrame:
     """Optional spine: every hour between a symbol's first and last price hour."""
     spine = (
@@ -162,5 +171,6 @@ def with_news_again(known: DataFrame, news: DataFrame, touched: DataFrame) -> Da
         "symbol", "timestamp", *FEATURES
     )
     hour = F.date_trunc("hour", "published_utc")
-    there = news.withColumn("timestamp", hour).join(touched, ["symbol", "timestamp"], "left_semi")
+    there = news_of_hours(news, rows).withColumn("timestamp", hour)
+    there = there.join(touched, ["symbol", "timestamp"], "left_semi")
     return finish_gold(rows, there.drop("timestamp"))

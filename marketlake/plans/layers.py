@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from marketlake.functions.columns import millis_to_timestamp
 from marketlake.operators import indicators as ind
 from marketlake.plans import tables
-from marketlake.plans.gold import build_gold, gold_since, with_news_again
+from marketlake.plans.gold import build_gold, gold_since, news_of_hours, with_news_again
 from marketlake.plans.news import articles_by_symbol
 from marketlake.plans.serving import SERVING_DAYS, front_end, since
+from marketlake.session import cut_lineage
 from marketlake.sources.lake import LakeTable, differing
 
 
@@ -110,19 +111,21 @@ def gold(spark: SparkSession, root: str, at: dt.datetime) -> None:
     prices, indicators, articles = (_need(spark, source) for source in sources)
     known = target.read(spark)
     if known is None:
+        articles = news_of_hours(articles, prices)
         features = build_gold(prices, indicators, articles)
         return target.merge(stamped(features, at), consumed=consumed)
     (new_prices, _), (new_indicators, _), (new_articles, _) = feeds
     start = _first_hour(new_prices, new_indicators)
     parts = []
     if start is not None:
-        parts.append(gold_since(prices, indicators, articles, known, start))
+        near = news_of_hours(articles, prices.filter(F.col("timestamp") >= F.lit(start)))
+        parts.append(gold_since(prices, indicators, near, known, start))
     if new_articles is not None:
         hour = F.date_trunc("hour", "published_utc").alias("timestamp")
         touched = new_articles.select("symbol", hour).distinct()
         if start is not None:
             touched = touched.filter(F.col("timestamp") < F.lit(start))
-        parts.append(with_news_again(known, articles, touched))
+        parts.append(with_news_again(known, articles, cut_lineage(touched)))
     features = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     made = differing(features, known, target.keys)
     target.merge(stamped(made, at), consumed=consumed)

@@ -39,7 +39,11 @@ def news_table(root: str, layer: str) -> LakeTable:
     """Keyed by article, so partitioned by a hash of the key."""
     keys = ("id",) if layer == "bronze" else ("symbol", "id")
     return LakeTable(
-        f"{root}/{layer}/news", keys, {"bucket": hash_bucket(*keys)}, cluster_by=("published_utc",)
+        f"{root}/{layer}/news",
+        keys,
+        {"bucket": hash_bucket(*keys)},
+        cluster_by=("published_utc",),
+        wide=True,
     )
 
 

@@ -59,13 +59,16 @@ def delta_available(spark: SparkSession) -> bool:
 
 @dataclass(frozen=True)
 class LakeTable:
-    """``partitions`` maps partition columns to the expression that derives them."""
+    """``partitions`` maps partition columns to the expression that derives them.  The rows of a
+    ``wide`` table are long and their keys cheap to read, so a merge reads the keys first and
+    deals out whole rows by key only where a key is repeated."""
 
     path: str
     keys: tuple[str, ...]
     partitions: dict[str, Column] = field(default_factory=dict)
     version: tuple[str, ...] = ("updated_at",)
     cluster_by: tuple[str, ...] = ()
+    wide: bool = False
 
     # --- reading ---------------------------------------------------------------
 
@@ -219,13 +222,16 @@ class LakeTable:
         base = self.state(spark)
         if batch_id is not None and base.applied(batch_id):
             return
-        newest = latest_version(source, list(self.keys), *self.version)
+        if self.wide and base.schema is not None:
+            source = cut_lineage(source)  # its keys are read before its rows
+        newest = self._newest(source)
         if delta_available(spark):
             return self._merge_delta(newest)
         if base.schema is None:
             return self.create(newest, batch_id, consumed)
-        # used several times below: compute it once, durably
-        newest = cut_lineage(self._partitioned(newest))
+        newest = self._partitioned(newest)
+        if not self.wide:
+            newest = cut_lineage(newest)  # used several times below: compute it once, durably
         target = self._rows(spark, base, self._met(newest, base))
         old, incoming = target.count(), newest.count()
         kept = target.join(newest.select(*self.keys), list(self.keys), "left_anti")
@@ -249,6 +255,21 @@ class LakeTable:
         )
         self._append(spark, base, commit)
 
+    def _newest(self, source: DataFrame) -> DataFrame:
+        """The newest version of every key."""
+        keys = list(self.keys)
+        if not self.wide:
+            return latest_version(source, keys, *self.version)
+        counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        again = cut_lineage(counted.filter("_n > 1").select(*keys))
+        if again.isEmpty():
+            return source
+        same = [F.col(f"new.`{k}`").eqNullSafe(F.col(f"again.`{k}`")) for k in keys]
+        once, more = (
+            source.alias("new").join(again.alias("again"), same, how) for how in ("left_anti", "left_semi")
+        )
+        return once.unionByName(cut_lineage(latest_version(more, keys, *self.version)))
+
     def _met(self, source: DataFrame, state: State) -> list[str]:
         """Partitions of the state that the source writes to.  One row per partition reaches
         the driver, as in the log."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import zorder
 from marketlake.plans import tables
 from marketlake.sources.commits import Commit, CommitLog, ConcurrentWrite
-from marketlake.sources.lake import LakeTable, day_of_millis
+from marketlake.sources.lake import LakeTable, day_of_millis, hash_bucket
 
 UTC = dt.timezone.utc
 T1, T2 = dt.datetime(2024, 2, 1, tzinfo=UTC), dt.datetime(2024, 2, 2, tzinfo=UTC)
@@ -137,6 +137,31 @@ def test_news_merge_keeps_one_row_per_article_or_all_versions(spark, root):
     assert versions.read(spark).count() == 3
 
 
+def test_news_without_repeated_ids_is_not_dealt_by_id(spark, root, monkeypatch):
+    """Long rows are dealt out once, by bucket; ids alone tell that there is nothing to choose."""
+    monkeypatch.setattr("marketlake.sources.lake.latest_version", None)
+    lake = tables.news_table(root, "bronze")
+    schema = "id string, title string, updated_at timestamp"
+    lake.merge(spark.createDataFrame([(f"n{k}", "old", T1) for k in range(9)], schema))
+    lake.merge(spark.createDataFrame([(f"n{k}", "new", T2) for k in range(6, 12)], schema))
+    got = {r.id: r.title for r in lake.read(spark).collect()}
+    assert got == {f"n{k}": "new" if k >= 6 else "old" for k in range(12)}
+
+
+def test_a_wide_merge_keeps_the_newest_of_repeated_keys(spark, root):
+    schema = "id string, title string, updated_at timestamp"
+    first = [("a", "old", T1), ("a", "new", T2), ("b", "b", T1), (None, "old", T1), (None, "new", T2)]
+    second = [("a", "late", T1), ("c", "new", T2), ("c", "old", T1), ("d", "d", T1)]
+    found = []
+    for wide in (False, True):
+        lake = LakeTable(f"{root}/{wide}", ("id",), {"bucket": hash_bucket("id")}, wide=wide)
+        for rows in (first, second):
+            lake.merge(spark.createDataFrame(rows, schema))
+        found.append(sorted(((r.id, r.title) for r in lake.read(spark).collect()), key=str))
+    assert found[0] == found[1] and len(found[1]) == 5
+    assert {("a", "late"), (None, "new"), ("c", "new")} <= set(found[1])
+
+
 # --- commits: versions, feeds, concurrent writers ---------------------------------------
 
 

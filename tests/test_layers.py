@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.plans import gold as features
 from marketlake.plans import layers, tables
 from marketlake.schemas import INDICATORS
 
@@ -123,3 +124,33 @@ def test_a_failed_run_is_repeated(spark, root, monkeypatch):
 def test_layers_need_the_one_below(spark, root):
     with pytest.raises(layers.MissingTable):
         layers.silver(spark, root, START)
+
+
+def _hours_and_news(spark):
+    hours = spark.createDataFrame([("a", START + dt.timedelta(hours=h)) for h in (2, 3, 5)], "symbol string, timestamp timestamp")
+    hours = hours.withColumns({name: F.lit(1.0) for name in features.FEATURES})
+    minutes = (0, 119, 120, 130, 245, 359, 360, 900)
+    news = [("a", f"n{m}", f"t{m}", START + dt.timedelta(minutes=m)) for m in minutes] + [("a", "none", "none", None)]
+    return hours, spark.createDataFrame(news, "symbol string, id string, description string, published_utc timestamp")
+
+
+def test_news_outside_the_hours_stays_where_it_is(spark):
+    hours, news = _hours_and_news(spark)
+    near = features.news_of_hours(news, hours)
+    assert sorted(r.id for r in near.collect()) == ["n120", "n130", "n245", "n359"]
+    every, some = (features.finish_gold(hours, rows).collect() for rows in (news, near))
+    assert sorted(every) == sorted(some)
+    assert {r.timestamp.hour: r.news_descriptions for r in some}[2] == ["t120", "t130"]
+    assert features.news_of_hours(news, hours.limit(0)).isEmpty()
+
+
+def test_texts_are_dealt_out_once_for_gold(spark):
+    hours, news = _hours_and_news(spark)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = features.finish_gold(hours, news)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert plan.count("Exchange hashpartitioning") == 2
