@@ -115,3 +115,20 @@ def test_sketches_are_dealt_and_bound_all_near_pairs(spark):
     want = exact(points, 15.0)
     assert want and all(likely[a, b] for a, b in want)
     assert np.triu(likely, 1).sum() < len(want) + 20
+
+
+def test_all_copies_pair_with_each_other_and_with_what_is_near(spark, monkeypatch):
+    """Rows 0 to 5 are copies, 6 and 7 are copies near them; 8 is far, 9 comes twice, 10 has no
+    key of its own but 6's vector."""
+    monkeypatch.setattr(similarity, "_BLOCK", 2)
+    rows = [(k, [1.0, 0.0]) for k in range(6)] + [(6, [1.0, 0.1]), (7, [1.0, 0.1]), (8, [9.0, 0.0])]
+    rows += [(9, [5.0, 0.0]), (9, [5.0, 0.0]), (6, [9.0, 0.2]), (None, [1.0, 0.1])]
+    found = similarity.near_vectors(
+        spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 0.5, recall=0.9999, all_copies=True
+    )
+    want = sorted(
+        (a[0], b[0], round(float(np.hypot(*np.subtract(a[1], b[1]))), 6))
+        for a, b in itertools.product(rows, rows)
+        if None not in (a[0], b[0]) and a[0] < b[0] and np.hypot(*np.subtract(a[1], b[1])) <= 0.5
+    )
+    assert sorted((r.left, r.right, round(r.distance, 6)) for r in found.collect()) == want
