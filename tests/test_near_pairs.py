@@ -1,9 +1,11 @@
 """Near pairs against all pairs: recall, work, exact distances, hot buckets."""
 
 import itertools
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from marketlake.operators import near_pairs, similarity
@@ -132,3 +134,50 @@ def test_all_copies_pair_with_each_other_and_with_what_is_near(spark, monkeypatc
         if None not in (a[0], b[0]) and a[0] < b[0] and np.hypot(*np.subtract(a[1], b[1])) <= 0.5
     )
     assert sorted((r.left, r.right, round(r.distance, 6)) for r in found.collect()) == want
+
+
+def test_sketches_of_sets_bound_all_near_pairs():
+    rng = np.random.default_rng(8)
+    sets = [rng.choice(1 << 40, int(rng.integers(1, 200)), replace=False) for _ in range(150)]
+    sets += [np.concatenate([s[: len(s) * 3 // 4], rng.choice(1 << 40, len(s) // 4)]) for s in sets]
+    batch = pa.RecordBatch.from_pydict({"id": range(300), "row": sets, "keys": [[0]] * 300})
+    sketches = next(near_pairs._set_sketches([batch])).column(1).to_pylist()
+    i, j = np.triu_indices(300, 1)
+    likely = near_pairs._set_bound(sketches, 0.5)(np.arange(300), np.arange(300))[i, j]
+    likely &= near_pairs._set_overlap(sketches, 0.5)(i, j)
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    near = 1 - both / (np.array([len(sets[a]) + len(sets[b]) for a, b in zip(i, j)]) - both) <= 0.5
+    assert near.sum() > 100 and likely[near].all() and likely.sum() < near.sum() + 0.01 * len(i)
+
+
+def test_few_tables_compare_rows_where_they_lie(spark):
+    """One bucket of all rows: no sketches or pairs are sent, and the pairs are the same; a key
+    that comes twice has each of its rows compared."""
+    points = planted(np.random.default_rng(9), n=900, near=200)
+    keys = near_pairs.keyed(frame(spark, points), "projection", near_pairs.Plan(1, 1, 1e9))
+    found = near_pairs.near_pairs(keys, "projection", 0.3, block=64, tables=1)
+    # the only join is that of rows and bucket sizes
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    want = exact(points, 0.3)
+    got = {(r.left, r.right): r.distance for r in found.collect()}
+    assert got.keys() == want.keys() and all(abs(d - want[p]) < 1e-12 for p, d in got.items())
+    rows = [(1, [0.0, 0.1]), (1, [0.0, 0.1]), (2, [0.0, 0.3])]
+    twice = near_pairs.keyed(spark.createDataFrame(rows, "id long, row array<double>"), "projection", near_pairs.Plan(1, 1, 1e9))
+    both = [sorted((r.left, r.right) for r in near_pairs.near_pairs(twice, "projection", 0.5, tables=t).collect()) for t in (1, None)]
+    assert both[0] == both[1] == [(1, 1)] * 4 + [(1, 2)] * 2
+
+
+def test_a_row_goes_once_to_a_place_and_sets_are_not_kept(spark):
+    """Sixty texts that are all near each other: their sets are sent 60 times to one place, not
+    once or twice for each of the 1,770 pairs."""
+    words = [f"w{k}" for k in range(40)]
+    rows = [(k, words + [f"x{k}"]) for k in range(60)] + [(100, words + ["x0"]), (101, ["other"])]
+    tokens = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    found = {(r.left, r.right): r.distance for r in similarity.near_texts(tokens, "doc_id", 0.5).collect()}
+    assert found.keys() == {*itertools.combinations(range(60), 2), (0, 100)} and found[0, 100] == 0
+    sets = spark.createDataFrame([(k, [*range(40), 100 + k]) for k in range(60)], "id long, row array<long>")
+    keys = near_pairs.keyed(sets, "min_hash", near_pairs.Plan(1, 4))
+    sketches = near_pairs.sketched(keys, "min_hash")
+    dealt = near_pairs._gathered(near_pairs._dealt(sketches, 2048).join(sketches.select("id", "sketch", "keys"), "id"))
+    wanted = dealt.mapInArrow(partial(near_pairs._wanted, 0.5, True), "place long, id long, others array<long>").collect()
+    assert sum(len(r.others) for r in wanted) <= 1770 and len(wanted) <= 4 * 60
