@@ -6,12 +6,16 @@ stay there: a round shuffles what it sends, not the edges.  Only counters reach
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import cut_by_key, cut_lineage
+from marketlake.session import cut_as_dealt, cut_by_key, cut_lineage, release, slice_count
 
 RESET, DAMPING = 0.15, 0.85
+SENT, MOST_ROUNDS = 4, 32  # entries of lists that travel in a round, by the edges; rounds
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -114,44 +118,79 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def triangle_counts(edges: DataFrame) -> DataFrame:
-    """(id, triangles) for every vertex.
+def _simple(edges: DataFrame) -> DataFrame:
+    """(a, b), a < b, each once, dealt by a."""
+    pairs = edges.filter("src != dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    dealt = pairs.repartition(slice_count(edges.sparkSession), "a")
+    return cut_as_dealt(dealt.distinct().sortWithinPartitions("a"))
 
-    Edges point from the vertex of lower degree to the one of higher degree.  No
-    vertex then has more than sqrt(2 * edges) outgoing ones, however large a hub is.
-    The outgoing ends of a vertex travel as one list to each vertex that points to it
-    and are compared there: no path of two edges becomes a row unless it closes."""
-    simple = cut_lineage(
-        edges.filter("src != dst")
-        .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .distinct()
-    )
-    # used three times below
-    degrees = cut_lineage(
-        simple.select(F.explode(F.array("a", "b")).alias("id"))
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("degree"))
-    )
+
+def _degrees(simple: DataFrame) -> DataFrame:
+    ids = simple.select(F.explode(F.array("a", "b")).alias("id"))
+    return cut_lineage(ids.groupBy("id").agg(F.count(F.lit(1)).alias("degree")))
+
+
+def _ends(simple: DataFrame, degrees: DataFrame) -> DataFrame:
+    """(u, degree, out): the ends of the edges that point from u, dealt by u."""
     ranked = simple.join(degrees.select(F.col("id").alias("a"), F.col("degree").alias("da")), "a").join(
         degrees.select(F.col("id").alias("b"), F.col("degree").alias("db")), "b"
     )
     low_first = F.struct("da", "a") < F.struct("db", "b")
-    low = F.struct(F.col("a").alias("u"), F.col("b").alias("v"))
-    high = F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
+    low = F.struct(F.col("a").alias("u"), F.col("b").alias("v"), F.col("da").alias("degree"))
+    high = F.struct(F.col("b").alias("u"), F.col("a").alias("v"), F.col("db").alias("degree"))
     pointed = ranked.select(F.when(low_first, low).otherwise(high).alias("e")).select("e.*")
-    ends = cut_lineage(pointed.groupBy("u").agg(F.array_sort(F.collect_list("v")).alias("out")))
+    lists = pointed.groupBy("u").agg(F.max("degree").alias("degree"), F.array_sort(F.collect_list("v")).alias("out"))
+    return cut_as_dealt(lists.sortWithinPartitions("u"))
+
+
+def _rounds(ends: DataFrame) -> int:
+    """So many that the lists which travel in one are a few times the edges."""
+    size = F.size("out").cast("bigint")
+    sent, edges = ends.agg(F.sum((F.col("degree") - size) * size), F.sum(size)).first()
+    return min(MOST_ROUNDS, math.ceil(sent / (SENT * edges)) or 1) if edges else 1
+
+
+def _closed(ends: DataFrame, step: int, rounds: int) -> DataFrame:
+    """(id, triangles) of the triangles whose middle vertex has its turn in this round."""
+    turn = F.pmod(F.xxhash64("v"), F.lit(rounds)) == step
     # edges follow one total order, so each triangle is one edge u, v and an end w of both
-    onward = ends.select(F.col("u").alias("v"), F.col("out").alias("onward"))
-    carried = ends.select("u", F.explode("out").alias("v")).join(onward, "v")
-    triangles = carried.join(ends, "u").select(
+    onward = ends.select(F.col("u").alias("v"), F.col("out").alias("onward")).filter(turn)
+    carried = ends.select("u", F.explode("out").alias("v")).filter(turn).join(onward, "v")
+    triangles = carried.join(ends.select("u", "out"), "u").select(
         "u", "v", F.explode(F.array_intersect("onward", "out")).alias("w")
     )
-    counted = (
+    return (
         triangles.select(F.explode(F.array("u", "v", "w")).alias("id"))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("triangles"))
     )
-    return degrees.select("id").join(counted, "id", "left").fillna(0, ["triangles"])
+
+
+def triangle_counts(edges: DataFrame) -> DataFrame:
+    """(id, triangles) for every vertex.
+
+    Edges point from the vertex of lower degree to the one of higher degree.  No
+    vertex then has more than sqrt(2 * edges) outgoing ones, however large a hub is.
+    The outgoing ends of a vertex travel as one list to each vertex that points to it
+    and are compared there: no path of two edges becomes a row unless it closes.  They
+    travel in rounds, by the vertex whose list it is; the files of one step or round
+    are released before the next, so that disk holds one of them."""
+    spark = edges.sparkSession
+    simple = _simple(edges)
+    release(spark)
+    degrees = _degrees(simple)
+    release(spark)
+    ends = _ends(simple, degrees)
+    del simple
+    release(spark)
+    rounds = _rounds(ends)
+    counted = []
+    for step in range(rounds - 1):
+        counted.append(cut_lineage(_closed(ends, step, rounds)))
+        release(spark)
+    counted.append(_closed(ends, rounds - 1, rounds))
+    total = reduce(DataFrame.union, counted).groupBy("id").agg(F.sum("triangles").alias("triangles"))
+    return degrees.select("id").join(total, "id", "left").fillna(0, ["triangles"])
 
 
 def shortest_paths(edges: DataFrame, source: int) -> DataFrame:

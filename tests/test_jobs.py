@@ -59,6 +59,23 @@ def test_triangles_against_brute_force(spark):
     assert got == want
 
 
+def test_triangles_in_rounds_release_their_files(spark, monkeypatch):
+    """In seven rounds or more the counts are the same, no round sends more than its share, and
+    what earlier steps wrote is gone when the next one has begun."""
+    rng = np.random.default_rng(6)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 200, (4000, 2))]
+    whole = {r.id: r.triangles for r in graph.triangle_counts(edges(spark, pairs)).collect()}
+    sent, released = [], []
+    closed, release = graph._closed, graph.release
+    monkeypatch.setattr(graph, "SENT", 2)
+    monkeypatch.setattr(graph, "_closed", lambda ends, step, rounds: sent.append((step, rounds)) or closed(ends, step, rounds))
+    monkeypatch.setattr(graph, "release", lambda s: released.append(s) or release(s))
+    got = {r.id: r.triangles for r in graph.triangle_counts(edges(spark, pairs)).collect()}
+    assert got == whole and sum(got.values()) > 1000
+    rounds = sent[0][1]
+    assert rounds >= 7 and sent == [(k, rounds) for k in range(rounds)] and len(released) == rounds + 2
+
+
 def test_power_iteration_equals_matrix_products(spark):
     """Two cliques with a weak tie: the same points however the edges lie, and two clusters."""
     ties = [(a, b, 1.0 + a % 3) for c in (0, 20) for a in range(c, c + 12) for b in range(a + 1, c + 12)] + [(0, 20, 0.01)]
