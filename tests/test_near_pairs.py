@@ -181,3 +181,11 @@ def test_a_row_goes_once_to_a_place_and_sets_are_not_kept(spark):
     dealt = near_pairs._gathered(near_pairs._dealt(sketches, 2048).join(sketches.select("id", "sketch", "keys"), "id"))
     wanted = dealt.mapInArrow(partial(near_pairs._wanted, 0.5, True), "place long, id long, others array<long>").collect()
     assert sum(len(r.others) for r in wanted) <= 1770 and len(wanted) <= 4 * 60
+
+
+def test_texts_without_tokens_and_keys(spark):
+    rows = [(1, ["a", "b", "c"]), (2, ["a", "b", "c", "d"]), (3, None), (4, []), (None, ["a", "b", "c"]), (2, []), (2, None), (5, ["z"])]
+    found = similarity.near_texts(spark.createDataFrame(rows, "doc_id long, tokens array<string>"), "doc_id", 0.5)
+    assert [(r.left, r.right, r.distance) for r in found.collect()] == [(1, 2, 0.25)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform") == 1 and "LeftSemi" in plan
